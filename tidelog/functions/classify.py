@@ -17,7 +17,10 @@ def classify_query(query: Column | str) -> Column:
     There is no trimming and no word boundary: ``" BEGIN"`` is a plain
     statement and ``BEGINNING`` is a ``BEGIN``.
     """
-    text = F.upper(_col(query))
+    if isinstance(query, str):
+        cases = " ".join(f"WHEN upper(`{query}`) LIKE '{name}%' THEN '{name}'" for name in STATEMENT_CLASSES)
+        return F.expr(f"CASE WHEN `{query}` IS NULL THEN NULL {cases} ELSE 'QUERY' END")
+    text = F.upper(query)
     result = F.lit("QUERY")
     for name in reversed(STATEMENT_CLASSES):
         result = F.when(text.startswith(name), F.lit(name)).otherwise(result)

@@ -58,7 +58,11 @@ class Slices:
         return [*self.keys, *self.parts]
 
     def tag(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({**self.keys, **self.parts})
+        # Never null: no row is lost in the join, and the optimizer adds no
+        # null filters that would keep branches from sharing a shuffle.
+        none = F.lit(-1).cast("bigint")
+        parts = {n: F.coalesce(c.cast("bigint"), none) for n, c in self.parts.items()}
+        return df.withColumns({**self.keys, **parts})
 
     def rank(self) -> Column:
         return self.order[0] if len(self.order) == 1 else F.struct(*self.order)
@@ -115,27 +119,53 @@ def _running(window, last, count) -> dict[str, Column]:
 
 
 def _slice_carry(summary: DataFrame, slices: Slices, last: list[str], count: list[str]) -> DataFrame:
-    """Value of the running state at the start of each slice."""
+    """Value of the running state at the start of each slice, as ``_carry_*``."""
     parts = list(slices.parts)
     if slices.bundle is None:
-        return summary.withColumns(_running(_before(list(slices.keys), parts), last, count))
+        running = _running(_before(list(slices.keys), parts), last, count)
+        return summary.select(*slices.names, *[c.alias(f"_carry_{n}") for n, c in running.items()])
 
-    bundled = summary.withColumn("_bundle", F.expr(slices.bundle))
-    inner = bundled.withColumns(_running(_before(["_bundle"], parts), last, count))
-    place = F.struct(*parts)
+    bundled = summary.withColumn("_bundle", F.expr(f"coalesce({slices.bundle}, -1)"))
+    running = _running(_before(["_bundle"], parts), last, count)
+    inner = bundled.select("_bundle", *parts, *[c.alias(f"_inner_{n}") for n, c in running.items()])
+    place = f"struct({', '.join(parts)})"
     totals = bundled.groupBy("_bundle").agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), place)).alias(n) for n in last],
+        *[F.expr(f"max_by({n}, if({n} is null, null, {place}))").alias(n) for n in last],
         *[F.sum(n).alias(n) for n in count],
     )
     # One row per bundle: the only window without keys, and it is tiny.
-    outer = totals.select(
-        "_bundle",
-        *[c.alias(f"_outer_{n}") for n, c in _running(_before([], ["_bundle"]), last, count).items()],
-    )
-    return inner.join(outer, "_bundle").select(
+    running = _running(_before([], ["_bundle"]), last, count)
+    outer = totals.select("_bundle", *[c.alias(f"_outer_{n}") for n, c in running.items()])
+    return inner.join(outer, "_bundle").selectExpr(
         *parts,
-        *[F.coalesce(n, f"_outer_{n}").alias(n) for n in last],
-        *[(F.col(n) + F.col(f"_outer_{n}")).alias(n) for n in count],
+        *[f"coalesce(_inner_{n}, _outer_{n}) as _carry_{n}" for n in last],
+        *[f"_inner_{n} + _outer_{n} as _carry_{n}" for n in count],
+    )
+
+
+def _summarise(tagged: DataFrame, slices: Slices, fixed: Mapping, text: Mapping, count: Mapping) -> DataFrame:
+    """One row per slice: last non-null values and counts.
+
+    Hash aggregation needs fixed-width buffers, so text states are first
+    grouping keys (a slice has few distinct ones) and are resolved in a second,
+    small aggregate.
+    """
+    names, rank = slices.names, slices.rank()
+    if not text:
+        return tagged.groupBy(*names).agg(
+            *[F.max_by(e, F.when(e.isNotNull(), rank)).alias(n) for n, e in fixed.items()],
+            *[F.count_if(e).alias(n) for n, e in count.items()],
+        )
+    first = tagged.groupBy(*names, *[e.alias(n) for n, e in text.items()]).agg(
+        F.max(rank).alias("_at"),
+        *[F.max_by(e, F.when(e.isNotNull(), rank)).alias(n) for n, e in fixed.items()],
+        *[F.max(F.when(e.isNotNull(), rank)).alias(f"_at_{n}") for n, e in fixed.items()],
+        *[F.count_if(e).alias(n) for n, e in count.items()],
+    )
+    return first.groupBy(*names).agg(
+        *[F.expr(f"max_by({n}, if({n} is null, null, _at))").alias(n) for n in text],
+        *[F.expr(f"max_by({n}, _at_{n})").alias(n) for n in fixed],
+        *[F.sum(n).alias(n) for n in count],
     )
 
 
@@ -143,45 +173,36 @@ def with_carry(
     rows: DataFrame,
     slices: Slices,
     last: Mapping[str, Column] | None = None,
+    text: Mapping[str, Column] | None = None,
     count: Mapping[str, Column] | None = None,
     initial: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Add state taken over all rows strictly before each row.
 
-    ``last``    name -> expression; gives its last non-null value
+    ``last``    name -> fixed-width expression; gives its last non-null value
+    ``text``    the same for text expressions with few values per slice
     ``count``   name -> condition; gives how many earlier rows met it
     ``initial`` values that hold before the first row
     """
-    last, count = dict(last or {}), dict(count or {})
-    names = slices.names
+    fixed, text, count = dict(last or {}), dict(text or {}), dict(count or {})
+    latest = {**fixed, **text}
     tagged = slices.tag(rows)
-    rank = slices.rank()
+    summary = _summarise(tagged, slices, fixed, text, count)
+    carry = _slice_carry(summary, slices, list(latest), list(count))
 
-    # Grouping and buffers stay fixed-width for numeric states, so this is a
-    # hash aggregate; few columns reach it.
-    summary = tagged.groupBy(*names).agg(
-        *[F.max_by(e, F.when(e.isNotNull(), rank)).alias(n) for n, e in last.items()],
-        *[F.count_if(e).alias(n) for n, e in count.items()],
-    )
-    carry = _slice_carry(summary, slices, list(last), list(count)).select(
-        *names, *[F.col(n).alias(f"_carry_{n}") for n in [*last, *count]]
-    )
-
-    window = _before(names, slices.order)
+    window = _before(slices.names, slices.order)
     local = tagged.withColumns({
-        **{n: F.last(e, ignorenulls=True).over(window) for n, e in last.items()},
-        **{n: F.coalesce(F.count_if(e).over(window), F.lit(0)) for n, e in count.items()},
+        **{n: F.last(e, ignorenulls=True).over(window) for n, e in latest.items()},
+        **{n: F.count_if(e).over(window) for n, e in count.items()},
     })
     start = initial or {}
-    joined = local.join(carry, names)
-    merged = joined.withColumns({
-        **{n: F.coalesce(
-            F.col(n), F.col(f"_carry_{n}"),
-            *([F.lit(start[n])] if start.get(n) is not None else []),
-        ) for n in last},
-        **{n: F.col(n) + F.col(f"_carry_{n}") + F.lit(start.get(n, 0)) for n in count},
-    })
-    return merged.drop(*names, *[f"_carry_{n}" for n in [*last, *count]])
+    merged = {
+        **{n: F.coalesce(F.col(n), F.col(f"_carry_{n}"), *([F.lit(start[n])] if start.get(n) is not None else []))
+           for n in latest},
+        **{n: F.expr(f"coalesce({n}, 0) + _carry_{n} + {int(start.get(n, 0))}") for n in count},
+    }
+    keep = [c for c in rows.columns if c not in merged]
+    return local.join(carry, slices.names).select(*keep, *[c.alias(n) for n, c in merged.items()])
 
 
 def in_log_order(ev: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def track_position(
     first = {"log_file": start[0], "position": start[1]} if start else None
     carried = with_carry(
         raw, slices or sequence_slices(order),
-        last={"log_file": own_file, "position": own_pos}, initial=first,
+        last={"position": own_pos}, text={"log_file": own_file}, initial=first,
     )
     return carried.withColumns({
         "log_file": F.coalesce(own_file, F.col("log_file")),

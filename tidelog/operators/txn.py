@@ -18,27 +18,28 @@ def _id(source: str, how: Column, number: Column, position: Column) -> Column:
                               [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]])
 
 
-def _signals(ev: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
-    """What each event does to the transaction state, and the states to carry."""
-    cls = classify_query("query")
-    query, kind = F.col("kind") == "QUERY", F.col("kind")
-    begin = query & (cls == "BEGIN")
-    close = (kind == "XID") | (query & cls.isin("COMMIT", "ROLLBACK"))
-    row = kind.isin(ROW_KINDS) & F.coalesce("captured", F.lit(False))
-    signalled = ev.withColumn(
+def _signals(ev: DataFrame) -> DataFrame:
+    """Add ``_signal``: what each event does to the transaction state."""
+    return ev.withColumn("_class", F.when(F.col("kind") == "QUERY", classify_query("query"))).withColumn(
         "_signal",
-        F.when(begin, "begin").when(close, "close").when(row, "row").when(query, "statement").otherwise("none"),
-    )
-    signal = F.col("_signal")
-    boundary = signal.isin("begin", "close")
-    states = {
-        "_open": F.when(signal.isin("begin", "row"), True).when(signal == "close", False),
-        "_edge_file": F.when(boundary, file_no()),
-        "_edge_pos": F.when(boundary, F.col("position")),
-        "_edge_begin": F.when(boundary, signal == "begin"),
-        "_map_db": F.when(kind.isin(ROW_KINDS), F.col("db")),
-    }
-    return signalled, states
+        F.expr("""CASE WHEN _class = 'BEGIN' THEN 'begin'
+                       WHEN kind = 'XID' OR _class IN ('COMMIT', 'ROLLBACK') THEN 'close'
+                       WHEN captured THEN 'row'
+                       WHEN kind = 'QUERY' THEN 'statement'
+                       ELSE 'none' END"""),
+    ).drop("_class")
+
+
+def _states() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What is carried along the log: fixed-width states and the latest database."""
+    edge = "_signal IN ('begin', 'close')"
+    number = "coalesce(try_cast(regexp_extract(log_file, '([0-9]+)$', 1) AS BIGINT), -1)"
+    return {
+        "_open": F.expr("CASE WHEN _signal IN ('begin', 'row') THEN true WHEN _signal = 'close' THEN false END"),
+        "_edge_file": F.expr(f"CASE WHEN {edge} THEN {number} END"),
+        "_edge_pos": F.expr(f"CASE WHEN {edge} THEN position END"),
+        "_edge_begin": F.expr(f"CASE WHEN {edge} THEN _signal = 'begin' END"),
+    }, {"_map_db": F.when(F.col("kind").isin(ROW_KINDS), F.col("db"))}
 
 
 def assign_txn(
@@ -59,20 +60,19 @@ def assign_txn(
     makes the whole state a set of "last value" carries.  ``map_db`` is the
     database of the latest row event, captured or not.
     """
-    signalled, states = _signals(ev)
-    carried = with_carry(signalled, slices or log_slices(), last=states, initial=initial)
-    signal, opened = F.col("_signal"), F.coalesce("_open", F.lit(False))
-    own = (signal == "begin") | ((signal == "statement") | (signal == "close") & (F.col("kind") == "QUERY")) & ~opened
-    shared = (opened & (signal != "none")) | (signal == "row")
-    from_begin = F.coalesce("_edge_begin", F.lit(False))
-    how = F.when(own | from_begin, "at").otherwise("after")
-    number = F.when(own, file_no()).otherwise(F.coalesce("_edge_file", F.lit(-1).cast("bigint")))
-    at = F.when(own, F.col("position")).otherwise(F.coalesce("_edge_pos", F.lit(-1).cast("bigint")))
-    return carried.withColumns({
-        "in_txn": opened,
-        "txn": F.when(own | shared, _id(source, how, number, at)),
-        "map_db": F.col("_map_db"),
-    }).drop("_signal", *states)
+    fixed, text = _states()
+    carried = with_carry(_signals(ev), slices or log_slices(), last=fixed, text=text, initial=initial)
+    keyed = carried.withColumn("in_txn", F.coalesce("_open", F.lit(False))).withColumn(
+        "_own",
+        F.expr("_signal = 'begin' OR NOT in_txn AND (_signal = 'statement' OR _signal = 'close' AND kind = 'QUERY')"),
+    )
+    how = F.expr("CASE WHEN _own OR _edge_begin THEN 'at' ELSE 'after' END")
+    number = F.when(F.col("_own"), file_no()).otherwise(F.coalesce("_edge_file", F.lit(-1)))
+    at = F.expr("CASE WHEN _own THEN position ELSE coalesce(_edge_pos, -1) END")
+    has_id = F.expr("_own OR _signal = 'row' OR in_txn AND _signal <> 'none'")
+    keep = [c for c in ev.columns if c not in ("in_txn", "txn", "map_db")]
+    return keyed.select(
+        *keep, "in_txn", F.when(has_id, _id(source, how, number, at)).alias("txn"), F.col("_map_db").alias("map_db"))
 
 
 def end_state(ev: DataFrame) -> DataFrame:
@@ -80,9 +80,10 @@ def end_state(ev: DataFrame) -> DataFrame:
 
     Passing it as ``initial`` to :func:`assign_txn` continues the log.
     """
-    signalled, states = _signals(ev)
+    fixed, text = _states()
     place = F.struct(file_no(), F.col("position"))
-    return signalled.agg(*[F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in states.items()])
+    return _signals(ev).agg(*[
+        F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in {**fixed, **text}.items()])
 
 
 def commit_events(assigned: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
 """Loads every query module, so that all queries are registered."""
 
-from . import log_queries  # noqa: F401
+from . import log_queries, routing_queries, row_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

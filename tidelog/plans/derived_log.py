@@ -7,11 +7,12 @@ projection of the scan, so unused columns are never read or built.
 from __future__ import annotations
 
 import json
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.classify import event_kind
-from ..sources.config import rules_tables
+from ..sources.config import as_dimension, config_document, rules_tables
 from .change_events import change_events
 from .registry import table
 
@@ -83,15 +84,17 @@ def derived_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_docs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(json.dumps(CONFIG_DOC),)], "doc STRING")
+    return config_document(spark, json.dumps(CONFIG_DOC))
 
 
+@cache
 def rules(spark: SparkSession) -> DataFrame:
-    return rules_tables(config_docs(spark))[0]
+    return as_dimension(rules_tables(config_docs(spark))[0])
 
 
+@cache
 def routes(spark: SparkSession) -> DataFrame:
-    return rules_tables(config_docs(spark))[1]
+    return as_dimension(rules_tables(config_docs(spark))[1])
 
 
 def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:

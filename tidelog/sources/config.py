@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.values import parse_bool, parse_int
 from ..schemas import CONFIG
@@ -13,6 +13,33 @@ DEFAULT_ACTIVE = True
 DEFAULT_QUEUE_DEPTH = 1024
 
 
+def config_document(spark: SparkSession, text: str) -> DataFrame:
+    """One document given as text.
+
+    The optimizer knows the size of this relation (unlike that of a Python
+    list), so joins with rules and routes made from it broadcast by themselves.
+    Documents in files are read with ``spark.read.text(path, wholetext=True)``.
+    """
+    return spark.sql("SELECT * FROM VALUES (:doc) AS t(doc)", {"doc": text})
+
+
+# Rules and routes above this many rows stay distributed.
+MAX_DIMENSION_ROWS = 100_000
+
+
+def as_dimension(df: DataFrame, max_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
+    """A configuration table as a relation of known size, read once.
+
+    Its rows are checked against ``max_rows``: below it the optimizer sees the
+    exact size and can share one broadcast among all uses; above it the table is
+    returned as it was and joins shuffle.
+    """
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(head, df.schema)
+
+
 def _names(text: Column) -> Column:
     """A list of names given as a JSON array, or a bare string as a list of one."""
     many = F.from_json(text, "array<string>")
