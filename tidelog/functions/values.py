@@ -37,7 +37,7 @@ def as_unsigned(c: Column | str, bits: int) -> Column:
         return v.bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
     if bits == 64:
         wide = v.cast("decimal(20,0)")
-        return F.when(v < 0, wide + F.lit(2**64).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)")
+        return F.when(v < 0, wide + F.lit(str(2**64)).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)")
     raise ValueError("bits must be 32 or 64")
 
 

@@ -101,7 +101,7 @@ def batch_success(deliveries: DataFrame, by: list[str]) -> DataFrame:
         F.every("ok").alias("success"), F.count_if("ok").alias("succeeded"), F.count("*").alias("total"))
 
 
-def partition_lag(offsets: DataFrame, slice_seconds: int = 3600, tie: list[str] | None = None) -> DataFrame:
+def partition_lag(offsets: DataFrame, slice_seconds: int = 86400, tie: list[str] | None = None) -> DataFrame:
     """Lag and rate of every sample of every partition.
 
     ``lag = max(0, end - committed)``, null without a committed offset;

@@ -1,4 +1,12 @@
 """Loads every query module, so that all queries are registered."""
 
-from . import log_queries, routing_queries, row_queries  # noqa: F401
+from . import (  # noqa: F401
+    log_queries,
+    metric_queries,
+    routing_queries,
+    row_queries,
+    sink_queries,
+    stream_queries,
+    value_queries,
+)
 from .registry import QUERIES, SQL  # noqa: F401

@@ -50,7 +50,11 @@ IMAGE = """map(
 
 def derived_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log: place, kind, names, statement, commit number and row images."""
-    events = table(spark, sf_dir, "events")
+    return log_of(table(spark, sf_dir, "events"))
+
+
+def log_of(events: DataFrame) -> DataFrame:
+    """The same for any batch or stream of ``events`` rows."""
     ddl = "(event_type = 'error' and event_id % 4 = 0)"
     shaped = events.selectExpr(
         "event_id as seq",
