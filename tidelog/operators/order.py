@@ -31,26 +31,28 @@ SLICE_ROWS = 1 << 20
 SLICES_PER_BUNDLE = 1 << 12
 
 
-def file_no(log_file: Column | str = "log_file") -> Column:
+FILE_NO = r"coalesce(try_cast(regexp_extract({0}, '([0-9]+)$', 1) AS BIGINT), -1)"
+
+
+def file_no(log_file: str = "log_file") -> Column:
     """Number at the end of a log file name; -1 when there is none."""
-    text = F.col(log_file) if isinstance(log_file, str) else log_file
-    return F.coalesce(F.regexp_extract(text, r"(\d+)$", 1).try_cast("bigint"), F.lit(-1).cast("bigint"))
+    return F.expr(FILE_NO.format(log_file))
 
 
 @dataclass(frozen=True)
 class Slices:
-    """How a sequence is cut.
+    """How a sequence is cut; everything is SQL over the rows.
 
-    ``parts``  non-null slice key, outermost first; comparing it compares slices
+    ``parts``  integer slice key, outermost first; comparing it compares slices
     ``order``  total order of the rows of one slice
-    ``keys``   non-null keys of independent sequences, each starting afresh
+    ``keys``   keys of independent sequences, each starting afresh
     ``bundle`` SQL over ``parts`` that puts neighbouring slices together, so that
                the running value over slices is itself taken in two levels
     """
 
-    parts: Mapping[str, Column]
-    order: list[Column]
-    keys: Mapping[str, Column] = field(default_factory=dict)
+    parts: Mapping[str, str]
+    order: list[str]
+    keys: Mapping[str, str] = field(default_factory=dict)
     bundle: str | None = None
 
     @property
@@ -60,54 +62,46 @@ class Slices:
     def tag(self, df: DataFrame) -> DataFrame:
         # Never null: no row is lost in the join, and the optimizer adds no
         # null filters that would keep branches from sharing a shuffle.
-        none = F.lit(-1).cast("bigint")
-        parts = {n: F.coalesce(c.cast("bigint"), none) for n, c in self.parts.items()}
-        return df.withColumns({**self.keys, **parts})
+        return df.withColumns({
+            **{n: F.expr(f"coalesce(CAST({e} AS STRING), '\\0')") for n, e in self.keys.items()},
+            **{n: F.expr(f"coalesce(CAST({e} AS BIGINT), -1)") for n, e in self.parts.items()},
+        })
 
     def rank(self) -> Column:
-        return self.order[0] if len(self.order) == 1 else F.struct(*self.order)
+        return F.expr(self.order[0] if len(self.order) == 1 else f"struct({', '.join(self.order)})")
 
 
 def log_slices(slice_bytes: int = SLICE_BYTES, files: int = FILES_PER_BUNDLE) -> Slices:
     """The whole log as one sequence in (file number, position) order."""
     return Slices(
-        parts={"_file": file_no(), "_slice": F.expr(f"position div {slice_bytes}")},
-        order=[F.col("position")],
+        parts={"_file": FILE_NO.format("log_file"), "_slice": f"position div {slice_bytes}"},
+        order=["position"],
         bundle=f"_file div {files}",
     )
 
 
 def file_slices(slice_bytes: int = SLICE_BYTES) -> Slices:
     """Each log file as its own sequence."""
-    return Slices(
-        keys={"_file": file_no()},
-        parts={"_slice": F.expr(f"position div {slice_bytes}")},
-        order=[F.col("position")],
-    )
+    return Slices(keys={"_name": "log_file"}, parts={"_slice": f"position div {slice_bytes}"}, order=["position"])
 
 
 def sequence_slices(column: str, rows: int = SLICE_ROWS, bundle: int = SLICES_PER_BUNDLE) -> Slices:
     """One sequence ordered by a unique integer."""
-    return Slices(
-        parts={"_slice": F.expr(f"{column} div {rows}")},
-        order=[F.col(column)],
-        bundle=f"_slice div {bundle}",
-    )
+    return Slices(parts={"_slice": f"{column} div {rows}"}, order=[column], bundle=f"_slice div {bundle}")
 
 
 def time_slices(keys: list[str], ts: str, seconds: int, tie: list[str] | None = None) -> Slices:
     """Per-key sequences in time order, cut at multiples of ``seconds``."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    width = seconds * 1000000
+    micros = f"unix_micros(CAST({ts} AS TIMESTAMP))"
     return Slices(
-        keys={f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for i, k in enumerate(keys)},
-        parts={"_slice": (micros - F.pmod(micros, F.lit(width))) / width},
-        order=[micros, *[F.col(t) for t in tie or []]],
+        keys={f"_key{i}": k for i, k in enumerate(keys)},
+        parts={"_slice": f"{micros} div {seconds * 1000000}"},
+        order=[micros, *(tie or [])],
     )
 
 
-def _before(partition: list[str], order: list) -> Window:
-    return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _before(partition: list[str], order: list[str]) -> Window:
+    return Window.partitionBy(*partition).orderBy(*[F.expr(o) for o in order]).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _running(window, last, count) -> dict[str, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import FIRST_POSITION, UNKNOWN_FILE
@@ -50,9 +52,9 @@ def parse_mark(text: str) -> tuple[str, int]:
     return name, int(position)
 
 
-def _later_than(log_file: str | Column, position: int | Column) -> Column:
-    mark = F.lit(log_file) if isinstance(log_file, str) else log_file
-    return (file_no() > file_no(mark)) | ((file_no() == file_no(mark)) & (F.col("position") > position))
+def _later_than(log_file: str, position: int) -> Column:
+    number = int(re.search(r"(\d*)$", log_file).group(1) or -1)
+    return (file_no() > number) | ((file_no() == number) & (F.col("position") > position))
 
 
 def after(ev: DataFrame, mark: tuple[str, int]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.classify import classify_query
 from ..schemas import ROW_KINDS
-from .order import Slices, file_no, log_slices, with_carry
+from .order import FILE_NO, Slices, file_no, log_slices, with_carry
 
 
 def _id(source: str, how: Column, number: Column, position: Column) -> Column:
@@ -33,7 +33,7 @@ def _signals(ev: DataFrame) -> DataFrame:
 def _states() -> tuple[dict[str, Column], dict[str, Column]]:
     """What is carried along the log: fixed-width states and the latest database."""
     edge = "_signal IN ('begin', 'close')"
-    number = "coalesce(try_cast(regexp_extract(log_file, '([0-9]+)$', 1) AS BIGINT), -1)"
+    number = FILE_NO.format("log_file")
     return {
         "_open": F.expr("CASE WHEN _signal IN ('begin', 'row') THEN true WHEN _signal = 'close' THEN false END"),
         "_edge_file": F.expr(f"CASE WHEN {edge} THEN {number} END"),
