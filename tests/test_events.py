@@ -151,15 +151,15 @@ def test_packing_splits_long_statements(spark):
 
 
 def test_corrupt_documents(spark):
-    texts = ['{"type":"INSERT"}', '{"type":"INS', "", "  ", None, "{}", "null", "[1]", "5", "plain", '{"a":{}}']
+    texts = ['{"type":"INSERT"}', '{"type":"INS', "", "  ", None, "{}", "null", "[1]", "5", "plain", '{"a":{}}', '{"a":1} tail']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, json STRING")
     got = [r[0] for r in df.orderBy("i").select(payload_status()).collect()]
-    assert got == ["ok", "invalid", "empty", "empty", "empty", "empty", "empty", "invalid", "invalid", "invalid", "ok"]
+    assert got == ["ok", "invalid", "empty", "empty", "empty", "empty", "empty", "invalid", "invalid", "invalid", "ok", "invalid"]
     good, bad = split_corrupt(df)
-    assert good.count() == 2 and bad.count() == 9
+    assert good.count() == 2 and bad.count() == 10
     assert parse_change_log(df).count() == len(texts)
     counts = metrics.error_counts(parse_change_log(df)).first()
-    assert (counts.total_received, counts.processed, counts.empty, counts.errors) == (11, 2, 5, 9)
+    assert (counts.total_received, counts.processed, counts.empty, counts.errors) == (12, 2, 5, 10)
 
 
 def test_sizes_count_bytes(spark):

@@ -8,13 +8,13 @@ adaptive skew handling splits a hot database.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.classify import classify_query, is_ddl
 from ..schemas import DML_KINDS, ROW_KINDS
 
 
-def _tables(rules: DataFrame, *cols: str) -> DataFrame:
+def _tables(rules: DataFrame, *cols: str | Column) -> DataFrame:
     return rules.where("`table` is not null and capture_dml").select("db", "table", *cols)
 
 
@@ -60,35 +60,50 @@ def emit_only(assigned: DataFrame, rules: DataFrame) -> DataFrame:
     ).drop("capture_ddl")
 
 
-def project_columns(ev: DataFrame, rules: DataFrame) -> DataFrame:
-    """Keep the configured columns of each row image, in table order.
-
-    ``all_columns`` keeps everything; a table with neither gives empty rows.
-    """
-    wanted = _tables(rules, "all_columns", F.col("columns").alias("_columns"))
-    joined = ev.join(wanted, ["db", "table"], "left")
+def _kept_rows() -> Column:
+    """Row images cut to ``_columns``, in table order; all of them for ``all_columns``."""
 
     def keep(image):
         return F.map_filter(image, lambda k, v: F.array_contains("_columns", k))
 
     def pair(row):
-        return F.transform_values(
-            row,
-            lambda k, v: F.to_variant_object(keep(v.cast("map<string,variant>"))),
-        )
-
-    none = F.coalesce("_columns", F.array().cast("array<string>"))
-    kept = (
-        F.when(F.col("all_columns") | ~F.col("kind").isin(DML_KINDS), F.col("rows"))
+        return F.transform_values(row, lambda k, v: F.to_variant_object(keep(v.cast("map<string,variant>"))))
+
+    return (
+        F.when(F.col("_all"), F.col("rows"))
         .when(F.col("kind") == "UPDATE", F.transform("rows", pair))
         .otherwise(F.transform("rows", keep))
     )
-    return (
-        joined.withColumn("_columns", none)
-        .withColumn("all_columns", F.coalesce("all_columns", F.lit(False)))
-        .withColumn("rows", kept)
-        .drop("_columns", "all_columns")
-    )
+
+
+def _choices(rules: DataFrame) -> DataFrame:
+    return _tables(rules, F.col("all_columns").alias("_all"), F.col("columns").alias("_columns"))
+
+
+def project_columns(ev: DataFrame, rules: DataFrame) -> DataFrame:
+    """Keep the configured columns of each row image, in table order.
+
+    ``all_columns`` keeps everything; a captured table with neither gives empty
+    rows.  Events of other tables are left as they are.
+    """
+    joined = ev.join(_choices(rules), ["db", "table"], "left")
+    return joined.withColumn(
+        "rows", F.when(F.col("_all").isNull(), F.col("rows")).otherwise(_kept_rows())
+    ).drop("_all", "_columns")
+
+
+def prepare_rows(ev: DataFrame, rules: DataFrame) -> DataFrame:
+    """``flag_captured`` and ``project_columns`` in one join, for use before a shuffle.
+
+    Row events that are not captured still move transaction state, so they stay,
+    but without their images.
+    """
+    joined = ev.join(_choices(rules), ["db", "table"], "left")
+    captured = F.col("kind").isin(ROW_KINDS) & F.col("_all").isNotNull()
+    return joined.withColumns({
+        "captured": captured,
+        "rows": F.when(captured, _kept_rows()),
+    }).drop("_all", "_columns")
 
 
 def missing_columns(rules: DataFrame, table_columns: DataFrame) -> DataFrame:

@@ -55,13 +55,17 @@ def select_topics(
 def payload_status(json: Column | str = "json") -> Column:
     """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object)."""
     text = F.col(json) if isinstance(json, str) else json
-    doc = F.try_parse_json(text)
-    shape = F.schema_of_variant(doc)
-    blank = F.coalesce(F.length(F.trim(text)), F.lit(0)) == 0
+    fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+    # One reference to the parsed document, so that it is parsed once: an object
+    # has fields (1) or none (0), anything else has no size (-1).
+    verdict = F.element_at(
+        F.array(F.lit("invalid"), F.lit("empty"), F.lit("ok")),
+        (F.signum(F.coalesce(F.size(fields), F.lit(-1))) + 2).cast("int"),
+    )
     return (
-        F.when(blank | shape.isin("VOID", "OBJECT<>"), "empty")
-        .when(doc.isNull() | ~shape.startswith("OBJECT<"), "invalid")
-        .otherwise("ok")
+        F.when(text.isNull() | text.rlike(r"^\s*(null\s*)?$"), "empty")
+        .when(~text.rlike(r"\}\s*$"), "invalid")
+        .otherwise(verdict)
     )
 
 

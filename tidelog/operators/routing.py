@@ -89,5 +89,5 @@ def unmatched_events(ev: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def new_streams(found: DataFrame, known: DataFrame) -> DataFrame:
-    """Streams not seen before."""
-    return found.select("stream").distinct().join(known.select("stream"), "stream", "left_anti")
+    """Streams not seen before.  Both sides are reduced before they are shuffled."""
+    return found.select("stream").distinct().join(known.select("stream").distinct(), "stream", "left_anti")

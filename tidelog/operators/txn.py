@@ -103,24 +103,20 @@ def txn_outcome(assigned: DataFrame) -> DataFrame:
     Sizes are partial aggregates, so a transaction of any length is combined
     before the shuffle.
     """
-    cls = F.when(F.col("kind") == "XID", "COMMITTED").when(
-        F.col("kind") == "QUERY",
-        F.when(classify_query("query") == "COMMIT", "COMMITTED")
-        .when(classify_query("query") == "ROLLBACK", "ROLLED BACK"),
-    )
-    place = F.struct(file_no().alias("n"), F.col("position").alias("p"))
-    return (
-        assigned.where("txn is not null")
-        .groupBy("txn")
-        .agg(
-            F.coalesce(F.max(cls), F.lit("OPEN")).alias("outcome"),
-            F.count("*").alias("events"),
-            F.min(place).alias("_first"),
-            F.max(place).alias("_last"),
-        )
-        .select(
-            "txn", "outcome", "events",
-            F.col("_first.n").alias("first_file"), F.col("_first.p").alias("first_position"),
-            F.col("_last.n").alias("last_file"), F.col("_last.p").alias("last_position"),
-        )
+    # Numbers only, so that the aggregate is a hash aggregate: the outcome as a
+    # code, the place as one decimal.
+    code = F.expr("""CASE WHEN kind = 'XID' OR _class = 'COMMIT' THEN 1 WHEN _class = 'ROLLBACK' THEN 2 ELSE 0 END""")
+    place = file_no().cast("decimal(38,0)") * F.lit(str(2**64)).cast("decimal(20,0)") + F.col("position")
+    named = assigned.where("txn is not null").withColumn(
+        "_class", F.when(F.col("kind") == "QUERY", classify_query("query")))
+    sized = named.groupBy("txn").agg(
+        F.max(code).alias("_code"), F.count("*").alias("events"),
+        F.min(place.cast("decimal(38,0)")).alias("_first"), F.max(place.cast("decimal(38,0)")).alias("_last"),
     )
+    outcomes = F.array(*[F.lit(o) for o in ("OPEN", "COMMITTED", "ROLLED BACK")])
+
+    def parts(name: str) -> list[Column]:
+        return [F.expr(f"CAST(_{name} div {2**64}BD AS BIGINT)").alias(f"{name}_file"),
+                F.expr(f"CAST(_{name} % {2**64}BD AS BIGINT)").alias(f"{name}_position")]
+
+    return sized.select("txn", outcomes[F.col("_code")].alias("outcome"), "events", *parts("first"), *parts("last"))

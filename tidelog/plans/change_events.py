@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.envelope import to_envelope
-from ..operators.capture import emit_only, flag_captured, project_columns, with_primary_key
+from ..operators.capture import emit_only, prepare_rows, with_primary_key
 from ..operators.order import Slices
 from ..operators.txn import assign_txn
 
 
 def published(assigned: DataFrame, rules: DataFrame) -> DataFrame:
-    """Published events with their documents, from a log that has transactions."""
-    emitted = emit_only(assigned, rules)
-    return to_envelope(with_primary_key(project_columns(emitted, rules), rules))
+    """Published events with their documents, from a prepared log with transactions."""
+    return to_envelope(with_primary_key(emit_only(assigned, rules), rules))
 
 
 def change_events(log: DataFrame, rules: DataFrame, source: str = "log", slices: Slices | None = None) -> DataFrame:
-    """Capture, assign transactions, filter, project and wrap."""
-    return published(assign_txn(flag_captured(log, rules), source, slices), rules)
+    """Capture, project, assign transactions, filter and wrap."""
+    return published(assign_txn(prepare_rows(log, rules), source, slices), rules)

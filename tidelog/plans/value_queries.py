@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values
 from ..operators.decode import ColumnType, decode_columns
+from ..sources.config import as_dimension
 from .registry import query, table
 
 
@@ -133,5 +134,5 @@ def typed(spark, sf):
         ColumnType("stamp", "TIMESTAMP2", fsp=6), ColumnType("dt", "DATETIME2", fsp=6), ColumnType("name", "VARCHAR"),
         ColumnType("memo", "BLOB", preview=True), ColumnType("label", "ENUM"),
     ]
-    out = decode_columns(raw, types, labels, "app", "visits")
+    out = decode_columns(raw, types, as_dimension(labels), "app", "visits")
     return out.withColumn("stamp", F.col("stamp").cast("timestamp_ntz"))

@@ -97,10 +97,11 @@ def webhook_deliver(ev: DataFrame, open_transport: Callable[[], Callable[[dict],
 
 
 def callback_status(result: object) -> int:
-    """Status of a user callback: 0 is success, any other int failure, non-ints success."""
-    if isinstance(result, int) and not isinstance(result, bool):
-        return 200 if result == 0 else 500
-    return 200
+    """Status of a user callback: 0 is success, any other int failure, non-ints success.
+
+    Booleans are ints here, so returning True reports a failure.
+    """
+    return 500 if isinstance(result, int) and result != 0 else 200
 
 
 def python_deliver(ev: DataFrame, on_event: Callable[[dict], object], publisher: str = "python",

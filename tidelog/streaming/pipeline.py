@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.capture import flag_captured
+from ..operators.capture import prepare_rows
 from ..operators.order import Slices
 from ..operators.txn import assign_txn, end_state
 from ..plans.change_events import published
@@ -39,8 +39,6 @@ class CarriedState:
         return {k: v for k, v in row.asDict().items() if v is not None} if row else {}
 
     def save(self, batch_id: int, batch: DataFrame, before: Mapping[str, object]) -> None:
-        from pyspark.sql import functions as F
-
         end = end_state(batch)
         merged = end.select(*[
             F.coalesce(F.col(c), F.lit(before[c])).alias(c) if c in before else F.col(c) for c in end.columns
@@ -65,9 +63,9 @@ def assign_txn_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         before = state.load(batch_id)
-        flagged = flag_captured(batch, rules)
-        handle(assign_txn(flagged, source, slices, before), batch_id)
-        state.save(batch_id, flagged, before)
+        ready = prepare_rows(batch, rules)
+        handle(assign_txn(ready, source, slices, before), batch_id)
+        state.save(batch_id, ready, before)
 
     return (
         log.writeStream.foreachBatch(run)
