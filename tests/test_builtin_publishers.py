@@ -75,7 +75,7 @@ def test_all_kinds(spark, sf, tmp_path):
         p.start()
     assert script.calls == [("init", "e"), "start"]
     reports = []
-    outcomes = publish(ev, routes, publishers, 7, lambda df, batch_id: reports.extend(df.collect()))
+    outcomes = publish(ev, routes, publishers, 7, lambda df, batch_id, name: reports.extend(df.collect()))
     assert [(o.publisher, o.error) for o in outcomes if not o.ok] == []
 
     total, radius, test = ev.count(), ev.where("db = 'radius'").count(), ev.where("db = 'test'").count()

@@ -112,6 +112,31 @@ def test_whole_stream_to_publishers(spark, sf, tmp_path):
     assert sorted(spark.read.parquet(saving.folder).drop("batch").collect()) == sorted(want.collect())
 
 
+def test_failed_publisher_stops_the_checkpoint(spark, sf, tmp_path):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.coalesce(1).write.parquet(str(tmp_path / "events"))
+
+    class Broken(Saving):
+        def publish_batch(self, batch, batch_id):
+            raise RuntimeError("broker down")
+
+    def run(broker, **options):
+        stream = log_of(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")))
+        outcomes = []
+        query = run_pipeline(stream, rules(spark), routes(spark), {"files": Saving(str(tmp_path / "files")), "broker": broker},
+                             str(tmp_path / "check"), on_outcomes=outcomes.extend, **options)
+        return query, outcomes
+
+    query, outcomes = run(Broken(""))
+    with pytest.raises(Exception, match="broker down"):
+        query.awaitTermination()
+    assert [(o.publisher, o.ok) for o in outcomes] == [("files", True), ("broker", False)]
+    query, outcomes = run(Saving(str(tmp_path / "broker")))
+    query.awaitTermination()
+    assert [(o.batch_id, o.ok) for o in outcomes] == [(0, True), (0, True)]
+    assert spark.read.parquet(str(tmp_path / "broker")).count() == change_events(derived_log(spark, sf), rules(spark)).count()
+
+
 def test_text_stream_and_windowed_counters(spark, sf, tmp_path):
     lines = change_events(derived_log(spark, sf), rules(spark))
     lines.select("json").coalesce(1).write.text(str(tmp_path / "lines"))

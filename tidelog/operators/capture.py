@@ -98,6 +98,8 @@ def prepare_rows(ev: DataFrame, rules: DataFrame) -> DataFrame:
     Row events that are not captured still move transaction state, so they stay,
     but without their images.
     """
+    if "rows" not in ev.columns:
+        return flag_captured(ev, rules)
     joined = ev.join(_choices(rules), ["db", "table"], "left")
     captured = F.col("kind").isin(ROW_KINDS) & F.col("_all").isNotNull()
     return joined.withColumns({

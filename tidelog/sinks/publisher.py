@@ -67,7 +67,7 @@ def publish(ev: DataFrame, routes: DataFrame, publishers: Mapping[str, Publisher
 
     The routed batch is computed once and read by each publisher.  A failing
     publisher is recorded and does not hold up the others.
-    ``save_deliveries(df, batch_id)`` stores the DELIVERIES a publisher returns.
+    ``save_deliveries(df, batch_id, publisher)`` stores the DELIVERIES a publisher returns.
     """
     routed = route(ev, routes).persist(StorageLevel.MEMORY_AND_DISK)
     outcomes = []
@@ -77,7 +77,7 @@ def publish(ev: DataFrame, routes: DataFrame, publishers: Mapping[str, Publisher
                 result = publisher.publish_batch(routed.where(routed.publisher == name), batch_id)
                 if result is not None:
                     if save_deliveries:
-                        save_deliveries(result, batch_id)
+                        save_deliveries(result, batch_id, name)
                     else:
                         result.write.format("noop").mode("overwrite").save()
                 outcomes.append(Outcome(name, batch_id, True))

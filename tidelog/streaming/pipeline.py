@@ -21,29 +21,38 @@ from ..operators.txn import assign_txn, end_state
 from ..plans.change_events import published
 from ..sinks.publisher import Publisher, publish, validate
 
-STATE_SCHEMA = "_open BOOLEAN, _edge_file BIGINT, _edge_pos BIGINT, _edge_begin BOOLEAN, _map_db STRING"
+STATE_SCHEMA = ("batch BIGINT, _open BOOLEAN, _edge_file BIGINT, _edge_pos BIGINT, _edge_begin BOOLEAN, "
+                "_map_db STRING")
+
+# Saved states are reused in turn; a replay never goes back further than one batch.
+STATE_SLOTS = 100
 
 
 class CarriedState:
-    """End-of-batch transaction state, one small file set per batch id."""
+    """Transaction state at the end of each batch, one small file per batch."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
+    def _slot(self, batch_id: int) -> str:
+        return f"{self.folder}/slot-{batch_id % STATE_SLOTS}"
+
     def load(self, batch_id: int) -> dict[str, object]:
         """State before ``batch_id``; empty before the first batch."""
         if batch_id == 0:
             return {}
-        row = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.folder}/batch-{batch_id - 1}").first()
-        return {k: v for k, v in row.asDict().items() if v is not None} if row else {}
+        saved = self.spark.read.schema(STATE_SCHEMA).parquet(self._slot(batch_id - 1)).first()
+        if saved is None or saved.batch != batch_id - 1:
+            raise RuntimeError(f"no transaction state of batch {batch_id - 1} in {self.folder}")
+        return {k: v for k, v in saved.asDict().items() if k != "batch" and v is not None}
 
     def save(self, batch_id: int, batch: DataFrame, before: Mapping[str, object]) -> None:
         end = end_state(batch)
-        merged = end.select(*[
+        merged = end.select(F.lit(batch_id).cast("bigint").alias("batch"), *[
             F.coalesce(F.col(c), F.lit(before[c])).alias(c) if c in before else F.col(c) for c in end.columns
         ])
-        merged.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch-{batch_id}")
+        merged.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id))
 
 
 def assign_txn_stream(
@@ -84,21 +93,32 @@ def run_pipeline(
     source: str = "log",
     slices: Slices | None = None,
     trigger: Mapping[str, object] | None = None,
+    deliveries: str | None = None,
+    retry_failed: bool = True,
     on_outcomes: Callable[[list], None] | None = None,
 ) -> StreamingQuery:
     """Capture, assign transactions, build documents, route and publish.
 
     The checkpoint moves on only after every publisher has had the batch; sinks
-    get the batch id, so a repeated batch can be recognised.
+    get the batch id, so a repeated batch can be recognised.  A publisher that
+    fails does not hold up the others, but with ``retry_failed`` the query then
+    stops and the batch is repeated on restart, so nothing is lost.
+    ``deliveries`` is a folder for the delivery reports, one part per batch.
     """
     for publisher in publishers.values():
         validate(publisher)
         publisher.start()
 
+    def save(report: DataFrame, batch_id: int, name: str) -> None:
+        report.write.mode("overwrite").parquet(f"{deliveries.rstrip('/')}/batch={batch_id}/sender={name}")
+
     def handle(assigned: DataFrame, batch_id: int) -> None:
-        outcomes = publish(published(assigned, rules), routes, publishers, batch_id)
+        outcomes = publish(published(assigned, rules), routes, publishers, batch_id, save if deliveries else None)
         if on_outcomes:
             on_outcomes(outcomes)
+        failed = [o for o in outcomes if not o.ok]
+        if failed and retry_failed:
+            raise RuntimeError(f"batch {batch_id} failed at " + "; ".join(f"{o.publisher}: {o.error}" for o in failed))
 
     return assign_txn_stream(log, rules, checkpoint, handle, source, slices, trigger)
 
