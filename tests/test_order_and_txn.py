@@ -123,7 +123,7 @@ def test_carry_keeps_rows_with_null_order_keys(spark):
 
 def test_hot_slice_bound():
     s = log_slices()
-    assert isinstance(s, Slices) and s.bundle == "_file div 64"
+    assert isinstance(s, Slices) and s.bundle == "_file div 4096"
     assert list(file_slices().keys) == ["_name"]
 
 

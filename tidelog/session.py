@@ -29,7 +29,8 @@ def local_session(cpus: int | str = 8, name: str = "tidelog") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.streaming.metricsEnabled", "false")
+        # No call-site capture per expression: plans here have hundreds of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -104,8 +104,12 @@ def callback_status(result: object) -> int:
     return 500 if isinstance(result, int) and result != 0 else 200
 
 
+EVENT_FIELDS = ("txn", "db", "table", "json")
+
+
 def python_deliver(ev: DataFrame, on_event: Callable[[dict], object], publisher: str = "python",
-                   on_start: Callable[[], object] | None = None) -> DataFrame:
+                   on_start: Callable[[], object] | None = None,
+                   fields: tuple[str, ...] = EVENT_FIELDS) -> DataFrame:
     """Batch form of the per-event callback; an exception counts as a failure."""
 
     def open_transport():
@@ -113,12 +117,11 @@ def python_deliver(ev: DataFrame, on_event: Callable[[dict], object], publisher:
             on_start()
 
         def send(record):
-            event = {k: record[k] for k in ("txn", "db", "table", "json")}
-            return callback_status(on_event(event))
+            return callback_status(on_event({k: record[k] for k in fields}))
 
         return send
 
-    return deliver(ev.select("log_file", "position", "txn", "db", "table", "json"), publisher, open_transport)
+    return deliver(ev.select("log_file", "position", *EVENT_FIELDS), publisher, open_transport)
 
 
 class PythonSink:
@@ -142,7 +145,7 @@ class PythonSink:
         return hook is None or callback_status(hook()) == 200
 
     def process(self, row) -> None:
-        event = {k: row[k] for k in ("txn", "db", "table", "json")}
+        event = {k: row[k] for k in EVENT_FIELDS}
         if callback_status(self._hook("event")(event)) != 200:
             raise RuntimeError(f"callback failed at {row['log_file']}:{row['position']}")
 

@@ -9,8 +9,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..operators.routing import route
+from .deliver import python_deliver
 
 REQUIRED = ["name", "init", "publish_batch"]
+EVENT = ("txn", "db", "table", "json", "log_file", "position")
 
 
 class Publisher:
@@ -42,11 +44,27 @@ class Publisher:
         return True
 
 
+class EventPublisher(Publisher):
+    """A destination that takes one event at a time.
+
+    ``publish`` runs inside tasks on a dict of ``txn, db, table, json, log_file,
+    position`` and returns 0 for success; the object itself must be picklable.
+    """
+
+    def publish(self, event: dict) -> int:
+        raise NotImplementedError
+
+    def publish_batch(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        return python_deliver(batch, self.publish, self.name, fields=EVENT)
+
+
 def validate(publisher: object) -> None:
     """Raise unless the required members are there."""
     missing = [m for m in REQUIRED if not getattr(publisher, m, None)]
     if isinstance(publisher, Publisher) and type(publisher).publish_batch is Publisher.publish_batch:
         missing.append("publish_batch")
+    if isinstance(publisher, EventPublisher) and type(publisher).publish is EventPublisher.publish:
+        missing.append("publish")
     if missing:
         raise TypeError(f"publisher lacks {', '.join(dict.fromkeys(missing))}")
 
