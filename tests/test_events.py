@@ -61,6 +61,11 @@ def test_rules_and_routes(config):
     assert not found["off"].active
 
 
+def test_broken_configuration_raises(spark):
+    with pytest.raises(Exception, match="(?i)malformed"):
+        rules_tables(config_document(spark, '{"capture": {'))[0].collect()
+
+
 def test_large_dimension_stays_distributed(spark):
     df = spark.range(50)
     assert as_dimension(df, max_rows=10) is df

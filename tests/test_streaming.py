@@ -105,7 +105,8 @@ def test_whole_stream_to_publishers(spark, sf, tmp_path):
     query = run_pipeline(stream, rules(spark), routes(spark), {"broker": saving}, str(tmp_path / "check"),
                          on_outcomes=outcomes.extend)
     query.awaitTermination()
-    assert health(query, {"broker": saving})["publishers"] == {"broker": True}
+    state = health(query, {"broker": saving})
+    assert state["publishers"] == {"broker": True} and state["received"] >= 1000 and not state["failed"]
     drain_and_stop(query, {"broker": saving})
     assert saving.state == ["start", "stop"] and [o.ok for o in outcomes] == [True, True]
     want = change_events(derived_log(spark, sf), rules(spark)).select("log_file", "position", "txn", "db", "table", "json")

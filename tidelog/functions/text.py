@@ -29,7 +29,7 @@ def compact_summary(ev: DataFrame, name: str = "summary") -> DataFrame:
     A document that does not parse still gets a line.  Values missing from the
     event read ``?`` (db, table), ``none`` (txn), ``UNKNOWN`` (type) or 0 (rows).
     """
-    doc = F.try_parse_json("json")
+    doc = F.col("_doc")
     rows = F.try_variant_get(doc, "$.rows", "array<variant>")
     db, table = F.coalesce("db", F.lit("?")), F.coalesce("table", F.lit("?"))
     full = F.format_string(
@@ -41,4 +41,5 @@ def compact_summary(ev: DataFrame, name: str = "summary") -> DataFrame:
     )
     bare = F.format_string("CDC event db=%s table=%s", db, table)
     line = F.when(doc.isNull(), bare).otherwise(full)
-    return ev.withColumn(name, F.substring(line, 1, MAX_SUMMARY_CHARS))
+    parsed = ev.withColumn("_doc", F.try_parse_json("json"))
+    return parsed.withColumn(name, F.substring(line, 1, MAX_SUMMARY_CHARS)).drop("_doc")

@@ -54,19 +54,24 @@ def select_topics(
 
 def payload_status(json: Column | str = "json") -> Column:
     """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object)."""
-    text = F.col(json) if isinstance(json, str) else json
-    fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
-    # One reference to the parsed document, so that it is parsed once: an object
-    # has fields (1) or none (0), anything else has no size (-1).
-    verdict = F.element_at(
-        F.array(F.lit("invalid"), F.lit("empty"), F.lit("ok")),
-        (F.signum(F.coalesce(F.size(fields), F.lit(-1))) + 2).cast("int"),
-    )
-    return (
-        F.when(text.isNull() | text.rlike(r"^\s*(null\s*)?$"), "empty")
-        .when(~text.rlike(r"\}\s*$"), "invalid")
-        .otherwise(verdict)
-    )
+
+    def judge(text: Column) -> Column:
+        fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+        # An object has fields (1) or none (0); anything else has no size (-1).
+        verdict = F.element_at(
+            F.array(F.lit("invalid"), F.lit("empty"), F.lit("ok")),
+            (F.signum(F.coalesce(F.size(fields), F.lit(-1))) + 2).cast("int"),
+        )
+        return (
+            F.when(text.isNull() | text.rlike(r"^\s*(null\s*)?$"), "empty")
+            .when(~text.rlike(r"\}\s*$"), "invalid")
+            .otherwise(verdict)
+        )
+
+    # Bound to a lambda, the document is computed once however this expression
+    # is pushed around.
+    document = F.col(json) if isinstance(json, str) else json
+    return F.transform(F.array(document), judge)[0]
 
 
 def split_corrupt(raw: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:

@@ -119,6 +119,7 @@ def health(query, publishers: Mapping[str, Publisher] | None = None) -> dict[str
     return {
         "active": query.isActive,
         "failed": query.exception() is not None,
+        "received": sum(p["numInputRows"] for p in query.recentProgress),
         "input_rate": rate_in,
         "processed_rate": rate_out,
         "keeping_up": rate_out >= rate_in,

@@ -68,8 +68,15 @@ def read_change_stream(
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: str, stream: bool = False,
-               starting: str = "earliest", **options: str) -> DataFrame:
-    """Kafka topics by list or pattern; needs Spark's Kafka connector on the class path."""
+               starting: str = "earliest", max_offsets_per_trigger: int | None = None,
+               **options: str) -> DataFrame:
+    """Kafka topics by list or pattern; needs Spark's Kafka connector on the class path.
+
+    ``starting`` is ``earliest``, ``latest`` or offsets per partition as JSON; a stream
+    that has a checkpoint goes on from there instead.
+    """
+    if stream and max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     how = "subscribePattern" if any(ch in topics for ch in "*?[](|\\") else "subscribe"
     reader = (spark.readStream if stream else spark.read).format("kafka")
     return parse_kafka(

@@ -66,10 +66,11 @@ def rules_tables(docs: DataFrame, column: str = "doc", keep: list[str] | None =
 
     ``rules`` has one row per database and table, and one with a null table for a
     database that lists none; ``routes`` has one row per named publisher.
-    ``keep`` names columns of ``docs`` to carry along.
+    ``keep`` names columns of ``docs`` to carry along.  A document that is not JSON
+    raises when the tables are read.
     """
     keep = list(keep or [])
-    parsed = docs.select(*keep, F.from_json(column, CONFIG).alias("_c"))
+    parsed = docs.select(*keep, F.from_json(column, CONFIG, {"mode": "FAILFAST"}).alias("_c"))
 
     per_db = parsed.select(*keep, F.explode(_entries(F.col("_c.capture.databases"))).alias("_d"))
     per_table = per_db.select(
