@@ -75,7 +75,7 @@ def test_all_kinds(spark, sf, tmp_path):
         p.start()
     assert script.calls == [("init", "e"), "start"]
     reports = []
-    outcomes = publish(ev, routes, publishers, 7, lambda df, batch_id, name: reports.extend(df.collect()))
+    outcomes = publish(ev, routes, publishers, 0, lambda df, batch_id, name: reports.extend(df.collect()))
     assert [(o.publisher, o.error) for o in outcomes if not o.ok] == []
 
     total, radius, test = ev.count(), ev.where("db = 'radius'").count(), ev.where("db = 'test'").count()
@@ -87,7 +87,7 @@ def test_all_kinds(spark, sf, tmp_path):
     assert 0 < big < total and (stats["udp"].dropped, stats["udp"].published) == (big, total - big)
     assert (stats["script"].published, stats["script"].errors) == (radius, total - radius)
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == test
-    kept = glob.glob(f"{tmp_path}/files/batch-000000007/segment=*")
+    kept = glob.glob(f"{tmp_path}/files/segment=*")
     assert len(kept) == 3  # two rotated files and the active one
 
     def first(name):

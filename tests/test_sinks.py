@@ -48,6 +48,27 @@ def test_jsonl(ev, spark, tmp_path):
     assert back.count() == 25 and back.where("status = 'ok' and kind = 'INSERT'").count() == 25
 
 
+def test_rotation_across_batches(ev, tmp_path):
+    path = str(tmp_path / "log")
+
+    def kept():
+        found = {}
+        for f in sorted(glob.glob(f"{path}/segment=*/batch=*/part-*")):
+            segment = int(f.split("segment=")[1].split("/")[0])
+            found.setdefault(segment, []).extend(json.loads(line)["rows"][0]["n"] for line in open(f))
+        return {s: sorted(n) for s, n in found.items()}
+
+    files.append_jsonl(ev.where("n < 7"), path, 0, 5, 2)
+    assert kept() == {0: [0, 1, 2, 3, 4], 1: [5, 6]}
+    for _ in range(2):  # the second run repeats the batch
+        files.append_jsonl(ev.where("n >= 7 and n < 12"), path, 1, 5, 2)
+        assert kept() == {0: [0, 1, 2, 3, 4], 1: [5, 6, 7, 8, 9], 2: [10, 11]}
+    files.append_jsonl(ev.where("n >= 12"), path, 2, 5, 2)
+    assert kept() == {2: [10, 11, 12, 13, 14], 3: [15, 16, 17, 18, 19], 4: [20, 21, 22, 23, 24]}
+    with pytest.raises(Exception):
+        files.append_jsonl(ev, path, 9, 5, 2)
+
+
 def test_audit(ev, spark, tmp_path):
     for _ in range(2):
         files.write_audit(ev, "unused", path=str(tmp_path / "audit"))

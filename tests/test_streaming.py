@@ -94,6 +94,22 @@ def test_replayed_batch_gives_the_same_ids(spark, tmp_path):
     assert [b for b, _ in seen] == [0, 1, 1] and seen[1][1] == seen[2][1]
 
 
+def test_late_file_is_an_error(spark, tmp_path):
+    entries = random_log(4, n=90)
+    source, check = str(tmp_path / "log"), str(tmp_path / "check")
+    only_a = spark.createDataFrame([("a", True, True, "t", [], True, [])], RULE_SCHEMA)
+
+    def run():
+        log = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        assign_txn_stream(log, only_a, check, lambda assigned, batch_id: None, slices=TINY).awaitTermination()
+
+    add_file(spark, entries[30:], source)
+    run()
+    add_file(spark, entries[:30], source)
+    with pytest.raises(Exception, match="out of order"):
+        run()
+
+
 def test_whole_stream_to_publishers(spark, sf, tmp_path):
     events = spark.read.parquet(f"{sf}/events.parquet")
     source = str(tmp_path / "events")

@@ -76,14 +76,19 @@ def assign_txn(
 
 
 def end_state(ev: DataFrame) -> DataFrame:
-    """One row: the carried states after the last event of ``ev``.
+    """One row: the carried states after the last event of ``ev``, and its extent.
 
-    Passing it as ``initial`` to :func:`assign_txn` continues the log.
+    Passing the states as ``initial`` to :func:`assign_txn` continues the log.
     """
     fixed, text = _states()
-    place = F.struct(file_no(), F.col("position"))
-    return _signals(ev).agg(*[
-        F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in {**fixed, **text}.items()])
+    place = F.struct(file_no().alias("file"), F.col("position").alias("pos"))
+    states = [F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in {**fixed, **text}.items()]
+    found = _signals(ev).agg(*states, F.min(place).alias("_first"), F.max(place).alias("_last"))
+    return found.select(
+        *fixed, *text,
+        F.col("_first.file").alias("_first_file"), F.col("_first.pos").alias("_first_pos"),
+        F.col("_last.file").alias("_last_file"), F.col("_last.pos").alias("_last_pos"),
+    )
 
 
 def commit_events(assigned: DataFrame) -> DataFrame:

@@ -52,15 +52,22 @@ class Configured(Publisher):
 
 
 class FilePublisher(Configured):
-    """JSON lines below ``file_path``, one folder per batch, so a repeat overwrites itself."""
+    """JSON lines below ``file_path``; a repeated batch replaces its own files.
+
+    With ``rotate_max_events`` rotation goes on across batches, else each batch
+    has a folder.
+    """
 
     required = ("file_path",)
 
     def publish_batch(self, batch: DataFrame, batch_id: int) -> None:
-        files.write_jsonl(
-            batch, f"{self.options['file_path'].rstrip('/')}/batch-{batch_id:09d}",
-            option_int(self.options, "rotate_max_events", 0),
-            max(1, option_int(self.options, "rotate_max_files", files.DEFAULT_MAX_FILES)))
+        path = self.options["file_path"].rstrip("/")
+        max_events = option_int(self.options, "rotate_max_events", 0)
+        if max_events > 0:
+            files.append_jsonl(batch, path, batch_id, max_events,
+                               option_int(self.options, "rotate_max_files", files.DEFAULT_MAX_FILES))
+        else:
+            files.write_jsonl(batch, f"{path}/batch-{batch_id:09d}")
 
 
 class KafkaPublisher(Configured):

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-from ..operators.order import Slices, event_sequence, file_no, log_slices, with_carry
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.order import Slices, event_sequence, file_no
 from .records import audit_rows
 
 # --- Fixed value: rotated files kept by default --------------------------------
@@ -51,6 +50,58 @@ def write_jsonl(ev: DataFrame, path: str, max_events: int = 0, max_files: int =
     ordered.select("segment", "json").write.mode(mode).partitionBy("segment").text(path)
 
 
+# Progress records are reused in turn; a replay never goes back further than one batch.
+PROGRESS_SLOTS = 100
+
+
+def _written(spark: SparkSession, path: str, batch_id: int) -> int:
+    """Events written up to and including a batch; 0 before the first."""
+    if batch_id < 0:
+        return 0
+    saved = spark.read.schema("batch BIGINT, total BIGINT").parquet(f"{path}/_progress/{batch_id % PROGRESS_SLOTS}").first()
+    if saved is None or saved.batch != batch_id:
+        raise RuntimeError(f"no record of batch {batch_id} in {path}")
+    return saved.total
+
+
+def _remove_segments(spark: SparkSession, path: str, below: int) -> None:
+    """Delete rotated files that are no longer kept, on whatever file system they are."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("segment=") and int(name.partition("=")[2]) < below:
+            fs.delete(status.getPath(), True)
+
+
+def append_jsonl(ev: DataFrame, path: str, batch_id: int, max_events: int, max_files: int = DEFAULT_MAX_FILES) -> None:
+    """Rotation that goes on from batch to batch of a stream.
+
+    Events are numbered on from the previous batch and land in
+    ``segment=N/batch=B``; segments beyond the last ``max_files`` rotated ones are
+    neither written nor kept.  A repeated batch replaces its own files.
+    """
+    spark, path = ev.sparkSession, path.rstrip("/")
+    before = _written(spark, path, batch_id - 1)
+    total = before + ev.count()
+    oldest = max(total - 1, 0) // max_events - max(1, max_files)
+    place = [file_no(), F.col("position")]
+    kept = (
+        event_sequence(ev, name="_rn", start=before)
+        .withColumn("segment", F.expr(f"(_rn - 1) div {max_events}"))
+        .where(F.col("segment") >= oldest)
+        .withColumn("batch", F.lit(batch_id))
+    )
+    ordered = kept.repartitionByRange("segment", *place).sortWithinPartitions("segment", *place)
+    (
+        ordered.select("segment", "batch", "json").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("segment", "batch").text(path)
+    )
+    progress = spark.createDataFrame([(batch_id, total)], "batch BIGINT, total BIGINT")
+    progress.coalesce(1).write.mode("overwrite").parquet(f"{path}/_progress/{batch_id % PROGRESS_SLOTS}")
+    _remove_segments(spark, path, oldest)
+
+
 def write_audit(ev: DataFrame, table: str, path: str | None = None, ts: str | None = "ts") -> None:
     """Append to the audit table, partitioned by day and database.
 

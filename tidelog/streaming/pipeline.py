@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.capture import prepare_rows
@@ -22,7 +22,7 @@ from ..plans.change_events import published
 from ..sinks.publisher import Publisher, publish, validate
 
 STATE_SCHEMA = ("batch BIGINT, _open BOOLEAN, _edge_file BIGINT, _edge_pos BIGINT, _edge_begin BOOLEAN, "
-                "_map_db STRING")
+                "_map_db STRING, _last_file BIGINT, _last_pos BIGINT")
 
 # Saved states are reused in turn; a replay never goes back further than one batch.
 STATE_SLOTS = 100
@@ -47,12 +47,23 @@ class CarriedState:
             raise RuntimeError(f"no transaction state of batch {batch_id - 1} in {self.folder}")
         return {k: v for k, v in saved.asDict().items() if k != "batch" and v is not None}
 
-    def save(self, batch_id: int, batch: DataFrame, before: Mapping[str, object]) -> None:
-        end = end_state(batch)
-        merged = end.select(F.lit(batch_id).cast("bigint").alias("batch"), *[
-            F.coalesce(F.col(c), F.lit(before[c])).alias(c) if c in before else F.col(c) for c in end.columns
-        ])
-        merged.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id))
+    def save(self, batch_id: int, state: Mapping[str, object]) -> None:
+        row = self.spark.createDataFrame([{**dict.fromkeys(STATE_COLUMNS), **state, "batch": batch_id}], STATE_SCHEMA)
+        row.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id))
+
+
+STATE_COLUMNS = [c.split()[0] for c in STATE_SCHEMA.split(", ")]
+
+
+def _advance(batch: DataFrame, before: Mapping[str, object], batch_id: int) -> dict[str, object]:
+    """State after a batch; a batch that starts before the last one ended is an error."""
+    found = {k: v for k, v in end_state(batch).first().asDict().items() if v is not None}
+    first = (found.pop("_first_file", None), found.pop("_first_pos", None))
+    if "_last_file" in before and None not in first and first <= (before["_last_file"], before["_last_pos"]):
+        raise RuntimeError(
+            f"batch {batch_id} starts at file {first[0]}, position {first[1]}, which is not after file "
+            f"{before['_last_file']}, position {before['_last_pos']}: the log arrived out of order")
+    return {**before, **found}
 
 
 def assign_txn_stream(
@@ -66,15 +77,17 @@ def assign_txn_stream(
 ) -> StreamingQuery:
     """Run ``handle(assigned_batch, batch_id)`` on each micro-batch of a log stream.
 
-    Files must arrive in log order; inside a batch any order is fine.
+    The log must arrive in order, and a late file is an error, since ids that
+    were already handed out would be wrong.  Inside a batch any order is fine.
     """
     state = CarriedState(log.sparkSession, f"{checkpoint.rstrip('/')}/txn-state")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         before = state.load(batch_id)
         ready = prepare_rows(batch, rules)
+        after = _advance(ready, before, batch_id)
         handle(assign_txn(ready, source, slices, before), batch_id)
-        state.save(batch_id, ready, before)
+        state.save(batch_id, after)
 
     return (
         log.writeStream.foreachBatch(run)
