@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import values
 from tidelog.functions.classify import classify_query, event_kind
+from tidelog.functions.documents import parse_document
 from tidelog.functions.envelope import parse_envelope, to_envelope
 from tidelog.functions.text import blob_preview, compact_summary
 from tidelog.operators import metrics
@@ -186,12 +187,22 @@ def test_blob_preview_counts_bytes(spark):
 def test_summary(spark):
     df = spark.createDataFrame([
         ('{"type":"UPDATE","rows":[1,2]}', "d", "t", "x"), ("{bad", None, "t", None), ("{}", None, None, None),
-        ('{"type":"INSERT","rows":5}', "d" * 600, "t", None)], "json STRING, db STRING, `table` STRING, txn STRING")
+        ('{"type":"INSERT","rows":5}', "d" * 600, "t", None), ("12 monkeys", "d", "t", None), ("12", "d", "t", None)], "json STRING, db STRING, `table` STRING, txn STRING")
     got = [r.summary for r in compact_summary(df).collect()]
     assert got[0] == "CDC: UPDATE db=d table=t rows=2 txn=x"
     assert got[1] == "CDC event db=? table=t"
     assert got[2] == "CDC: UNKNOWN db=? table=? rows=0 txn=none"
     assert len(got[3]) == 511
+    assert got[4] == "CDC event db=d table=t"
+    assert got[5] == "CDC: UNKNOWN db=d table=t rows=0 txn=none"
+
+
+def test_documents_are_one_value(spark):
+    good = ["{}", ' {"a":"}"} ', "[1]\n", '"x y"', "5", "true", "null", '{"a":"\u00e9\n"}'.replace("\n", "")]
+    bad = ["5 x", "{} x", '"a" b', "[1] 2", "true story", "", " ", "{", "}", '{"a":1}}}x', "nul"]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t STRING")
+    got = [r[0] is not None for r in df.select(F.to_json(parse_document("t"))).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)
 
 
 def test_normalize(spark):

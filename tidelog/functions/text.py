@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import MAX_QUERY_CHARS, MAX_SUMMARY_CHARS
 from .classify import _col
+from .documents import parse_document
 
 
 def blob_preview(c: Column | str, n: int = 200) -> Column:
@@ -41,5 +42,5 @@ def compact_summary(ev: DataFrame, name: str = "summary") -> DataFrame:
     )
     bare = F.format_string("CDC event db=%s table=%s", db, table)
     line = F.when(doc.isNull(), bare).otherwise(full)
-    parsed = ev.withColumn("_doc", F.try_parse_json("json"))
+    parsed = ev.withColumn("_doc", parse_document("json"))
     return parsed.withColumn(name, F.substring(line, 1, MAX_SUMMARY_CHARS)).drop("_doc")

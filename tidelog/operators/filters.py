@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.documents import parse_document
 from ..schemas import MAX_DATAGRAM
 
 
@@ -56,7 +57,7 @@ def payload_status(json: Column | str = "json") -> Column:
     """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object)."""
 
     def judge(text: Column) -> Column:
-        fields = F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>")
+        fields = F.try_variant_get(parse_document(text), "$", "map<string,variant>")
         # An object has fields (1) or none (0); anything else has no size (-1).
         verdict = F.element_at(
             F.array(F.lit("invalid"), F.lit("empty"), F.lit("ok")),
@@ -64,7 +65,6 @@ def payload_status(json: Column | str = "json") -> Column:
         )
         return (
             F.when(text.isNull() | text.rlike(r"^\s*(null\s*)?$"), "empty")
-            .when(~text.rlike(r"\}\s*$"), "invalid")
             .otherwise(verdict)
         )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.documents import parse_document
+
 IMAGE = "map<string,variant>"
 
 
@@ -87,7 +89,7 @@ def normalize_event(records: DataFrame, fields: str = "fields") -> DataFrame:
     def pick(name: str, default: str) -> Column:
         return F.coalesce(record[name], F.try_variant_get(doc, f"$.{name}", "string"), F.lit(default))
 
-    return records.withColumn("_doc", F.try_parse_json(payload)).withColumns({
+    return records.withColumn("_doc", parse_document(payload)).withColumns({
         "payload": payload,
         "type": F.upper(F.coalesce(F.try_variant_get(doc, "$.type", "string"), F.lit("UNKNOWN"))),
         "db": pick("db", "?"),
