@@ -35,7 +35,8 @@ KAFKA_PREFIX = "cdc."
 STREAM_PREFIX = "cdc:"
 PUBSUB_CHANNEL = "cdc_events"
 
-# Payload document of one change event.  VARIANT keeps numbers, strings and
+# --- Fixed values: key names of the payload document ------------------------
+# VARIANT keeps numbers, strings and
 # nulls apart; keys that a given event type does not have parse as null.
 PAYLOAD = (
     "type STRING, txn STRING, db STRING, `table` STRING, "
@@ -49,7 +50,8 @@ DELIVERIES = (
     "dropped BOOLEAN, attempts INT, status INT, bytes BIGINT"
 )
 
-# Capture and publisher configuration document.  Fields that may hold more
+# --- Fixed values: key names of the configuration document ------------------
+# Fields that may hold more
 # than one JSON type are read as text and interpreted afterwards.
 CONFIG = (
     "capture STRUCT<databases: ARRAY<MAP<STRING, STRUCT<"
