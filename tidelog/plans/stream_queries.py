@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import scratch_folder
 from ..streaming.pipeline import assign_txn_stream
 from .derived_log import T, log_of, rules
 from .registry import query, table
 
 
 def work_folder(spark) -> str:
-    """A new folder below the shared one; a temporary one only where none is set."""
-    root = shared_folder(spark) or tempfile.mkdtemp(prefix="tidelog-")
-    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+    """A new folder below the shared one."""
+    return f"{scratch_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 @query("txn_assign_stream", f"""WITH {T} SELECT log_file, position, kind, txn, in_txn, map_db FROM T""")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Semantics-bearing settings only; sizing belongs to the cluster.
@@ -42,3 +45,13 @@ def local_session(cpus: int | str = 8, name: str = "tidelog") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder all executors can reach, as named by the cluster."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder; without one, a temporary folder if the whole session runs on this machine."""
+    folder = shared_folder(spark)
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidelog-")
+    return folder.rstrip("/")
