@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import simhash
+from tidelog.llm import bpe, simhash
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,9 @@ def query(name: str, sql: str | None = None):
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "op8")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_byte_bpe")
+def op9(spark, sf_dir):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, pattern)
