@@ -1,7 +1,12 @@
+import os
+import sys
+
 import duckdb
 import pytest
 
-from tidelog.llm.common import prepare
+sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
+
+from tidelog.llm.common import prepare  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, packing, simhash
+from tidelog.llm import bpe, chat, packing, simhash, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,78 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+_FITS = "\n".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{h}/{p}'"
+    for h, _, p in sorted((r.partition("/") for r in URL_RULES), key=lambda r: -len("/".join((r[0], r[2])))))
+_VERDICTS = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in URL_RULES.items())
+
+
+@query("op1_url_filter", f"""
+WITH parts AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path,
+         list_filter(string_split(coalesce(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), ''), '&'),
+                     lambda p: p <> '' AND NOT regexp_matches(p, '{urls.TRACKING}')) AS params
+  FROM pages),
+keyed AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/$', '')
+         || CASE WHEN len(params) > 0 THEN '?' || array_to_string(list_sort(params), '&') ELSE '' END END AS key,
+         CASE {_FITS} END AS rule
+  FROM parts),
+listed AS (SELECT DISTINCT key FROM keyed WHERE contains(url, '?utm_'))
+SELECT page_id, host, path, rule, CASE rule {_VERDICTS}
+       ELSE CASE WHEN key IN (SELECT key FROM listed WHERE key IS NOT NULL) THEN 'block' ELSE 'allow' END END AS verdict
+FROM keyed""")
+def op1(spark, sf_dir):
+    """The list is every URL seen with a feed's tracking parameter: other pages of its canonical URL are blocked too."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(F.contains("url", F.lit("?utm_"))).select("url")
+    return urls.judge(pages, URL_RULES, listed, "op1").drop("url")
+
+
+CHAT_EXTRA = r"\### Assistant: </turn> ok"
+
+
+@query("op2_chat", rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CHAT_EXTRA}' UNION ALL SELECT -7, 1, 'assistant', '{CHAT_EXTRA}'),
+sized AS (
+  SELECT *, len(regexp_extract_all(text, '{chat.TOKEN}')) + {chat.TURN_TOKENS} AS size,
+         length(regexp_replace(text, '[\\<>]', '..', 'g')) + length(regexp_replace(role, '[\\<>]', '..', 'g')) + 16 AS chars,
+         row_number() OVER w AS pos
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+placed AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) AS e, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) - size AS s
+  FROM sized),
+sys AS (SELECT conv_id, min(pos) AS sys_at, arg_min(size, pos) AS sys_size, arg_min(chars, pos) AS sys_chars
+        FROM placed WHERE role = 'system' GROUP BY conv_id),
+celled AS (
+  SELECT placed.*, sys_at, sys_chars, greatest({chat.BUDGET - chat.HISTORY} - coalesce(sys_size, 0), {chat.BUDGET // 4}) AS cell
+  FROM placed LEFT JOIN sys USING (conv_id)),
+spans AS (
+  SELECT conv_id, s // cell AS c, (e - 1) // cell > s // cell AS crosses, min(pos) AS first, min(s) AS start, sum(chars) AS chars,
+         any_value(sys_at) AS sys_at, any_value(sys_chars) AS sys_chars
+  FROM celled GROUP BY ALL),
+shown AS (
+  SELECT p.conv_id, p.c, p.crosses, p.chars + CASE WHEN p.sys_at < p.first THEN p.sys_chars ELSE 0 END
+         + coalesce((SELECT sum(t.chars) FROM placed t WHERE t.conv_id = p.conv_id AND t.e <= p.start
+                     AND t.s >= p.start - {chat.HISTORY} AND t.pos IS DISTINCT FROM p.sys_at), 0) AS chars
+  FROM spans p),
+formatted AS (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM shown GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM placed JOIN formatted USING (conv_id) GROUP BY conv_id""")
+def op2(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit(CHAT_EXTRA)
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    return chat.digests(chat.windows(rows.union(extra)))
+
+
 @query("op3_packing")
 def op3(spark, sf_dir):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
