@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, packing, simhash, urls
+from tidelog.llm import bpe, chat, licenses, packing, simhash, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,11 @@ def op3(spark, sf_dir):
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query("op4_toxicity")
+def op4(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_simhash")
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "op8")
@@ -114,3 +119,28 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, pattern)
+
+
+def _licence_rows() -> str:
+    def quoted(text):
+        return "'" + text.replace("'", "''") + "'"
+
+    return ", ".join(f"({quoted(name)}, [{', '.join(map(quoted, licenses.template_bigrams(text)))}])" for name, text in licenses.TEMPLATES.items())
+
+
+@query("op10_licenses", rf"""
+WITH templates(licence, grams) AS (VALUES {_licence_rows()}),
+parts AS (
+  SELECT doc_id, unnest(list_distinct(string_split(text, chr(10)) || regexp_split_to_array(text, '\n[\x20\t\r]*\n') || [text])) AS part
+  FROM documents WHERE text IS NOT NULL),
+worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(part, '{urls.UPPER}', '{urls.LOWER}'), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS words
+  FROM parts),
+paired AS (
+  SELECT doc_id, list_distinct([words[i] || ' ' || words[i + 1] for i in range(1, len(words))]) AS pairs FROM worded),
+scored AS (
+  SELECT doc_id, licence, 2.0::DOUBLE * len(list_intersect(pairs, grams)) / (len(pairs) + len(grams)) AS dice
+  FROM paired, templates WHERE len(pairs) BETWEEN len(grams) * {licenses.LEAST} / (2 - {licenses.LEAST}) - 1 AND len(grams) * (2 - {licenses.LEAST}) / {licenses.LEAST} + 1)
+SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_passages FROM scored WHERE dice >= {licenses.LEAST} GROUP BY doc_id, licence""")
+def op10(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
