@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, licenses, packing, simhash, toxicity, urls
+from tidelog.llm import bpe, chat, licenses, packing, simhash, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,19 @@ def op4(spark, sf_dir):
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_exact_topk", """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.ints, c.ints)::BIGINT AS score
+  FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""")
+def op6(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5, "op6")
+
+
 @query("op8_simhash")
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "op8")
