@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, licenses, packing, simhash, topk, toxicity, urls
+from tidelog.llm import bpe, chat, lattice, licenses, packing, simhash, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,11 @@ def op6(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5, "op6")
 
 
+@query("op7_lattice")
+def op7(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), name="op7")
+
+
 @query("op8_simhash")
 def op8(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "op8")
