@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tidelog.llm import lattice
+from tidelog.llm import buckets, lattice
 from tidelog.llm.queries import QUERIES
 
 
@@ -52,7 +52,8 @@ def test_nearest_point():
 
 
 def test_large_group_in_blocks(lspark, monkeypatch):
-    monkeypatch.setattr(lattice, "SMALL_CELL", 6)
+    monkeypatch.setattr(buckets, "SMALL", 6)
+    monkeypatch.setattr(buckets, "BLOCK", 16)
     monkeypatch.setattr(lattice, "BLOCK", 16)
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(3, 16))

@@ -9,14 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.buckets import BLOCK, bucket_links, square_blocks
 from tidelog.llm.common import Scratch
 from tidelog.llm.components import components
 from tidelog.llm.vectors import finite, matrix
 
 COSINE = 0.9
 TABLES, POINTS, SPREAD, PROBES, SEED = 12, 2, 0.5, 8, 7
-# A cell of up to so many entries is compared pair by pair; a larger one in square blocks of so many vectors.
-SMALL_CELL, BLOCK = 32, 1024
 
 
 def minimal_vectors() -> np.ndarray:
@@ -113,18 +112,6 @@ def verified(pairs: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(batches, "a long, b long")
 
 
-def _square_blocks(members: DataFrame, key: list[str], count: str) -> DataFrame:
-    """Rows of groups of any size, repeated so that every pair of a group meets in one (``key``, i, j): side says as which."""
-    n = F.ceil(F.col(count) / F.lit(BLOCK)).cast("int")
-    cut = members.withColumn("_n", n).withColumn("_at", F.pmod(F.xxhash64("v", F.lit(1)), F.col("_n")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
-    return cut.withColumn("_other", other).select(
-        *members.columns, F.explode(F.array(
-            F.struct(F.lit(True).alias("left"), F.col("_at").alias("i"), F.col("_other").alias("j")),
-            F.struct(F.lit(False).alias("left"), F.col("_other").alias("i"), F.col("_at").alias("j")))).alias("p")).select(
-        *members.columns, "p.left", "p.i", "p.j")
-
-
 def _same_length(table: pa.Table):
     """(left ids, left unit vectors, right ids, right unit vectors, left rows, right rows) for each length of vector."""
     sizes = table["embedding"].combine_chunks().value_lengths().to_numpy()
@@ -160,33 +147,6 @@ def _counts_in_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"v": pa.array(v, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
-def _cell_links(scratch: Scratch, vectors: DataFrame, cosine: float) -> DataFrame:
-    """Links (a, b) between vectors that share a cell, enough of them for the components of all such links."""
-    placed = scratch.store(entries(vectors), "entries")
-    heads = placed.groupBy("cell").agg(F.min(F.when(F.col("own"), F.col("v"))).alias("head"), F.count("*").alias("n")).where(
-        "n > 1 AND head IS NOT NULL")
-    heads = scratch.store(heads, "heads")
-    # Every entry with the first vector of its cell: linear in the entries, and it joins most groups of copies.
-    stars = placed.join(heads, "cell").where("v != head").select(F.least("v", "head").alias("a"), F.greatest("v", "head").alias("b")).distinct()
-    star_links = scratch.store(verified(stars, vectors, cosine), "stars")
-    comps = components(scratch, star_links, "star-links")
-    # Cells that still hold several components: what is not linked to the first may be linked to another.
-    known = placed.join(heads.where("n > 2"), "cell").join(comps.withColumnRenamed("id", "v"), "v", "left").select(
-        "cell", "head", "v", "own", F.coalesce("component", "v").alias("comp"))
-    open_ = known.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    open_ = scratch.store(open_.select("cell", "n"), "open")
-    small = known.join(open_.where(f"n <= {SMALL_CELL}"), "cell").groupBy("cell", "head").agg(
-        F.collect_list(F.struct("v", "own", "comp")).alias("vs"))
-    pairs = small.select("head", "vs", F.explode("vs").alias("x")).where("x.own").select("head", "x", F.explode("vs").alias("y")).where(
-        "x.comp != y.comp AND x.v != head AND y.v != head").select(
-        F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b")).distinct()
-    small_links = verified(pairs, vectors, cosine)
-    large = known.join(open_.where(f"n > {SMALL_CELL}"), "cell").dropDuplicates(["cell", "v"]).join(vectors.select("v", "embedding"), "v")
-    squares = _square_blocks(large.select("cell", "v", "comp", "embedding", "n"), ["cell"], "n")
-    large_links = squares.groupBy("cell", "i", "j").applyInArrow(lambda t: _links_in_blocks(t, cosine), "a long, b long")
-    return star_links.union(small_links).union(large_links.where("a != b"))
-
-
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, name: str = "lattice") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row: links at ``cosine`` or more, found by shared lattice cells.
 
@@ -201,7 +161,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, name: str = "lat
     usable = F.col("vec_id").isNotNull() & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
     distinct = rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("many"))
     distinct = scratch.store(distinct.select(F.monotonically_increasing_id().alias("v"), "embedding", "first", "many"), "distinct")
-    comps = components(scratch, _cell_links(scratch, distinct, cosine))
+    payload = distinct.select("v", "embedding")
+    links = bucket_links(scratch, entries(distinct), payload, lambda pairs: verified(pairs, payload, cosine), lambda t: _links_in_blocks(t, cosine))
+    comps = components(scratch, links)
     comps = scratch.store(comps.withColumnRenamed("id", "v").withColumnRenamed("component", "comp").join(distinct, "v"), "members")
     sizes = comps.groupBy("comp").agg(F.count("*").alias("n"), F.min("first").alias("component_id"))
     # Small components share a task, a large one is dealt into square blocks.
@@ -209,7 +171,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, name: str = "lat
     deal = max(1, comps.count() // BLOCK)
     small = members.where(f"n <= {BLOCK // 4}").withColumn("i", F.pmod(F.xxhash64("comp"), F.lit(deal)).cast("int"))
     small = small.select("v", "comp", "embedding", "many", F.explode(F.array(F.lit(True), F.lit(False))).alias("left"), F.lit(-1).cast("long").alias("g"), "i", F.col("i").alias("j"))
-    large = _square_blocks(members.where(f"n > {BLOCK // 4}"), ["comp"], "n").select("v", "comp", "embedding", "many", "left", F.col("comp").alias("g"), "i", "j")
+    large = square_blocks(members.where(f"n > {BLOCK // 4}"), "n").select("v", "comp", "embedding", "many", "left", F.col("comp").alias("g"), "i", "j")
     schema = "v long, n long"
     counted = small.groupBy("g", "i", "j").applyInArrow(_counts_in_blocks, schema).union(large.groupBy("g", "i", "j").applyInArrow(_counts_in_blocks, schema))
     counted = counted.groupBy("v").agg(F.sum("n").alias("n_links"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, lattice, licenses, packing, simhash, topk, toxicity, urls
+from tidelog.llm import bpe, chat, lattice, licenses, lines, packing, simhash, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,11 @@ def op4(spark, sf_dir):
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_line_dedup")
+def op5(spark, sf_dir):
+    return lines.near_lines(table(spark, sf_dir, "documents"), name="op5")
+
+
 @query("op6_exact_topk", """
 WITH sound AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS ints FROM embeddings
