@@ -4,7 +4,8 @@ import sys
 import duckdb
 import pytest
 
-sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
+for place in ("../../tools", "../..", "."):
+    sys.path.insert(0, os.path.abspath(os.path.join(os.path.dirname(__file__), place)))
 
 from tidelog.llm.common import prepare  # noqa: E402
 
