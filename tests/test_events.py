@@ -15,9 +15,9 @@ from tidelog.operators.capture import capture_tables, emit_only, flag_captured,
 from tidelog.operators.decode import decode_enum, enum_values
 from tidelog.operators.filters import datagram_limit, payload_status, select_topics, size_guard, split_corrupt, subscribe
 from tidelog.operators.routing import dispatch_counts, route, unmatched_events, with_topic
-from tidelog.operators.rows import changed_fields, explode_rows, normalize_event, pack_rows, preview_rows
+from tidelog.operators.rows import changed_fields, explode_rows, normalize_event, pack_rows, preview_changes, preview_rows
 from tidelog.sources.change_log import parse_change_log, table_columns
-from tidelog.sources.config import as_dimension, config_document, rules_tables
+from tidelog.sources.config import config_document, rules_tables
 
 RULES = {"capture": {"databases": [
     {"a": {"tables": [{"t": {"primary_key": ["id"], "columns": ["*"]}}, {"u": {"columns": ["y", "x"]}}, {"v": {}}]}},
@@ -34,7 +34,7 @@ RULES = {"capture": {"databases": [
 
 @pytest.fixture(scope="module")
 def config(spark):
-    return tuple(as_dimension(t) for t in rules_tables(config_document(spark, json.dumps(RULES))))
+    return rules_tables(config_document(spark, json.dumps(RULES)))
 
 
 def events(spark, *rows):
@@ -67,10 +67,13 @@ def test_broken_configuration_raises(spark):
         rules_tables(config_document(spark, '{"capture": {'))[0].collect()
 
 
-def test_large_dimension_stays_distributed(spark):
-    df = spark.range(50)
-    assert as_dimension(df, max_rows=10) is df
-    assert as_dimension(df, max_rows=50).count() == 50
+def test_documents_together_have_one_rule_per_table(spark):
+    docs = spark.createDataFrame([(json.dumps(RULES),), (json.dumps({"capture": {"databases": [{"a": {"tables": [{"t": {}}, {"w": {}}]}}]}}),)], "doc STRING")
+    rules, _ = rules_tables(docs)
+    names = [(r.db, r.table) for r in rules.collect()]
+    assert len(names) == len(set(names)) and ("a", "w") in names
+    log = events(spark, ("INSERT", "a", "t", None, '[{"id":1}]'))
+    assert capture_tables(log, rules).count() == project_columns(log, rules).count() == 1
 
 
 def test_capture_and_emission(spark, config):
@@ -116,7 +119,9 @@ def test_documents_escape_and_parse_back(spark):
     row = json.loads(out[0].json)["rows"][0]
     assert row == {"s": nasty, "i": -5, "f": 1.25, "n": None, "big": 2**53 + 1}
     ddl = json.loads(out[1].json)
-    assert list(ddl) == ["type", "txn", "db", "query"] and ddl["query"] == ("ALTER " + nasty + "x" * 2000)[:1023]
+    assert list(ddl) == ["type", "txn", "db", "query"] and ddl["query"] == "ALTER " + nasty + "x" * 2000
+    short = to_envelope(log, max_query_chars=9).where("type = 'ALTER'").first()
+    assert json.loads(short.json)["query"] == ("ALTER " + nasty)[:9]
     assert json.loads(out[2].json) == {"type": "COMMIT", "txn": "t", "db": "d", "xid": 2}
     assert json.loads(out[3].json)["rows"] == []
     assert out[0].p.type == "INSERT" and out[2].p.xid == 2 and out[1].p.table is None
@@ -142,6 +147,9 @@ def test_rows(spark):
         (0, 0, False, False), (0, 1, False, False), (2, 0, False, True)]
     diff = sorted((r.row_no, r.field, r.old_value, r.new_value) for r in changed_fields(flat).collect())
     assert diff == [(0, "a", "1", "2"), (1, "a", None, "0")]
+    typed = spark.sql("""SELECT map('n', cast(1 AS variant), 'm', cast('1' AS variant), 'k', parse_json('null'), 'd', cast(2.50BD AS variant)) AS before,
+        map('n', cast(1.0D AS variant), 'm', cast(1 AS variant), 'k', parse_json('null'), 'd', cast(2.5D AS variant)) AS after""")
+    assert [r.field for r in changed_fields(typed).collect()] == ["m"]  # numbers compare by value, text does not
     shown = {r.seq: (len(r.preview), r.more) for r in preview_rows(log, 1).collect()}
     assert shown == {0: (1, 1), 1: (0, 0), 2: (1, 0)}
 
@@ -150,9 +158,11 @@ def test_packing_splits_long_statements(spark):
     changes = spark.range(2500).selectExpr(
         "'f.1' as log_file", "7L as position", "'INSERT' as kind", "'d' as db", "'t' as `table`", "id as row_no",
         "map('id', cast(id as variant)) as row").repartition(7)
-    got = pack_rows(changes).orderBy("chunk").select(
-        "chunk", F.transform("rows", lambda r: r["id"].cast("bigint")).alias("ids")).collect()
-    assert [len(r.ids) for r in got] == [1000, 1000, 500]
+    got = pack_rows(changes, 1000).orderBy("chunk").select(
+        "chunk", "last_chunk", F.transform("rows", lambda r: r["id"].cast("bigint")).alias("ids")).collect()
+    assert [len(r.ids) for r in got] == [1000, 1000, 500] and [r.last_chunk for r in got] == [False, False, True]
+    shown = preview_changes(changes).first()
+    assert (len(shown.preview), shown.more) == (3, 2497)
     assert [i for r in got for i in r.ids] == list(range(2500))
 
 
@@ -161,6 +171,10 @@ def test_corrupt_documents(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, json STRING")
     got = [r[0] for r in df.orderBy("i").select(payload_status()).collect()]
     assert got == ["ok", "invalid", "empty", "empty", "empty", "empty", "empty", "invalid", "invalid", "invalid", "ok", "invalid"]
+    glued = ['{"a":1}{"b":2}', '{"a":1} {"b":2}', '{"a":1} junk }', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', '{"a":1}]', '"x","y"', '1 2', "nullnull"]
+    rows = spark.createDataFrame([(t,) for t in glued], "json STRING")
+    assert {r[0] for r in rows.select(payload_status()).collect()} == {"invalid"}
+    assert rows.where(parse_document("json").isNotNull()).count() == 0
     good, bad = split_corrupt(df)
     assert good.count() == 2 and bad.count() == 10
     assert parse_change_log(df).count() == len(texts)

@@ -16,7 +16,7 @@ def plan(df):
 
 @pytest.fixture()
 def large(spark):
-    """Settings under which nothing but checked dimensions is broadcast."""
+    """Settings under which nothing but relations of known small size is broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     yield spark
@@ -31,7 +31,8 @@ def test_no_cross_joins_and_no_row_udfs(spark, sf, name):
 
 
 def test_transactions_shuffle_the_log_once(large, sf):
-    text = plan(assign_txn(flag_captured(derived_log(large, sf), rules(large))))
+    known = large.createDataFrame(rules(large).toArrow(), rules(large).schema)
+    text = plan(assign_txn(flag_captured(derived_log(large, sf), known)))
     wide = [line for line in text.splitlines() if "Exchange hashpartitioning(_file" in line and "_slice" in line]
     scans = [line for line in text.splitlines() if "FileScan" in line]
     # One exchange of the rows; the others carry one row per slice.
@@ -57,6 +58,19 @@ def test_filters_reach_the_scan(spark, sf, tmp_path):
     assert "EqualTo(db,radius)" in text and "ReadSchema: struct<position:bigint,db:string>" in text
 
 
+def test_routing_touches_events_once(spark, sf):
+    text = plan(catalog.QUERIES["route_fanout"](spark, sf))
+    events_side = text[text.rindex("FileScan") - 2000:]
+    assert text.count("FileScan") == 1 and "Expand" not in text
+    assert "Generate" not in "".join(line for line in events_side.splitlines() if "explode(array(concat" in line)
+
+
+def test_last_event_hashes(spark, sf):
+    for name in ("last_event", "last_event_overall"):
+        text = plan(catalog.QUERIES[name](spark, sf))
+        assert "max_by" not in text and re.search(r" HashAggregate\(keys=\[[^\]]*\], functions=\[partial_max\(_place", text)
+
+
 def test_counters_combine_before_the_shuffle(spark, sf):
     for name in ("table_counts", "event_counters_by_table", "delivery_stats", "txn_outcome"):
         text = plan(catalog.QUERIES[name](spark, sf))

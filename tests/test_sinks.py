@@ -124,7 +124,7 @@ def test_webhook_retries(ev):
 def test_backoff_doubles(monkeypatch):
     pauses = []
     monkeypatch.setattr(deliver.time, "sleep", pauses.append)
-    assert deliver.attempt(lambda r: 500, {}, 3, 0.1) == (False, 4, 500)
+    assert deliver.attempt(lambda r: 500, {}, 3, 0.1) == (False, 4, 500, None)
     assert pauses == [0.1, 0.2, 0.4]
 
 
@@ -181,12 +181,35 @@ def test_event_publisher(ev, spark):
     assert (stats.publisher, stats.published, stats.errors) == ("odd", 13, 12)
 
 
-def test_failing_publisher_does_not_hold_up_others(ev, spark):
+def test_failing_publisher_does_not_hold_up_others(ev, spark, tmp_path):
     routes = spark.createDataFrame(
         [("good", True, ["a"], "x", {}), ("bad", True, [], "x", {}), ("all", True, [], "x", {})],
         "publisher STRING, active BOOLEAN, databases ARRAY<STRING>, sink STRING, options MAP<STRING,STRING>")
     good, everything = Collecting(), Collecting()
-    outcomes = publish(ev, routes, {"good": good, "bad": Collecting(fail=True), "all": everything}, 3)
+    outcomes = publish(ev, routes, {"good": good, "bad": Collecting(fail=True), "all": everything}, str(tmp_path), 3)
     assert [(o.publisher, o.ok) for o in outcomes] == [("good", True), ("bad", False), ("all", True)]
     assert good.batches == [(3, 13)] and everything.batches == [(3, 25)]
     assert "down" in outcomes[1].error
+    with pytest.raises(ValueError, match="all, bad"):
+        publish(ev, routes, {"good": good}, str(tmp_path), 4)
+
+
+def test_failed_records_fail_the_outcome(ev, spark, tmp_path):
+    class Picky(EventPublisher):
+        name = "picky"
+
+        def init(self, options):
+            pass
+
+        def publish(self, event):
+            if event["db"] == "b":
+                raise OSError("no b")
+            return 0
+
+    routes = spark.createDataFrame([("picky", True, [], "x"), ("only_a", True, ["a", "a"], "x"), ("off", False, [], "x")],
+                                   "publisher STRING, active BOOLEAN, databases ARRAY<STRING>, sink STRING")
+    picky, only_a = publish(ev, routes, {"picky": Picky(), "only_a": Picky()}, str(tmp_path), 7)
+    assert (picky.ok, picky.delivered, picky.failed) == (False, 13, 12) and "12 records" in picky.error
+    assert (only_a.ok, only_a.delivered, only_a.failed) == (True, 13, 0)
+    stored = spark.read.parquet(str(tmp_path / "batch=7" / "sender=picky"))
+    assert {r.error for r in stored.where("not ok").collect()} == {"OSError: no b"}

@@ -12,7 +12,7 @@ from tidelog.operators.txn import assign_txn
 from tidelog.plans.change_events import change_events
 from tidelog.plans.derived_log import derived_log, log_of, routes, rules
 from tidelog.sinks.deliver import PythonSink
-from tidelog.sinks.publisher import Publisher, health
+from tidelog.sinks.publisher import EventPublisher, Publisher, health
 from tidelog.sources.change_log import read_change_stream
 from tidelog.streaming.pipeline import assign_txn_stream, drain_and_stop, run_pipeline
 
@@ -118,7 +118,7 @@ def test_whole_stream_to_publishers(spark, sf, tmp_path):
     saving = Saving(str(tmp_path / "out"))
     outcomes = []
     stream = log_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(source))
-    query = run_pipeline(stream, rules(spark), routes(spark), {"broker": saving}, str(tmp_path / "check"),
+    query = run_pipeline(stream, rules(spark), routes(spark).where("publisher = 'broker'"), {"broker": saving}, str(tmp_path / "check"),
                          on_outcomes=outcomes.extend)
     query.awaitTermination()
     state = health(query, {"broker": saving})
@@ -140,7 +140,7 @@ def test_failed_publisher_stops_the_checkpoint(spark, sf, tmp_path):
     def run(broker, **options):
         stream = log_of(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")))
         outcomes = []
-        query = run_pipeline(stream, rules(spark), routes(spark), {"files": Saving(str(tmp_path / "files")), "broker": broker},
+        query = run_pipeline(stream, rules(spark), routes(spark).where("publisher in ('files', 'broker')"), {"files": Saving(str(tmp_path / "files")), "broker": broker},
                              str(tmp_path / "check"), on_outcomes=outcomes.extend, **options)
         return query, outcomes
 
@@ -154,6 +154,42 @@ def test_failed_publisher_stops_the_checkpoint(spark, sf, tmp_path):
     assert spark.read.parquet(str(tmp_path / "broker")).count() == change_events(derived_log(spark, sf), rules(spark)).count()
 
 
+def test_failed_records_repeat_the_batch(spark, sf, tmp_path):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.coalesce(1).write.parquet(str(tmp_path / "events"))
+    only = routes(spark).where("publisher = 'broker'")
+
+    class PerEvent(EventPublisher):
+        name = "broker"
+
+        def __init__(self, up):
+            self.up = up
+
+        def init(self, options):
+            pass
+
+        def publish(self, event):
+            return 0 if self.up or event["position"] % 3 else 1
+
+    def run(broker):
+        stream = log_of(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")))
+        outcomes = []
+        return run_pipeline(stream, rules(spark), only, {"broker": broker}, str(tmp_path / "check"), on_outcomes=outcomes.extend), outcomes
+
+    query, outcomes = run(PerEvent(False))
+    with pytest.raises(Exception, match="records failed"):
+        query.awaitTermination()
+    assert outcomes[0].failed > 0 and outcomes[0].delivered > 0
+    query, outcomes = run(PerEvent(True))
+    query.awaitTermination()
+    total = change_events(derived_log(spark, sf), rules(spark)).count()
+    assert [(o.batch_id, o.ok, o.delivered) for o in outcomes] == [(0, True, total)]
+    report = spark.read.parquet(str(tmp_path / "check" / "deliveries" / "batch=0" / "sender=broker"))
+    assert report.count() == report.where("ok").count() == total
+    with pytest.raises(ValueError, match="broker"):
+        run_pipeline(spark.readStream.schema(events.schema).parquet(str(tmp_path / "events")), rules(spark), only, {}, str(tmp_path / "no"))
+
+
 def test_text_stream_and_windowed_counters(spark, sf, tmp_path):
     lines = change_events(derived_log(spark, sf), rules(spark))
     lines.select("json").coalesce(1).write.text(str(tmp_path / "lines"))

@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
-# The parser stops after the first complete value; a document must be one value
-# from end to end.
-WHOLE_VALUE = r"""(?s)^\s*(\{.*\}|\[.*\]|".*"|[^\s"{\[]+)\s*$"""
+
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, however often it is used and wherever the optimizer moves it."""
+    return F.transform(F.array(value), then)[0]
 
 
 def parse_document(text: Column | str) -> Column:
-    """VARIANT of a JSON text; null for anything that is not exactly one JSON value."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.when(c.rlike(WHOLE_VALUE), F.try_parse_json(c))
+    """VARIANT of a JSON text; null for anything that is not exactly one JSON value.
+
+    The parser stops after the first complete value, so the text is parsed as the
+    first element of an array that ends with a digest of the text: only if the
+    digest is element 1 and the last one, the text was one value from end to end.
+    """
+    def parsed(t: Column) -> Column:
+        digest = F.md5(t.cast("binary"))
+        both = F.try_parse_json(F.concat(F.lit("["), t, F.lit(',"'), digest, F.lit('"]')))
+        whole = lambda b: F.try_variant_get(b, "$[1]", "string").eqNullSafe(digest) & F.try_variant_get(b, "$[2]", "variant").isNull()
+        return once(both, lambda b: F.when(whole(b), F.try_variant_get(b, "$[0]", "variant")))
+
+    return once(F.col(text) if isinstance(text, str) else text, parsed)
+
+
+def document_status(text: Column, document: Column) -> Column:
+    """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object) of a text and its parsed document."""
+    return once(F.schema_of_variant(document), lambda shape: (
+        F.when(text.isNull() | text.rlike(r"^\s*$") | shape.isin("VOID", "OBJECT<>"), "empty")
+        .when(shape.startswith("OBJECT<"), "ok")
+        .otherwise("invalid")
+    ))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import DML_KINDS, PAYLOAD
 from .classify import classify_query, is_ddl
-from .text import truncate_query
 
 
 def event_type() -> Column:
@@ -19,16 +18,18 @@ def event_type() -> Column:
     )
 
 
-def to_envelope(ev: DataFrame) -> DataFrame:
+def to_envelope(ev: DataFrame, max_query_chars: int | None = None) -> DataFrame:
     """Add ``type`` and ``json``.
 
     ``to_json`` drops null *struct* fields, so a key that an event type does
     not have is absent; null *map* values, i.e. null columns of a row image,
-    stay.  DDL and COMMIT documents carry no ``table`` key.
+    stay.  DDL and COMMIT documents carry no ``table`` key.  Statements are whole
+    unless ``max_query_chars`` asks for their beginnings.
     """
     cols = ev.columns
     dml = F.col("type").isin(DML_KINDS)
     nothing = F.lit(None)
+    statement = F.col("query") if max_query_chars is None else F.substring("query", 1, max_query_chars)
     body = F.struct(
         "type",
         "txn",
@@ -37,7 +38,7 @@ def to_envelope(ev: DataFrame) -> DataFrame:
         (F.when(dml & (F.size("primary_key") > 0), F.col("primary_key"))
          if "primary_key" in cols else nothing.cast("array<string>")).alias("primary_key"),
         F.when(dml, F.coalesce("rows", F.array().cast("array<map<string,variant>>"))).alias("rows"),
-        F.when(is_ddl("type"), truncate_query("query")).alias("query"),
+        F.when(is_ddl("type"), statement).alias("query"),
         F.when(F.col("type") == "COMMIT", F.col("xid")).alias("xid"),
     )
     return ev.withColumn("type", event_type()).withColumn("json", F.to_json(body))

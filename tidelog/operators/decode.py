@@ -94,8 +94,8 @@ def enum_values(columns: DataFrame) -> DataFrame:
 def decode_enum(df: DataFrame, enums: DataFrame, ordinal: str = "ordinal", name: str = "label") -> DataFrame:
     """Add the label of ``(db, table, column, ordinal)``; its number as text if unknown.
 
-    A dictionary that went through ``as_dimension`` has a known size, so the join
-    broadcasts it instead of shuffling on a handful of ordinals.
+    The join is the optimizer's choice: adaptive execution broadcasts a dictionary
+    that turns out small and splits a hot ordinal of a large one.
     """
     keys = ["db", "table", "column"]
     labels = enums.select(*keys, F.col("ordinal").alias(ordinal), F.col("label").alias("_label"))

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.documents import parse_document
+from ..functions.documents import document_status, once, parse_document
 from ..schemas import MAX_DATAGRAM
 
 
@@ -56,22 +56,8 @@ def select_topics(
 def payload_status(json: Column | str = "json") -> Column:
     """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object)."""
 
-    def judge(text: Column) -> Column:
-        fields = F.try_variant_get(parse_document(text), "$", "map<string,variant>")
-        # An object has fields (1) or none (0); anything else has no size (-1).
-        verdict = F.element_at(
-            F.array(F.lit("invalid"), F.lit("empty"), F.lit("ok")),
-            (F.signum(F.coalesce(F.size(fields), F.lit(-1))) + 2).cast("int"),
-        )
-        return (
-            F.when(text.isNull() | text.rlike(r"^\s*(null\s*)?$"), "empty")
-            .otherwise(verdict)
-        )
-
-    # Bound to a lambda, the document is computed once however this expression
-    # is pushed around.
     document = F.col(json) if isinstance(json, str) else json
-    return F.transform(F.array(document), judge)[0]
+    return once(document, lambda text: document_status(text, parse_document(text)))
 
 
 def split_corrupt(raw: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:

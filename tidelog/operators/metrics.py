@@ -65,11 +65,21 @@ def affected_rows(ev: DataFrame) -> DataFrame:
 
 
 def last_event(ev: DataFrame, by: list[str] | None = None, ts: str = "ts") -> DataFrame:
-    """The latest event in log order, overall or per group."""
-    keep = [c for c in ("type", "db", "table", ts) if c not in (by or [])]
-    place = F.struct(file_no(), F.col("position"))
-    latest = ev.groupBy(*(by or [])).agg(F.max_by(F.struct(*keep), place).alias("_last"))
-    return latest.select(*(by or []), *[F.col(f"_last.{c}").alias(c) for c in keep])
+    """The latest event in log order, overall or per group.
+
+    The latest place is one number, so it is found by a hash aggregate that combines
+    before the shuffle; the event itself is then looked up by it.
+    """
+    by = by or []
+    keep = [c for c in ("type", "db", "table", ts) if c not in by]
+    place = (file_no().cast("decimal(19,0)") * F.expr("9223372036854775808BD") + F.col("position")).cast("decimal(38,0)")
+    placed = ev.select(*by, *keep, place.alias("_place"))
+    latest = placed.groupBy(*by).agg(F.max("_place").alias("_latest")).select(*[F.col(c).alias(f"_{c}") for c in by], "_latest")
+    same = F.col("_place") == F.col("_latest")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    found = placed.join(latest, same).select(*by, *keep)
+    return found.dropDuplicates(by) if by else found.limit(1)
 
 
 def error_counts(raw: DataFrame, status: str = "status") -> DataFrame:

@@ -35,32 +35,28 @@ def with_topic(
     return ev.withColumn(name, topic)
 
 
-# A publisher listens to named databases or to all of them.  Giving both sides a
-# match key turns that "equal or wildcard" condition into a plain equi-join.
-ANY = "*"
-
-
-def _listen_keys(routes: DataFrame, *cols: str) -> DataFrame:
-    named = F.transform(F.array_distinct("databases"), lambda d: F.concat(F.lit("="), d))
-    everything = F.coalesce(F.size("databases"), F.lit(0)) == 0
-    return routes.where("active").select(
-        *cols, F.explode(F.when(everything, F.array(F.lit(ANY))).otherwise(named)).alias("_key")
-    )
-
-
-def _event_keys(ev: DataFrame) -> DataFrame:
-    keys = F.array(F.concat(F.lit("="), F.col("db")), F.lit(ANY))
-    return ev.where("db is not null").select("*", F.explode(keys).alias("_key"))
+# A publisher listens to named databases or to all of them.
+def _listeners(routes: DataFrame, *cols: str) -> tuple[DataFrame, DataFrame]:
+    """(db, _to) for named databases and one row (_to) of those that take every database: arrays of publishers."""
+    active = routes.where("active").withColumn("_to", F.struct(*cols))
+    named = active.select("_to", F.explode(F.array_distinct("databases")).alias("db")).groupBy("db").agg(F.collect_list("_to").alias("_to"))
+    everywhere = active.where(F.coalesce(F.size("databases"), F.lit(0)) == 0).agg(F.collect_list("_to").alias("_to"))
+    return named, everywhere
 
 
 def route(ev: DataFrame, routes: DataFrame) -> DataFrame:
     """One row per event and matching active publisher.
 
-    A publisher without databases takes every event; an event without a
-    database goes nowhere.
+    A publisher without databases takes every event; an event without a database
+    goes nowhere.  Each event meets the publishers of its database in one join, as
+    an array, and is repeated only for publishers that take it.  A route's
+    settings stay with the route: they may hold passwords.
     """
-    return _event_keys(ev).join(
-        _listen_keys(routes, "publisher", "sink", "options"), "_key").drop("_key")
+    named, everywhere = _listeners(routes, "publisher", "sink")
+    met = ev.where("db is not null").join(named, "db", "left")
+    none = F.array().cast("array<struct<publisher:string,sink:string>>")
+    to = F.concat(F.coalesce("_to", none), everywhere.scalar())
+    return met.withColumn("_to", F.explode(to)).select(*ev.columns, "_to.publisher", "_to.sink")
 
 
 def with_dispatch_count(ev: DataFrame, routes: DataFrame) -> DataFrame:
@@ -68,9 +64,9 @@ def with_dispatch_count(ev: DataFrame, routes: DataFrame) -> DataFrame:
 
     Counts per database come from the routes, so events are not shuffled.
     """
-    counts = _listen_keys(routes).groupBy("_key").agg(F.count("*").alias("_n"))
-    everywhere = counts.where(F.col("_key") == ANY).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
-    named = counts.select(F.substring("_key", 2, 2147483647).alias("db"), "_n").where(F.col("_key") != ANY)
+    named, everywhere = _listeners(routes, "publisher")
+    named = named.select("db", F.size("_to").cast("bigint").alias("_n"))
+    everywhere = everywhere.select(F.size("_to").cast("bigint"))
     return ev.join(named, "db", "left").withColumn(
         "dispatched",
         F.when(F.col("db").isNull(), F.lit(0).cast("bigint"))

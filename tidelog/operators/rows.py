@@ -9,23 +9,41 @@ from ..functions.documents import parse_document
 IMAGE = "map<string,variant>"
 
 
-def pack_rows(changes: DataFrame, max_rows: int = 1000) -> DataFrame:
+def pack_rows(changes: DataFrame, max_rows: int) -> DataFrame:
     """Gather single-row changes of one statement into multi-row events.
 
     ``changes`` has ``log_file, position, kind, db, table, row_no, row``; ``row_no``
     counts from 0 inside the statement.  A long statement becomes several
     events of at most ``max_rows`` rows, numbered by ``chunk``; the chunk is part
-    of the grouping key, so no task ever gathers more than that.
+    of the grouping key, so no task ever gathers more than that.  ``last_chunk``
+    marks the end of a statement.
     """
     if max_rows < 1:
         raise ValueError("max_rows must be positive")
     keyed = changes.withColumn("chunk", F.floor(F.col("row_no") / max_rows))
+    ends = keyed.groupBy("log_file", "position").agg(F.max("chunk").alias("_end"))
     gathered = keyed.groupBy("log_file", "position", "kind", "db", "table", "chunk").agg(
         F.collect_list(F.struct("row_no", "row")).alias("_items")
     )
     # VARIANT has no order, so rows are compared by number only.
     ordered = F.array_sort("_items", lambda a, b: (a["row_no"] - b["row_no"]).cast("int"))
-    return gathered.withColumn("rows", F.transform(ordered, lambda i: i["row"])).drop("_items")
+    packed = gathered.withColumn("rows", F.transform(ordered, lambda i: i["row"])).drop("_items")
+    return packed.join(ends, ["log_file", "position"]).withColumn("last_chunk", F.col("chunk") == F.col("_end")).drop("_end")
+
+
+def preview_changes(changes: DataFrame, n: int = 3) -> DataFrame:
+    """First ``n`` row images of each statement of ``changes`` and how many more there are.
+
+    Rows carry their number, so only the first ``n`` are gathered; the others are counted.
+    """
+    shown = F.when(F.col("row_no") < n, F.struct("row_no", "row"))
+    found = changes.groupBy("log_file", "position", "kind", "db", "table").agg(
+        F.collect_list(shown).alias("_items"), F.count("*").alias("_n"))
+    ordered = F.array_sort("_items", lambda a, b: (a["row_no"] - b["row_no"]).cast("int"))
+    return found.withColumns({
+        "preview": F.transform(ordered, lambda i: i["row"]),
+        "more": F.greatest(F.col("_n") - n, F.lit(0)),
+    }).drop("_items", "_n")
 
 
 def explode_rows(ev: DataFrame) -> DataFrame:
@@ -44,12 +62,21 @@ def explode_rows(ev: DataFrame) -> DataFrame:
     }).drop("_row")
 
 
+def _same(a: Column, b: Column) -> Column:
+    """Whether two VARIANTs hold the same value; numbers compare by value, whatever their type."""
+    def number(v: Column) -> Column:
+        # Text that looks like a number stays text; decimals are exact, doubles beyond their range compare as such.
+        return F.when(F.schema_of_variant(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"),
+                      F.try_variant_get(v, "$", "double"))
+
+    exact = F.to_json(a).eqNullSafe(F.to_json(b))
+    whole = F.schema_of_variant(a) == F.schema_of_variant(b)
+    return exact | (~F.coalesce(whole, F.lit(False)) & F.coalesce(number(a) == number(b), F.lit(False)))
+
+
 def differing_keys(before: Column, after: Column) -> Column:
     """Keys of both images whose values differ, nulls comparing equal."""
-    changed = F.map_filter(
-        after,
-        lambda k, v: F.map_contains_key(before, k) & ~F.to_json(v).eqNullSafe(F.to_json(before[k])),
-    )
+    changed = F.map_filter(after, lambda k, v: F.map_contains_key(before, k) & ~_same(v, before[k]))
     return F.map_keys(changed)
 
 

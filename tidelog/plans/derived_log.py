@@ -12,7 +12,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.classify import event_kind
-from ..sources.config import as_dimension, config_document, rules_tables
+from ..sources.config import config_document, rules_tables
 from .change_events import change_events
 from .registry import table
 
@@ -72,7 +72,7 @@ def log_of(events: DataFrame) -> DataFrame:
                  else element_at(array('test_table', 'policy_script', 'bb_states'), cast(event_id % 3 + 1 as int))
             end as `table`""",
         f"""case when event_type = 'view' then 'BEGIN'
-                 when {ddl} then element_at(array('ALTER TABLE t', 'create table t', 'DROP TABLE t', 'Truncate t',
+                 when {ddl} then element_at(array('ALTER TABLE t', concat('create table t', repeat(' (note text)', 120)), 'DROP TABLE t', 'Truncate t',
                                                   'RENAME t'), cast(event_id % 5 + 1 as int)) end as query""",
         "cast(case when event_type = 'purchase' then event_id end as decimal(20,0)) as xid",
         f"""case when event_type = 'click' then
@@ -93,12 +93,12 @@ def config_docs(spark: SparkSession) -> DataFrame:
 
 @cache
 def rules(spark: SparkSession) -> DataFrame:
-    return as_dimension(rules_tables(config_docs(spark))[0])
+    return rules_tables(config_docs(spark))[0]
 
 
 @cache
 def routes(spark: SparkSession) -> DataFrame:
-    return as_dimension(rules_tables(config_docs(spark))[1])
+    return rules_tables(config_docs(spark))[1]
 
 
 def derived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +125,7 @@ L = """L AS (
     CASE WHEN event_type IN ('view', 'purchase') OR (event_type = 'error' AND event_id % 4 = 0) THEN NULL
          ELSE CASE event_id % 3 WHEN 0 THEN 'test_table' WHEN 1 THEN 'policy_script' ELSE 'bb_states' END END AS "table",
     CASE WHEN event_type = 'view' THEN 'BEGIN' WHEN event_type = 'error' AND event_id % 4 = 0 THEN
-         CASE event_id % 5 WHEN 0 THEN 'ALTER TABLE t' WHEN 1 THEN 'create table t' WHEN 2 THEN 'DROP TABLE t'
+         CASE event_id % 5 WHEN 0 THEN 'ALTER TABLE t' WHEN 1 THEN 'create table t' || repeat(' (note text)', 120) WHEN 2 THEN 'DROP TABLE t'
               WHEN 3 THEN 'Truncate t' ELSE 'RENAME t' END END AS query,
     CASE WHEN event_type = 'purchase' THEN event_id END AS xid
   FROM events)"""

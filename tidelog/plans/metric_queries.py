@@ -77,8 +77,8 @@ def last_overall(spark, sf):
 
 
 @query("error_counts", f"""WITH {M}
-SELECT count(*) AS total_received, count(type) AS processed, count(*) FILTER (type IS NULL AND json = '') AS empty,
-  count(*) FILTER (type IS NULL) AS errors FROM M""")
+SELECT count(*) AS total_received, count(*) FILTER (type IS NOT NULL OR log_file = 'text7') AS processed,
+  count(*) FILTER (type IS NULL AND json = '') AS empty, count(*) FILTER (type IS NULL AND log_file <> 'text7') AS errors FROM M""")
 def errors(spark, sf):
     return metrics.error_counts(mixed_documents(spark, sf).withColumn("status", payload_status("json")))
 

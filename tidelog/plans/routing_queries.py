@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.decode import decode_enum, enum_values
 from ..operators.filters import select_topics, size_guard, subscribe
 from ..operators.routing import dispatch_counts, new_streams, route, unmatched_events, with_topic
-from ..sources.config import as_dimension, rules_tables
+from ..sources.config import config_document, rules_tables
 from .derived_log import E, L, ROUTES, derived_events, derived_log, routes
 from .registry import query, table
 
@@ -101,7 +101,7 @@ def decoded(spark, sf):
     raw = orders.select(
         "o_orderkey", F.lit("shop").alias("db"), F.lit("orders").alias("table"), F.lit("priority").alias("column"),
         ordinal.alias("ordinal"))
-    return decode_enum(raw, as_dimension(names)).select("o_orderkey", "ordinal", "label")
+    return decode_enum(raw, names).select("o_orderkey", "ordinal", "label")
 
 
 def customer_documents(spark, sf):

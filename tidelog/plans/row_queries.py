@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import blob_preview, compact_summary, truncate_query
 from ..operators.capture import capture_tables, missing_columns, project_columns, with_primary_key
 from ..operators.filters import split_corrupt
-from ..operators.rows import changed_fields, explode_rows, normalize_event, pack_rows, preview_rows
+from ..operators.rows import changed_fields, explode_rows, normalize_event, pack_rows, preview_changes
 from ..sinks.records import redis_stream_records
 from ..sources.change_log import observed_columns, parse_change_log, parse_kafka, union_streams
 from .derived_log import J, L, RULES, derived_events, derived_log, rules
@@ -160,7 +160,7 @@ def changes(spark, sf):
 
 
 @query("row_preview", """SELECT conv_id AS position, CAST(least(count(*), 3) AS INTEGER) AS shown,
-  CAST(greatest(count(*) - 3, 0) AS INTEGER) AS more,
+  greatest(count(*) - 3, 0) AS more,
   array_to_string(list_slice(list(role || ':' || length(text) ORDER BY turn), 1, 3), ',') AS members
 FROM conversations GROUP BY conv_id""")
 def preview(spark, sf):
@@ -168,10 +168,33 @@ def preview(spark, sf):
         "'000001' as log_file", "conv_id as position", "'INSERT' as kind", "'chat' as db", "'turns' as `table`",
         "turn as row_no", "map('role', cast(role as variant), 'size', cast(length(text) as variant)) as row")
     members = F.transform("preview", lambda r: F.concat(r["role"].cast("string"), F.lit(":"), r["size"].cast("string")))
-    return preview_rows(pack_rows(turns)).select(
+    return preview_changes(turns).select(
         "position", F.size("preview").alias("shown"), "more", F.array_join(members, ",").alias("members"))
 
 
+def long_statements(spark, sf):
+    """Every 2,500 events as the changed rows of one statement."""
+    return table(spark, sf, "events").selectExpr(
+        "'000001' as log_file", "event_id div 2500 as position", "'INSERT' as kind", "'shop' as db", "'visits' as `table`",
+        "event_id % 2500 as row_no", "map('id', cast(event_id as variant)) as row")
+
+
+@query("pack_long_statements", """SELECT event_id // 2500 AS position, (event_id % 2500) // 1000 AS chunk, CAST(count(*) AS INTEGER) AS n_rows,
+  (event_id % 2500) // 1000 = max((event_id % 2500) // 1000) OVER (PARTITION BY event_id // 2500) AS last_chunk,
+  min(event_id) AS first_id, max(event_id) AS last_id
+FROM events GROUP BY event_id // 2500, (event_id % 2500) // 1000""")
+def packed_long(spark, sf):
+    ids = F.transform("rows", lambda r: r["id"].cast("bigint"))
+    return pack_rows(long_statements(spark, sf), max_rows=1000).select(
+        "position", "chunk", F.size("rows").alias("n_rows"), "last_chunk", F.element_at(ids, 1).alias("first_id"), F.element_at(ids, -1).alias("last_id"))
+
+
+@query("preview_long_statements", """SELECT event_id // 2500 AS position, CAST(least(count(*), 3) AS INTEGER) AS shown, greatest(count(*) - 3, 0) AS more
+FROM events GROUP BY ALL""")
+def preview_long(spark, sf):
+    return preview_changes(long_statements(spark, sf)).select("position", F.size("preview").alias("shown"), F.col("more").cast("bigint").alias("more"))
+
+
 @query("truncate_query", """SELECT doc_id, substring(text, 1, 1023) AS statement, substring(text, 1, 100) AS display FROM documents""")
 def truncated(spark, sf):
     return table(spark, sf, "documents").select(
@@ -188,23 +211,29 @@ def previewed(spark, sf):
     return table(spark, sf, "pages").select("page_id", blob_preview("html").alias("preview"))
 
 
+# A text, nothing, and documents that begin and end like one value but are not.
+GLUED = """array({text}, '', '{"a":1}{"b":2}', '{"a":1} {"b":2}', '{"a":1} junk }', '{"a":1},{"b":2}', '{"a":1}],[{"b":2}', ' {"a":1} ')"""
+
+
 def mixed_documents(spark, sf):
-    """Published documents next to the texts of ``documents``, most of which are not JSON."""
+    """Published documents, all texts of ``documents`` (not JSON), empty ones, and documents with something glued on."""
     events = derived_events(spark, sf).select("log_file", "position", "json", "db", "table", "txn")
     texts = table(spark, sf, "documents").selectExpr(
-        "'text' as log_file", "doc_id as position", "if(doc_id % 10 = 0, '', text) as json", "lang as db",
-        "if(doc_id % 3 = 0, null, source) as `table`", "cast(null as string) as txn")
-    return events.unionByName(texts)
+        "doc_id as position", "text", "lang as db", "if(doc_id % 3 = 0, null, source) as `table`", "cast(null as string) as txn")
+    texts = texts.select("*", F.expr(f"posexplode({GLUED.replace('{text}', 'text')}) as (_how, json)"))
+    return events.unionByName(texts.selectExpr("concat('text', _how) as log_file", "position", "json", "db", "`table`", "txn"))
 
 
 M = f"""{J}, M AS (
   SELECT log_file, position, json, db, "table", txn, type, kind FROM J
-  UNION ALL SELECT 'text', doc_id, CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END, lang,
-    CASE WHEN doc_id % 3 <> 0 THEN source END, NULL, NULL, NULL FROM documents)"""
+  UNION ALL SELECT 'text' || how, doc_id, json, lang, CASE WHEN doc_id % 3 <> 0 THEN source END, NULL, NULL, NULL FROM (
+    SELECT doc_id, lang, source, unnest(range(8)) AS how, unnest({GLUED.replace('array(', '[').replace('{text}', 'text')[:-1]}]) AS json
+    FROM documents))"""
 
 
 @query("compact_summary", f"""WITH {M}
-SELECT log_file, position, substring(CASE WHEN type IS NULL THEN 'CDC event db=' || coalesce(db, '?') || ' table=' || coalesce("table", '?')
+SELECT log_file, position, substring(CASE WHEN log_file = 'text7' THEN 'CDC: UNKNOWN db=' || coalesce(db, '?') || ' table=' || coalesce("table", '?') || ' rows=0 txn=none'
+  WHEN type IS NULL THEN 'CDC event db=' || coalesce(db, '?') || ' table=' || coalesce("table", '?')
   ELSE 'CDC: ' || type || ' db=' || db || ' table=' || "table" || ' rows=' ||
        CASE WHEN kind IN ('INSERT', 'UPDATE', 'DELETE') THEN 1 ELSE 0 END || ' txn=' || coalesce(txn, 'none') END, 1, 511) AS summary
 FROM M""")
@@ -214,7 +243,7 @@ def summary(spark, sf):
 
 @query("corrupt_split", f"""WITH {M}
 SELECT log_file, position, CASE WHEN json = '' THEN 'empty' ELSE 'invalid' END AS status, octet_length(encode(json)) AS bytes
-FROM M WHERE type IS NULL""")
+FROM M WHERE type IS NULL AND log_file <> 'text7'""")
 def corrupt(spark, sf):
     _, bad = split_corrupt(mixed_documents(spark, sf))
     return bad.select("log_file", "position", "status", F.octet_length("json").cast("bigint").alias("bytes"))

@@ -47,7 +47,7 @@ PAYLOAD = (
 # What a delivery attempt reports back.
 DELIVERIES = (
     "publisher STRING, log_file STRING, position BIGINT, ok BOOLEAN, "
-    "dropped BOOLEAN, attempts INT, status INT, bytes BIGINT"
+    "dropped BOOLEAN, attempts INT, status INT, bytes BIGINT, error STRING"
 )
 
 # --- Fixed values: key names of the configuration document ------------------

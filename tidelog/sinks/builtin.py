@@ -147,7 +147,7 @@ class DatagramPublisher(Delivering):
             self.options.get("add_newline") not in ("no", "false", "0"))
         dropped = oversize.selectExpr(
             f"'{self.name}' as publisher", "log_file", "position", "false as ok", "true as dropped",
-            "0 as attempts", "cast(null as int) as status", "0L as bytes")
+            "0 as attempts", "cast(null as int) as status", "0L as bytes", "'larger than a packet' as error")
         return deliver(fits, self.name, self.transport, self.payload).unionByName(dropped)
 
 

@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import DELIVERIES
 
@@ -20,25 +20,27 @@ from ..schemas import DELIVERIES
 DEFAULT_RETRIES = 3
 FIRST_BACKOFF_SECONDS = 0.1
 
+SIZE = "_payload_bytes"
+
 
 def is_success(status: int | None) -> bool:
     """2xx, or a transport that reports nothing."""
     return status is None or 200 <= status < 300
 
 
-def attempt(send: Callable[[dict], int | None], record: dict, retries: int, backoff: float) -> tuple[bool, int, int | None]:
+def attempt(send: Callable[[dict], int | None], record: dict, retries: int, backoff: float) -> tuple[bool, int, int | None, str | None]:
     """Send once and up to ``retries`` more times, doubling the pause."""
-    status = None
+    status = error = None
     for n in range(retries + 1):
         try:
-            status = send(record)
+            status, error = send(record), None
             if is_success(status):
-                return True, n + 1, status
-        except Exception:
-            status = None
+                return True, n + 1, status, None
+        except Exception as failure:
+            status, error = None, f"{type(failure).__name__}: {failure}"
         if n < retries and backoff > 0:
             time.sleep(backoff * 2**n)
-    return False, retries + 1, status
+    return False, retries + 1, status, error
 
 
 def deliver(
@@ -60,15 +62,15 @@ def deliver(
         for batch in batches:
             out = []
             for record in batch.to_dict("records"):
-                ok, attempts, status = attempt(send, record, retries, backoff)
-                size = len(str(record[payload]).encode("utf-8")) if ok else 0
-                out.append((publisher, record["log_file"], record["position"], ok, False, attempts, status, size))
+                ok, attempts, status, error = attempt(send, {k: v for k, v in record.items() if k != SIZE}, retries, backoff)
+                size = record[SIZE] if ok else 0
+                out.append((publisher, record["log_file"], record["position"], ok, False, attempts, status, size, error))
             frame = pd.DataFrame(out, columns=["publisher", "log_file", "position", "ok", "dropped",
-                                               "attempts", "status", "bytes"])
+                                               "attempts", "status", "bytes", "error"])
             frame["status"] = frame["status"].astype("Int32")
             yield frame
 
-    return records.mapInPandas(run, DELIVERIES)
+    return records.withColumn(SIZE, F.coalesce(F.octet_length(payload), F.lit(0))).mapInPandas(run, DELIVERIES)
 
 
 def webhook_headers(token: str | None = None) -> dict[str, str]:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators.routing import route
 from .deliver import python_deliver
 
 REQUIRED = ["name", "init", "publish_batch"]
@@ -71,39 +71,64 @@ def validate(publisher: object) -> None:
 
 @dataclass(frozen=True)
 class Outcome:
-    """What publishing one batch to one publisher came to."""
+    """What publishing one batch to one publisher came to; ``ok`` means that no record failed."""
 
     publisher: str
     batch_id: int
     ok: bool
     error: str | None = None
+    delivered: int | None = None
+    failed: int | None = None
+    dropped: int | None = None
 
 
-def publish(ev: DataFrame, routes: DataFrame, publishers: Mapping[str, Publisher], batch_id: int = 0,
-            save_deliveries=None) -> list[Outcome]:
+def missing_publishers(routes: DataFrame, publishers: Mapping[str, Publisher]) -> list[str]:
+    """Active routes that no publisher serves: their events would vanish."""
+    active = routes.where("active").select("publisher").distinct()
+    return sorted(r.publisher for r in active.toLocalIterator() if r.publisher not in publishers)
+
+
+def _one(batch: DataFrame, routes: DataFrame, name: str, publisher: Publisher, batch_id: int, reports: str) -> Outcome:
+    """Publish to one publisher and count its stored report."""
+    try:
+        listens = routes.where(F.col("active") & (F.col("publisher") == name)).select(
+            F.explode(F.when(F.coalesce(F.size("databases"), F.lit(0)) == 0, F.array(F.lit(None).cast("string"))).otherwise(
+                F.array_distinct("databases"))).alias("_db")).distinct()
+        everything = listens.where("_db is null").limit(1).count() > 0
+        mine = batch.where("db is not null")
+        mine = mine if everything else mine.join(listens, F.col("db") == F.col("_db"), "left_semi")
+        report = publisher.publish_batch(mine, batch_id)
+        if report is None:
+            return Outcome(name, batch_id, True)
+        path = f"{reports.rstrip('/')}/batch={batch_id}/sender={name}"
+        report.write.mode("overwrite").parquet(path)
+        stored = batch.sparkSession.read.schema(report.schema).parquet(path)
+        sums = stored.agg(F.count_if("ok").alias("delivered"), F.count_if("dropped").alias("dropped"),
+                          F.count_if(~F.col("ok") & ~F.col("dropped")).alias("failed")).first()
+        error = f"{sums.failed} records failed, see {path}" if sums.failed else None
+        return Outcome(name, batch_id, not sums.failed, error, sums.delivered, sums.failed, sums.dropped)
+    except Exception as error:
+        return Outcome(name, batch_id, False, str(error))
+
+
+def publish(ev: DataFrame, routes: DataFrame, publishers: Mapping[str, Publisher], reports: str, batch_id: int = 0) -> list[Outcome]:
     """Write one batch to every publisher it is routed to.
 
-    The routed batch is computed once and read by each publisher.  A failing
-    publisher is recorded and does not hold up the others.
-    ``save_deliveries(df, batch_id, publisher)`` stores the DELIVERIES a publisher returns.
+    The batch is kept once and each publisher reads the events of its databases from
+    it; publishers do not depend on each other and run side by side.  A failing
+    publisher is recorded and does not hold up the others.  The DELIVERIES a
+    publisher returns are stored below the folder ``reports``; records that failed
+    make its outcome fail, those it can never take (``dropped``) are counted and stay in the report.  An active route without a publisher raises.
     """
-    routed = route(ev, routes).persist(StorageLevel.MEMORY_AND_DISK)
-    outcomes = []
+    if lost := missing_publishers(routes, publishers):
+        raise ValueError(f"no publisher for active routes {', '.join(lost)}")
+    batch = ev.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for name, publisher in publishers.items():
-            try:
-                result = publisher.publish_batch(routed.where(routed.publisher == name), batch_id)
-                if result is not None:
-                    if save_deliveries:
-                        save_deliveries(result, batch_id, name)
-                    else:
-                        result.write.format("noop").mode("overwrite").save()
-                outcomes.append(Outcome(name, batch_id, True))
-            except Exception as error:
-                outcomes.append(Outcome(name, batch_id, False, str(error)))
+        with ThreadPoolExecutor(max(1, min(len(publishers), 8))) as pool:
+            jobs = [pool.submit(_one, batch, routes, name, publisher, batch_id, reports) for name, publisher in publishers.items()]
+            return [job.result() for job in jobs]
     finally:
-        routed.unpersist()
-    return outcomes
+        batch.unpersist()
 
 
 def backlog_healthy(pending: int, batch_size: int) -> bool:

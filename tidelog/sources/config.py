@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.values import parse_bool, parse_int
 from ..schemas import CONFIG
@@ -23,23 +23,6 @@ def config_document(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql("SELECT * FROM VALUES (:doc) AS t(doc)", {"doc": text})
 
 
-# Rules and routes above this many rows stay distributed.
-MAX_DIMENSION_ROWS = 100_000
-
-
-def as_dimension(df: DataFrame, max_rows: int = MAX_DIMENSION_ROWS) -> DataFrame:
-    """A configuration table as a relation of known size, read once.
-
-    Its rows are checked against ``max_rows``: below it the optimizer sees the
-    exact size and can share one broadcast among all uses; above it the table is
-    returned as it was and joins shuffle.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(head, df.schema)
-
-
 def _names(text: Column) -> Column:
     """A list of names given as a JSON array, or a bare string as a list of one."""
     many = F.from_json(text, "array<string>")
@@ -65,16 +48,18 @@ def rules_tables(docs: DataFrame, column: str = "doc", keep: list[str] | None =
     """``(rules, routes)`` of a table of configuration documents.
 
     ``rules`` has one row per database and table, and one with a null table for a
-    database that lists none; ``routes`` has one row per named publisher.
+    database that lists none; ``routes`` has one row per named publisher.  Several
+    documents (with the same ``keep``) are one configuration: the first entry of a
+    (database, table) counts, in order of the documents' text.
     ``keep`` names columns of ``docs`` to carry along.  A document that is not JSON
     raises when the tables are read.
     """
     keep = list(keep or [])
-    parsed = docs.select(*keep, F.from_json(column, CONFIG, {"mode": "FAILFAST"}).alias("_c"))
+    parsed = docs.select(*keep, F.col(column).alias("_text"), F.from_json(column, CONFIG, {"mode": "FAILFAST"}).alias("_c"))
 
-    per_db = parsed.select(*keep, F.explode(_entries(F.col("_c.capture.databases"))).alias("_d"))
+    per_db = parsed.select(*keep, "_text", F.explode(_entries(F.col("_c.capture.databases"))).alias("_d"))
     per_table = per_db.select(
-        *keep,
+        *keep, "_text",
         F.col("_d.key").alias("db"),
         parse_bool("_d.value.capture_dml", DEFAULT_CAPTURE).alias("capture_dml"),
         parse_bool("_d.value.capture_ddl", DEFAULT_CAPTURE).alias("capture_ddl"),
@@ -84,13 +69,16 @@ def rules_tables(docs: DataFrame, column: str = "doc", keep: list[str] | None =
     every = F.coalesce(columns == F.array(F.lit("*")), F.lit(False))
     empty = F.array().cast("array<string>")
     rules = per_table.select(
-        *keep, "db", "capture_dml", "capture_ddl",
+        *keep, "_text", "db", "capture_dml", "capture_ddl",
         F.col("_t.key").alias("table"),
         _names(F.col("_t.value.primary_key")).alias("primary_key"),
         every.alias("all_columns"),
         F.when(every, empty).otherwise(F.coalesce(columns, empty)).alias("columns"),
     )
 
+    first = Window.partitionBy(*keep, "db", "table").orderBy("_text")
+    rules = rules.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "_text")
+
     plugins = parsed.select(*keep, F.explode("_c.publishers").alias("_p")).select(*keep, "_p.plugin.*")
     routes = plugins.where("name is not null and library_path is not null").select(
         *keep,

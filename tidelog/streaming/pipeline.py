@@ -20,7 +20,7 @@ from ..operators.capture import prepare_rows
 from ..operators.order import Slices
 from ..operators.txn import assign_txn, end_state
 from ..plans.change_events import published
-from ..sinks.publisher import Publisher, publish, validate
+from ..sinks.publisher import Publisher, missing_publishers, publish, validate
 
 STATE_SCHEMA = ("batch BIGINT, _open BOOLEAN, _edge_file BIGINT, _edge_pos BIGINT, _edge_begin BOOLEAN, "
                 "_map_db STRING, _last_file BIGINT, _last_pos BIGINT")
@@ -121,17 +121,19 @@ def run_pipeline(
     get the batch id, so a repeated batch can be recognised.  A publisher that
     fails does not hold up the others, but with ``retry_failed`` the query then
     stops and the batch is repeated on restart, so nothing is lost.
-    ``deliveries`` is a folder for the delivery reports, one part per batch.
+    Delivery reports are always stored, one part per batch and publisher, in the
+    folder ``deliveries`` or below the checkpoint; a record that failed makes the batch fail.
+    An active route without a publisher raises before the first batch.
     """
+    if lost := missing_publishers(routes, publishers):
+        raise ValueError(f"no publisher for active routes {', '.join(lost)}")
+    reports = deliveries or f"{checkpoint.rstrip('/')}/deliveries"
     for publisher in publishers.values():
         validate(publisher)
         publisher.start()
 
-    def save(report: DataFrame, batch_id: int, name: str) -> None:
-        report.write.mode("overwrite").parquet(f"{deliveries.rstrip('/')}/batch={batch_id}/sender={name}")
-
     def handle(assigned: DataFrame, batch_id: int) -> None:
-        outcomes = publish(published(assigned, rules), routes, publishers, batch_id, save if deliveries else None)
+        outcomes = publish(published(assigned, rules), routes, publishers, reports, batch_id)
         if on_outcomes:
             on_outcomes(outcomes)
         failed = [o for o in outcomes if not o.ok]
