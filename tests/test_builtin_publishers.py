@@ -56,14 +56,14 @@ def test_all_kinds(spark, sf, tmp_path):
         folder.mkdir()
     routes = routes_of(
         spark,
-        plugin("files", "file", ["radius"], file_path=str(tmp_path / "files"), rotate_max_events=20, rotate_max_files=2),
+        plugin("files", "file", ["web"], file_path=str(tmp_path / "files"), rotate_max_events=20, rotate_max_files=2),
         plugin("redis", "redis", use_streams=True, stream_prefix="s:"),
         plugin("udp", "udp", udp_host="h", udp_port=1, max_packet_size=250),
         plugin("zmq", "zmq", endpoint="e", subscriber_filtering=True),
         plugin("syslog", "syslog", format_compact="yes", facility="LOG_USER"),
-        plugin("web", "webhook", ["test"], webhook_url="u", auth_token="k"),
+        plugin("web", "webhook", ["shop"], webhook_url="u", auth_token="k"),
         plugin("script", "python", extra="e", on_start_method="begin"),
-        plugin("ledger", "mysql", ["test"], table="ledger", path=str(tmp_path / "ledger")),
+        plugin("ledger", "mysql", ["shop"], table="ledger", path=str(tmp_path / "ledger")),
     )
     script = Script()
     keys = {"redis": ["stream", "fields"], "udp": ["packet"], "zmq": ["topic", "payload"],
@@ -77,15 +77,15 @@ def test_all_kinds(spark, sf, tmp_path):
     outcomes = publish(ev, routes, publishers, str(tmp_path / "reports"))
     assert [o.publisher for o in outcomes if not o.ok] == ["script"]  # it refuses some events below
 
-    total, radius, test = ev.count(), ev.where("db = 'radius'").count(), ev.where("db = 'test'").count()
+    total, web, shop = ev.count(), ev.where("db = 'web'").count(), ev.where("db = 'shop'").count()
     stats = {r.publisher: r for r in metrics.delivery_stats(
         spark.read.parquet(f"{tmp_path}/reports/batch=0/sender=*")).collect()}
     assert stats["redis"].published == stats["zmq"].published == stats["syslog"].published == total
-    assert stats["web"].published == test
+    assert stats["web"].published == shop
     big = ev.where(F.octet_length("json") + 1 > 250).count()
     assert 0 < big < total and (stats["udp"].dropped, stats["udp"].published) == (big, total - big)
-    assert (stats["script"].published, stats["script"].errors) == (radius, total - radius)
-    assert spark.read.parquet(str(tmp_path / "ledger")).count() == test
+    assert (stats["script"].published, stats["script"].errors) == (web, total - web)
+    assert spark.read.parquet(str(tmp_path / "ledger")).count() == shop
     kept = glob.glob(f"{tmp_path}/files/segment=*")
     assert len(kept) == 3  # two rotated files and the active one
 
@@ -102,7 +102,7 @@ def test_all_kinds(spark, sf, tmp_path):
 def script_for_tasks(script):
     """The script object with an event hook that tasks can load by value."""
     def on_event(event):
-        return 0 if event["db"] == "radius" else 1
+        return 0 if event["db"] == "web" else 1
     script.on_event = on_event
     return script
 

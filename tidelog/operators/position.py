@@ -52,14 +52,16 @@ def parse_mark(text: str) -> tuple[str, int]:
     return name, int(position)
 
 
-def _later_than(log_file: str, position: int) -> Column:
-    number = int(re.search(r"(\d*)$", log_file).group(1) or -1)
-    return (file_no() > number) | ((file_no() == number) & (F.col("position") > position))
-
-
 def after(ev: DataFrame, mark: tuple[str, int]) -> DataFrame:
-    """Events strictly after a high-water mark."""
-    return ev.where(_later_than(*mark))
+    """Events strictly after a high-water mark.
+
+    A log that stores the number of its file as a column ``file_no`` is read from there on
+    only: the filter reaches the scan, and whole partitions or row groups are skipped.
+    """
+    log_file, position = mark
+    number = int(re.search(r"(\d*)$", log_file).group(1) or -1)
+    file = F.col("file_no") if "file_no" in ev.columns else file_no()
+    return ev.where((file > number) | ((file == number) & (F.col("position") > position)))
 
 
 def resume_from(

@@ -51,25 +51,25 @@ def unmatched(spark, sf):
 @query("new_streams", f"""WITH {L}
 SELECT DISTINCT 'cdc:' || coalesce(db, 'unknown') || '.' || coalesce("table", 'unknown') AS stream FROM L
 WHERE coalesce(db, 'unknown') || '.' || coalesce("table", 'unknown') NOT IN (
-  SELECT db || '.' || "table" FROM L WHERE kind = 'INSERT' AND db = 'radius')""")
+  SELECT db || '.' || "table" FROM L WHERE kind = 'INSERT' AND db = 'web')""")
 def streams_found(spark, sf):
     log = with_topic(derived_log(spark, sf), "stream", name="stream")
-    return new_streams(log, log.where("kind = 'INSERT' and db = 'radius'"))
+    return new_streams(log, log.where("kind = 'INSERT' and db = 'web'"))
 
 
 @query("subscribe_prefix", f"""WITH {L}
-SELECT log_file, position, db || '.' || coalesce("table", 'unknown') AS topic FROM L WHERE db = 'radius'""")
+SELECT log_file, position, db || '.' || coalesce("table", 'unknown') AS topic FROM L WHERE db = 'web'""")
 def subscribed(spark, sf):
     messages = with_topic(derived_log(spark, sf), "message")
-    return subscribe(messages, "radius.").select("log_file", "position", "topic")
+    return subscribe(messages, "web.").select("log_file", "position", "topic")
 
 
 @query("select_topics", f"""WITH {L}, N AS (
   SELECT log_file, position, 'cdc:' || coalesce(db, 'unknown') || '.' || coalesce("table", 'unknown') AS topic FROM L)
-SELECT * FROM N WHERE (topic LIKE 'cdc:r%' OR topic LIKE 'cdc:test.test_tabl_') AND topic <> 'cdc:radius.bb_states'""")
+SELECT * FROM N WHERE (topic LIKE 'cdc:w%' OR topic LIKE 'cdc:shop.ac_ount_') AND topic <> 'cdc:web.notes'""")
 def topics_selected(spark, sf):
     named = with_topic(derived_log(spark, sf), "stream")
-    return select_topics(named, ["cdc:r*", "cdc:test.test?tabl?"], ["cdc:radius.bb_states"]).select(
+    return select_topics(named, ["cdc:w*", "cdc:shop.ac?ount?"], ["cdc:web.notes"]).select(
         "log_file", "position", "topic")
 
 

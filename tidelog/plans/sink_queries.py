@@ -84,7 +84,7 @@ def flaky_transport():
 SELECT log_file, position, 'webhook' AS publisher, position // 100 % 6 <= 3 AS ok, false AS dropped,
   CAST(least(position // 100 % 6, 3) + 1 AS INTEGER) AS attempts,
   CAST(CASE WHEN position // 100 % 6 <= 3 THEN 204 ELSE 503 END AS INTEGER) AS status,
-  CASE WHEN position // 100 % 6 <= 3 THEN octet_length(encode(json)) ELSE 0 END AS bytes FROM J""")
+  CASE WHEN position // 100 % 6 <= 3 THEN octet_length(encode(json)) ELSE 0 END AS bytes, CAST(NULL AS VARCHAR) AS error FROM J""")
 def webhook(spark, sf):
     return webhook_deliver(derived_events(spark, sf), flaky_transport, backoff=0)
 

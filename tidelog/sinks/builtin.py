@@ -80,7 +80,8 @@ class KafkaPublisher(Configured):
     def publish_batch(self, batch: DataFrame, batch_id: int) -> None:
         files.write_kafka(
             self.shape(batch), self.options["bootstrap_servers"], self.options.get("compression", "snappy"),
-            option_int(self.options, "batch_size", 1000))
+            option_int(self.options, "batch_bytes", 262144), option_int(self.options, "linger_ms", 10),
+            option_int(self.options, "delivery_timeout_ms", 120_000))
 
 
 class AuditPublisher(Configured):

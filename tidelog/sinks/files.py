@@ -120,15 +120,20 @@ def write_audit_jdbc(ev: DataFrame, url: str, table: str, properties: dict[str,
     audit_rows(ev, ts).write.jdbc(url, table, mode="append", properties=properties)
 
 
-def write_kafka(records: DataFrame, servers: str, compression: str = "snappy", batch_size: int = 1000,
-                linger_ms: int = 10, **options: str) -> None:
-    """Kafka records to their topics; needs Spark's Kafka connector on the class path."""
+def write_kafka(records: DataFrame, servers: str, compression: str = "snappy", batch_bytes: int = 262144,
+                linger_ms: int = 10, delivery_timeout_ms: int = 120_000, **options: str) -> None:
+    """Kafka records to their topics; needs Spark's Kafka connector on the class path.
+
+    Spark's producer counts a batch in bytes (``batch.size``) and waits for each record up to
+    ``delivery.timeout.ms`` before the write fails, which also covers the flush at the end.
+    """
     (
         records.select("topic", "key", "value").write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("kafka.compression.type", compression)
-        .option("kafka.batch.num.messages", str(batch_size))
+        .option("kafka.batch.size", str(batch_bytes))
         .option("kafka.linger.ms", str(linger_ms))
+        .option("kafka.delivery.timeout.ms", str(delivery_timeout_ms))
         .options(**options)
         .save()
     )
