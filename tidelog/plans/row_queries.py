@@ -9,7 +9,7 @@ from ..operators.capture import capture_tables, missing_columns, project_columns
 from ..operators.filters import split_corrupt
 from ..operators.rows import changed_fields, explode_rows, normalize_event, pack_rows, preview_changes
 from ..sinks.records import redis_stream_records
-from ..sources.change_log import observed_columns, parse_change_log, parse_kafka, union_streams
+from ..sources.change_log import observed_columns, parse_change_log, parse_kafka, schema_columns, union_streams
 from .derived_log import J, L, RULES, derived_events, derived_log, rules
 from .registry import query, table
 
@@ -52,13 +52,20 @@ def missing(spark, sf):
     return missing_columns(rules(spark), observed_columns(derived_log(spark, sf)))
 
 
-@query("table_columns", f"""WITH {L}
+@query("observed_columns", f"""WITH {L}
 SELECT DISTINCT db, "table", unnest(['id', 'name', 'created_at', 'value', 'props']) AS name FROM L
 WHERE kind IN ('INSERT', 'UPDATE', 'DELETE')""")
 def columns_seen(spark, sf):
     return observed_columns(derived_log(spark, sf))
 
 
+@query("table_columns", """SELECT 'app' AS db, 'events' AS "table", column_name AS name FROM (DESCRIBE SELECT * FROM events)
+UNION ALL SELECT 'app', 'orders', column_name FROM (DESCRIBE SELECT * FROM orders)""")
+def columns_of_tables(spark, sf):
+    found = [schema_columns(table(spark, sf, name), "app", name) for name in ("events", "orders")]
+    return union_streams(*found).select("db", "table", "name")
+
+
 @query("with_primary_key", f"""WITH {CAPTURED}
 SELECT log_file, position, CASE WHEN len(primary_key) > 0 THEN array_to_string(primary_key, ',') END AS primary_key FROM P""")
 def keyed(spark, sf):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..sinks import records
 from ..sinks.deliver import python_deliver, webhook_deliver
-from ..sinks.files import rotation_plan
+from ..session import scratch_folder
+from ..sinks.files import rotation_plan, write_jsonl
+from ..sinks.publisher import EventPublisher
 from .derived_log import E, J, derived_events
 from .registry import query
 
@@ -19,6 +23,29 @@ def rotation(spark, sf):
     return rotation_plan(derived_events(spark, sf), 100, 3).select("log_file", "position", "segment", "suffix", "kept")
 
 
+@query("rotated_files", f"""WITH {J}, N AS (
+  SELECT json, (row_number() OVER (ORDER BY seq) - 1) // 100 AS segment FROM J)
+SELECT CAST(segment AS INTEGER) AS segment, json FROM N WHERE segment >= (SELECT max(segment) FROM N) - 3""")
+def rotated(spark, sf):
+    path = f"{scratch_folder(spark)}/rotated-{uuid.uuid4().hex}"
+    write_jsonl(derived_events(spark, sf), path, 100, 3)
+    return spark.read.text(path).select("segment", F.col("value").alias("json"))
+
+
+class NoDeletes(EventPublisher):
+    """Takes one event at a time and refuses deletes."""
+
+    name = "no deletes"
+
+    def publish(self, event):
+        return int('"type":"DELETE"' in event["json"])
+
+
+@query("event_publisher", f"""WITH {J} SELECT log_file, position, 'no deletes' AS publisher, kind <> 'DELETE' AS ok FROM J""")
+def per_event(spark, sf):
+    return NoDeletes().publish_batch(derived_events(spark, sf), 0).select("log_file", "position", "publisher", "ok")
+
+
 @query("kafka_records", f"""WITH {J}
 SELECT log_file, position, 'cdc.' || db || '.' || "table" AS topic, txn AS key, json AS value FROM J""")
 def kafka(spark, sf):

@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from ..streaming.pipeline import assign_txn_stream
-from .derived_log import T, log_of, rules
+from ..sinks.builtin import FilePublisher
+from ..sources.change_log import parse_change_log, read_change_stream
+from ..streaming.pipeline import assign_txn_stream, run_pipeline
+from .derived_log import J, T, derived_events, log_of, routes, rules
 from .registry import query, table
 
 
@@ -30,3 +32,31 @@ def txn_stream(spark, sf):
 
     assign_txn_stream(log_of(events), rules(spark), f"{folder}/checkpoint", handle).awaitTermination()
     return spark.read.parquet(out).drop("batch")
+
+
+@query("text_stream", f"""WITH {J} SELECT kind, type, txn, db, "table", 'ok' AS status FROM J""")
+def text_stream(spark, sf):
+    """Documents as lines of several files, read as a stream of one file a batch."""
+    folder = work_folder(spark)
+    derived_events(spark, sf).select("json").repartition(3).write.text(f"{folder}/lines")
+    stream = read_change_stream(spark, f"{folder}/lines", max_files_per_trigger=1)
+    writer = stream.select("kind", "type", "txn", "db", "table", "status").writeStream.format("parquet")
+    writer = writer.option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("pipeline_to_files", f"""WITH {J} SELECT type, txn, db, "table", 'ok' AS status FROM J""")
+def pipeline_to_files(spark, sf):
+    """Log to files: half of the log, then a restart with the rest; transactions go on across it."""
+    folder, events = work_folder(spark), table(spark, sf, "events")
+    middle = events.agg(F.expr("(min(event_id) + max(event_id)) div 2").alias("m")).first().m
+    publisher = FilePublisher("broker")
+    publisher.init({"file_path": f"{folder}/files"})
+    for half in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        events.where(half).write.mode("append").parquet(f"{folder}/log")
+        stream = log_of(spark.readStream.schema(events.schema).parquet(f"{folder}/log"))
+        only = routes(spark).where("publisher = 'broker'")
+        run_pipeline(stream, rules(spark), only, {"broker": publisher}, f"{folder}/checkpoint").awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/files").withColumnRenamed("value", "json")
+    return parse_change_log(lines).select("type", "txn", "db", "table", "status")

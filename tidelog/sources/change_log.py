@@ -105,7 +105,12 @@ def union_streams(*streams: DataFrame) -> DataFrame:
 
 def table_columns(spark: SparkSession, db: str, table: str) -> DataFrame:
     """Column names and types of a catalog table, one row per column."""
-    fields = spark.table(f"`{db}`.`{table}`").schema.fields
+    return schema_columns(spark.table(f"`{db}`.`{table}`"), db, table)
+
+
+def schema_columns(df: DataFrame, db: str, table: str) -> DataFrame:
+    """The same for any table at hand, from its schema alone: no row is read."""
+    spark, fields = df.sparkSession, df.schema.fields
     rows = [(db, table, i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
     return spark.createDataFrame(rows, "db STRING, `table` STRING, ordinal INT, name STRING, type STRING")
 
