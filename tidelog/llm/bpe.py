@@ -35,6 +35,8 @@ class ByteBPE:
                                    .replace(r"\S", r"\P{White_Space}")).findall
         self.longest = max(map(len, self.ranks))
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        # Ranks of two single bytes, the first pairs of every pre-token.
+        self.two = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.words = [0] * ((max(self.tokens) >> WORD) + 1)
         self.memory = ChunkMemory(lambda chunks: [self._chunk(c) for c in chunks])
 
@@ -50,24 +52,20 @@ class ByteBPE:
         get, longest, n = self.ranks.get, self.longest, len(piece)
         if (whole := get(piece)) is not None:
             return [whole]
-        end, after, before, pair = [*range(1, n + 1)], [*range(1, n + 1)], [*range(-1, n - 1)], [-1] * n
+        end, after, before = [*range(1, n + 1)], [*range(1, n + 1)], [*range(-1, n - 1)]
+        two = self.two
+        pair = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        pair.append(-1)
         words, buckets, top = self.words, {}, 0
-        met = [(i, i + 2) for i in range(n - 1)]  # pairs to look up: where they start and stop
-        while True:
-            for start, stop in met:
-                rank = get(piece[start:stop]) if stop - start <= longest else None
-                if rank is None:
-                    pair[start] = -1
-                    continue
-                pair[start] = rank
+        for i, rank in enumerate(pair):
+            if rank >= 0:
                 if rank in buckets:
-                    heappush(buckets[rank], start)
+                    buckets[rank].append(i)
                 else:
-                    buckets[rank] = [start]
+                    buckets[rank] = [i]
                     words[rank >> WORD] |= 1 << (rank & MASK)
                     top |= 1 << (rank >> WORD)
-            if not top:
-                break
+        while top:
             high = (top & -top).bit_length() - 1
             word = words[high]
             rank = high << WORD | (word & -word).bit_length() - 1
@@ -75,21 +73,31 @@ class ByteBPE:
             i = heappop(bucket)
             if not bucket:
                 del buckets[rank]
-                words[high] = word & word - 1
-                if not words[high]:
+                words[high] = word = word & word - 1
+                if not word:
                     top &= top - 1
-            met = []
             if pair[i] != rank:
                 continue  # stale
             j = after[i]
-            pair[i] = pair[j] = -1
-            stop, k = end[j], after[j]
-            end[i], after[i] = stop, k
+            stop, k, h = end[j], after[j], before[i]
+            end[i], after[i], pair[i], pair[j] = stop, k, -1, -1
             if k < n:
                 before[k] = i
-                met.append((i, end[k]))
-            if before[i] >= 0:
-                met.append((before[i], stop))
+            # The merged token makes a new pair with each neighbour.
+            for start, last in ((i, end[k] if k < n else 0), (h, stop)):
+                if start < 0 or not last:
+                    continue
+                rank = get(piece[start:last]) if last - start <= longest else None
+                if rank is None:
+                    pair[start] = -1
+                    continue
+                pair[start] = rank
+                if rank in buckets:
+                    heappush(buckets[rank], start)
+                else:
+                    buckets[rank] = [start]
+                    words[rank >> WORD] |= 1 << (rank & MASK)
+                    top |= 1 << (rank >> WORD)
         ids, i, ranks = [], 0, self.ranks
         while i < n:
             ids.append(ranks[piece[i:end[i]]])
