@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.functions.documents import once
+
 LEAST = 0.8
 
 # Notices and whole short licences by name; fixed public wording.
@@ -49,10 +54,13 @@ was not distributed with this file, You can obtain one at https://mozilla.org/MP
 }
 
 
+def lowered(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def normalised(text: Column) -> Column:
     """The words of a text: A-Z in lower case, runs of anything but letters and digits are one separator."""
-    plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(plain, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.filter(F.split(lowered(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
 def bigrams(words: Column) -> Column:
@@ -72,12 +80,33 @@ def sizes(n: int, least: float) -> range:
     return range(math.ceil(n * least / (2 - least) - 1e-9), math.floor(n * (2 - least) / least + 1e-9) + 1)
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, words): every line, every run of lines without an empty one, and the whole text; what is the same comes once."""
+def anchors(templates: dict[str, str], least: float) -> list[str]:
+    """Words of which every matching passage contains at least one.
+
+    At Dice ``least`` a passage shares least / (2 - least) of the template's bigrams or more. Words
+    that stand in more than the rest of the bigrams cannot all be missing; long words are taken
+    first, as they are rare in other texts.
+    """
+    chosen: set[str] = set()
+    for text in templates.values():
+        grams = template_bigrams(text)
+        spare = len(grams) * (1 - least / (2 - least))
+        mine: set[str] = set()
+        for word in sorted({w for g in grams for w in g.split(" ")}, key=lambda w: (w not in chosen, -len(w), w)):
+            if sum(not mine.isdisjoint(g.split(" ")) for g in grams) > spare + 1e-9:
+                break
+            mine.add(word)
+        chosen |= mine
+    return sorted(w for w in chosen if not any(other != w and other in w for other in chosen))
+
+
+def passages(docs: DataFrame, holding: Callable[[Column], Column]) -> DataFrame:
+    """(doc_id, place, words) of passages that are ``holding``: every line, every run of lines without an empty one, and the whole text; what is the same comes once."""
     lines = F.split("text", "\n")
     blocks = F.split("text", r"\n[\x20\t\r]*\n")
     parts = F.array_distinct(F.concat(lines, blocks, F.array("text")))
-    return docs.where("text IS NOT NULL").select("doc_id", F.posexplode(parts).alias("place", "passage")).select(
+    whole = docs.where("text IS NOT NULL").where(holding(F.col("text")))
+    return whole.select("doc_id", F.posexplode(parts).alias("place", "passage")).where(holding(F.col("passage"))).select(
         "doc_id", "place", normalised(F.col("passage")).alias("words"))
 
 
@@ -94,8 +123,15 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     schema = T.StructType([T.StructField("licence", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType())), T.StructField("n", T.IntegerType())])
     allowed = F.broadcast(spark.createDataFrame(rows, schema))
     fits = sorted({size for *_, size in rows})
-    # The number of words bounds the number of distinct pairs: longer sets can only shrink, so only too short ones go here.
-    parts = passages(docs).where(F.size("words") > (min(fits) if fits else 0))
+    if not fits:
+        return spark.createDataFrame([], "doc_id long, licence string, dice double, n_passages long")
+
+    def holding(text: Column) -> Column:
+        return once(F.lower(text), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in anchors(templates, least)]))
+
+    # A passage has at least as many pairs as other words than one, and fewer than words: what can have no fitting size goes here.
+    words = F.size(F.array_distinct("words"))
+    parts = passages(docs, holding).where((F.size("words") > min(fits)) & (words <= max(fits) + 1))
     parts = parts.select("doc_id", bigrams(F.col("words")).alias("pairs")).withColumn("n", F.size("pairs"))
     met = parts.join(allowed, "n").withColumn(
         "dice", 2.0 * F.size(F.array_intersect("pairs", "grams")) / (F.col("n") + F.size("grams"))).where(F.col("dice") >= least)
