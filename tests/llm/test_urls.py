@@ -2,7 +2,7 @@
 
 from check_queries import compare
 
-from tidelog.llm import urls
+from tidelog.llm import bloom, urls
 from tidelog.llm.queries import QUERIES, SQL, URL_RULES
 
 
@@ -37,5 +37,5 @@ def test_filter_lets_all_listed_through_and_few_others(lspark):
     others = lspark.range(4000, 12_000).selectExpr("concat('host', id, '/p') AS key")
     got = urls.is_listed(keys.union(others), keys)
     assert got.where("listed").count() == 4000 and got.count() == 12_000
-    blocks = urls.bloom_blocks(keys, 250)
+    blocks = bloom.bloom_blocks(keys, 250)
     assert blocks.count() <= 250

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.bloom import blocks_for, with_maybe
 from tidelog.llm.buckets import bucket_links
 from tidelog.llm.common import Scratch
 from tidelog.llm.components import components
 
 SHINGLE, JACCARD = 5, 0.8
-# Bins of the signature: 21 bands of 6 miss a pair at Jaccard 0.8 once in 500.
-BANDS, ROWS = 21, 6
+# 12 bands of 6 bins find a pair at Jaccard 0.8 with probability 0.97, at 0.85 with 0.997, at 0.9 with 0.9999.
+BANDS, ROWS = 12, 6
 BINS = 128
 PIECE = 1 << 20  # characters hashed at once
 SEEN = 200_000  # lines a task remembers so as not to place them again; a bound on memory only
 PACK = 1 << 32
+# Blocks of the filter that keeps texts from moving: at most 10 MB; with more lines it only lets more through.
+FILTER_BLOCKS = 1 << 18
 
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -28,9 +32,9 @@ _EMPTY = np.uint64(2 ** 64 - 1)
 _LOOKS = np.random.default_rng(12).integers(0, BINS, (64, BINS))
 
 
-def normalised(line: Column) -> Column:
-    """Lower case, white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+def normalised(line: str) -> str:
+    """Lower case, ASCII white space as one space, none at the ends."""
+    return b" ".join(line.lower().encode("utf-8", "surrogatepass").split()).decode("utf-8", "surrogatepass")
 
 
 def shingles(line: str) -> set[str]:
@@ -86,37 +90,78 @@ def signatures(lines: list[str]) -> np.ndarray:
     return full
 
 
-def bands(lines: list[str]) -> np.ndarray:
+def bands(lines: list[str], values: np.ndarray | None = None) -> np.ndarray:
     """64-bit bucket numbers, lines x BANDS."""
-    values = signatures(lines)[:, :BANDS * ROWS].reshape(len(lines), BANDS, ROWS)
+    values = signatures(lines) if values is None else values
+    values = values[:, :BANDS * ROWS].reshape(len(lines), BANDS, ROWS)
     with np.errstate(over="ignore"):
         return _mixed((values * _BAND).sum(axis=2, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
 
 
-def split(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, norm, v, check) for every line that is not blank; v and check are hashes of norm."""
-    rows = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    rows = rows.select("doc_id", "line", normalised(F.col("raw")).alias("norm")).where("norm != ''")
-    return rows.select("doc_id", "line", "norm", F.xxhash64("norm").alias("v"), F.xxhash64("norm", F.lit(1)).alias("check"))
+def sketches(values: np.ndarray) -> np.ndarray:
+    """One bit of every bin, as two 64-bit numbers a line."""
+    return np.packbits((_mixed(values) & np.uint64(1)).astype(bool), axis=1, bitorder="little").view("<i8")
+
+
+def numbered_lines(text: str | None):
+    """(line, normalised line) for lines that are not blank."""
+    if text is not None:
+        for at, raw in enumerate(text.split("\n")):
+            if norm := normalised(raw):
+                yield at, norm
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def name(norm: str) -> int:
+    """The 64-bit number of a normalised line."""
+    return _signed(xxhash.xxh64_intdigest(norm.encode("utf-8", "surrogatepass"), 42))
+
+
+def check(norm: str) -> int:
+    """Another one, to tell lines apart that share the first."""
+    return _signed(xxhash.xxh64_intdigest(norm.encode("utf-8", "surrogatepass"), 43))
 
 
 def _placed(rows):
-    """Adds the buckets of each line, unless the task has lately placed the same line."""
+    """Every line with its numbers and, unless the task has lately placed the same line, its buckets and sketch."""
     seen: set[int] = set()
+    names = ["doc_id", "line", "v", "check", "bands", "s0", "s1"]
     for batch in rows:
-        ids = batch.column("v").to_pylist()
-        fresh: dict[int, int] = {}
-        for k, v in enumerate(ids):
-            if v not in seen and v not in fresh:
-                fresh[v] = k
-        new = list(fresh.values())
-        if len(seen) + len(new) > SEEN:
+        docs, ats, vs, checks, fresh = [], [], [], [], {}
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for at, norm in numbered_lines(text):
+                v = name(norm)
+                if v not in seen:
+                    fresh.setdefault(v, (len(vs), norm))
+                docs.append(doc_id)
+                ats.append(at)
+                vs.append(v)
+                checks.append(check(norm))
+        if len(seen) + len(fresh) > SEEN:
             seen.clear()
         seen.update(fresh)
-        found = dict(zip(new, bands(batch.column("norm").take(pa.array(new, pa.int64())).to_pylist()).tolist())) if new else {}
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("doc_id", "line", "v", "check")), pa.array([found.get(k) for k in range(len(ids))], pa.list_(pa.int64()))],
-            ["doc_id", "line", "v", "check", "bands"])
+        placed: list = [None] * len(vs)
+        s0, s1 = list(placed), list(placed)
+        if fresh:
+            where, lines = zip(*fresh.values())
+            values = signatures(list(lines))
+            for k, b, (x, y) in zip(where, bands(list(lines), values).tolist(), sketches(values).tolist()):
+                placed[k], s0[k], s1[k] = b, x, y
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, ats, vs, checks, placed, s0, s1), kinds)], names)
+
+
+def _texts(rows):
+    """(doc_id, line, key, norm) of every line."""
+    for batch in rows:
+        out = [(d, at, name(norm), norm) for d, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
+               for at, norm in numbered_lines(text)]
+        columns = zip(*out) if out else ([], [], [], [])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.string()))],
+                                         ["doc_id", "line", "key", "norm"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -130,6 +175,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 out.append(jaccard(known[a], known[b]) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out, pa.bool_()))
 
+    # Sketches first, as they are short: at Jaccard ``least`` so many bits differ once in 100,000 pairs.
+    apart = BINS * (1 - least) / 2
+    most = apart + 4.5 * (apart * (1 - apart / BINS)) ** 0.5
+    sides = [texts.select(F.col("v").alias(v), F.col("s0").alias(f"{v}0"), F.col("s1").alias(f"{v}1")) for v in "ab"]
+    bits = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+    pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(bits <= most).select("a", "b")
     x = texts.select(F.col("v").alias("a"), F.col("norm").alias("x"))
     y = texts.select(F.col("v").alias("b"), F.col("norm").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(batches, "a long, b long")
@@ -166,18 +217,22 @@ def near_lines(docs: DataFrame, least: float = JACCARD, name: str = "lines") ->
     rows keep the same lines. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, name)
-    lines = scratch.store(split(docs).mapInArrow(_placed, "doc_id long, line int, v long, check long, bands array<long>"), "lines")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lines = scratch.store(narrow.mapInArrow(_placed, "doc_id long, line int, v long, check long, bands array<long>, s0 long, s1 long"), "lines")
     place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(PACK).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    firsts = lines.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"))
+    firsts = lines.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"),
+                                      F.max("s0").alias("s0"), F.max("s1").alias("s1"))
     # Different lines of one 64-bit hash would be taken for one: they are left as they are.
-    firsts = scratch.store(firsts.where("low = high").select("v", "first"), "firsts")
+    firsts = scratch.store(firsts.where("low = high").select("v", "first", "s0", "s1"), "firsts")
     placed = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("cell"), "v", F.lit(True).alias("own"))
     in_question = placed.groupBy("cell").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low != high").select("cell")
     in_question = scratch.store(placed.join(in_question, "cell"), "shared")
     # Only lines that share a bucket with another are compared, so only their texts move.
-    wanted = in_question.select("v").distinct().join(firsts, "v")
-    texts = split(docs).select("doc_id", "line", "v", "norm").join(wanted, "v").where(F.col("first").isNull() | (place == F.col("first")))
-    texts = scratch.store(texts.dropDuplicates(["v"]).select("v", "norm"), "texts")
+    wanted = scratch.store(in_question.select("v").distinct().join(firsts, "v"), "wanted")
+    maybe = with_maybe(narrow.mapInArrow(_texts, "doc_id long, line int, key long, norm string"), wanted.select(F.col("v").alias("key")),
+                       min(FILTER_BLOCKS, blocks_for(wanted.count())))
+    texts = maybe.where("_maybe").withColumnRenamed("key", "v").join(wanted, "v").where(F.col("first").isNull() | (place == F.col("first")))
+    texts = scratch.store(texts.dropDuplicates(["v"]).select("v", "norm", "s0", "s1"), "texts")
     links = bucket_links(scratch, in_question, texts, lambda pairs: _verified(pairs, texts, least), lambda t: _links_in_blocks(t, least))
     comps = components(scratch, links, "line-links")
     named = firsts.join(comps.withColumnRenamed("id", "v"), "v", "left").select("v", "first", F.coalesce("component", "v").alias("comp"))

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.bloom import blocks_for, with_maybe
 from tidelog.llm.common import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A Bloom block is four 64-bit words with two bits of a key in each.
-WORDS, BITS_PER_KEY = 4, 16
-# Blocks are broadcast up to this number (32 MB of words); beyond it the filter is joined by shuffle.
-BROADCAST_BLOCKS = 1 << 20
 TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
 
 
@@ -52,39 +46,13 @@ def rule_column(rules: dict[str, str]) -> Column:
     return fits
 
 
-def _bits(key: Column) -> list[Column]:
-    """The bits of a key in the words of its block."""
-    bits = F.xxhash64(key, F.lit(1))
-    one = F.lit(1).cast("long")
-
-    def at(place: int) -> Column:
-        return F.call_function("shiftleft", one, F.shiftright(bits, 6 * place).bitwiseAND(F.lit(63)).cast("int"))
-
-    return [at(2 * w).bitwiseOR(at(2 * w + 1)) for w in range(WORDS)]
-
-
-def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """The filter of column ``key`` as a table: block number and four words; at most ``blocks`` rows, combined before the shuffle."""
-    words = keys.select(F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"),
-                        *[b.alias(f"w{i}") for i, b in enumerate(_bits(F.col("key")))])
-    return words.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-
-
 def is_listed(pages: DataFrame, listed: DataFrame, name: str = "urls") -> DataFrame:
     """``pages`` with boolean ``listed``: whether column ``key`` is a ``key`` of ``listed``. Null is never listed.
 
     The blocked Bloom filter lets few others than listed keys through to the hash join that decides.
     """
     keys = Scratch(pages.sparkSession, name).store(listed.select("key").where("key IS NOT NULL").distinct(), "listed")
-    blocks = max(1, -(-keys.count() * BITS_PER_KEY // (64 * WORDS)))
-    found = bloom_blocks(keys, blocks)
-    if blocks <= BROADCAST_BLOCKS:
-        found = F.broadcast(found)
-    bits = _bits(F.col("key"))
-    probe = pages.where("key IS NOT NULL").withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
-    hit = reduce(and_, [F.col(f"w{i}").bitwiseAND(b) == b for i, b in enumerate(bits)])
-    probe = probe.join(found, "block", "left").withColumn("_maybe", F.coalesce(hit, F.lit(False)))
-    probe = probe.select(*pages.columns, "_maybe")
+    probe = with_maybe(pages.where("key IS NOT NULL"), keys, blocks_for(keys.count()))
     exact = probe.where("_maybe").drop("_maybe").join(keys.withColumn("_in", F.lit(True)), "key", "left")
     return (exact.select(*pages.columns, F.coalesce("_in", F.lit(False)).alias("listed"))
             .union(probe.where("NOT _maybe").drop("_maybe").withColumn("listed", F.lit(False)))
