@@ -166,4 +166,4 @@ scored AS (
   FROM paired, templates WHERE len(pairs) BETWEEN len(grams) * {licenses.LEAST} / (2 - {licenses.LEAST}) - 1 AND len(grams) * (2 - {licenses.LEAST}) / {licenses.LEAST} + 1)
 SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_passages FROM scored WHERE dice >= {licenses.LEAST} GROUP BY doc_id, licence""")
 def op10(spark, sf_dir):
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.licences(table(spark, sf_dir, "documents"))
