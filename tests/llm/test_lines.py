@@ -105,3 +105,25 @@ def test_odd_rows(lspark):
     assert texts["a"] == ("\n \nend", 6) and texts["b"] == ("one line\nx", 2) and texts["d"] == (None, 4) and texts["c"] == ("x\nONE line", 3)
     assert kept.count() == len(rows)
     assert lines.near_lines(docs.limit(0)).count() == 0
+
+
+def near_pairs(sizes, most=0.825):
+    """Pairs of lines at Jaccard 0.8 to ``most``."""
+    rng = random.Random(7)
+    out = []
+    while len(out) < 1500:
+        a = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=rng.randint(*sizes))).strip()
+        b = a
+        while (j := lines.jaccard(lines.shingles(a), lines.shingles(b))) > most:
+            at = rng.randrange(len(b))
+            b = b[:at] + rng.choice("xyz") + b[at + rng.randint(0, 1):]
+        if j >= 0.8 and lines.normalised(a) == a and lines.normalised(b) == b:
+            out.append((a, b))
+    return out
+
+
+def test_banding_recall_at_the_bound():
+    for sizes in ((20, 40), (60, 120)):
+        pairs = near_pairs(sizes)
+        x, y = (lines.bands(list(side)) for side in zip(*pairs))
+        assert (~(x == y).any(axis=1)).sum() <= 9
