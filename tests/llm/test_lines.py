@@ -127,3 +127,15 @@ def test_banding_recall_at_the_bound():
         pairs = near_pairs(sizes)
         x, y = (lines.bands(list(side)) for side in zip(*pairs))
         assert (~(x == y).any(axis=1)).sum() <= 9
+
+
+def test_sketches_reject_no_short_pairs(lspark):
+    pairs = near_pairs((12, 16))
+    x, y = (lines.signatures(list(side)) for side in zip(*pairs))
+    far = np.unpackbits((lines.sketches(x) ^ lines.sketches(y)).view(np.uint8), axis=1).sum(axis=1) > 28
+    shared = (lines.bands([a for a, _ in pairs], x) == lines.bands([b for _, b in pairs], y)).any(axis=1)
+    hard = [pairs[k] for k in np.nonzero(far & shared)[0]]
+    assert hard
+    docs = [(2 * k + side, line) for k, pair in enumerate(hard) for side, line in enumerate(pair)]
+    got = {r.doc_id: r.keeper_doc_id for r in lines.near_lines(lspark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[2 * k + 1] == 2 * k for k in range(len(hard)))

@@ -17,6 +17,7 @@ SHINGLE, JACCARD = 5, 0.8
 # Bins of the signature: 21 bands of 6 miss a pair at Jaccard 0.8 once in 500.
 BANDS, ROWS = 21, 6
 BINS = 128
+FULL = 70  # different values a signature must have for its sketch to be used; bits of shorter lines repeat and vary too much
 PIECE = 1 << 20  # characters hashed at once
 SEEN = 200_000  # lines a task remembers so as not to place them again; a bound on memory only
 PACK = 1 << 32
@@ -103,6 +104,11 @@ def sketches(values: np.ndarray) -> np.ndarray:
     return np.packbits((_mixed(values) & np.uint64(1)).astype(bool), axis=1, bitorder="little").view("<i8")
 
 
+def different(values: np.ndarray) -> np.ndarray:
+    """How many different values each signature has."""
+    return (np.diff(np.sort(values, axis=1), axis=1) != 0).sum(axis=1) + 1
+
+
 def numbered_lines(text: str | None):
     """(line, normalised line) for lines that are not blank."""
     if text is not None:
@@ -126,7 +132,7 @@ def check(norm: str) -> int:
 
 
 def _placed(rows):
-    """Every line with its numbers and, unless the task has lately placed the same line, its buckets and sketch."""
+    """Every line with its numbers and, unless the task has lately placed the same line, its buckets and, of a line of many shingles, its sketch."""
     seen: set[int] = set()
     names = ["doc_id", "line", "v", "check", "bands", "s0", "s1"]
     for batch in rows:
@@ -148,8 +154,8 @@ def _placed(rows):
         if fresh:
             where, lines = zip(*fresh.values())
             values = signatures(list(lines))
-            for k, b, (x, y) in zip(where, bands(list(lines), values).tolist(), sketches(values).tolist()):
-                placed[k], s0[k], s1[k] = b, x, y
+            for k, b, (x, y), n in zip(where, bands(list(lines), values).tolist(), sketches(values).tolist(), different(values).tolist()):
+                placed[k], s0[k], s1[k] = (b, x, y) if n >= FULL else (b, None, None)
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, ats, vs, checks, placed, s0, s1), kinds)], names)
 
@@ -175,12 +181,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 out.append(jaccard(known[a], known[b]) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out, pa.bool_()))
 
-    # Sketches first, as they are short: at Jaccard ``least`` so many bits differ once in 100,000 pairs.
+    # Sketches first, as they are short: of long lines at Jaccard ``least`` so many bits differ once in 100,000 pairs. Lines without one go on.
     apart = BINS * (1 - least) / 2
     most = apart + 4.5 * (apart * (1 - apart / BINS)) ** 0.5
     sides = [texts.select(F.col("v").alias(v), F.col("s0").alias(f"{v}0"), F.col("s1").alias(f"{v}1")) for v in "ab"]
     bits = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-    pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(bits <= most).select("a", "b")
+    pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(F.coalesce(bits <= most, F.lit(True))).select("a", "b")
     x = texts.select(F.col("v").alias("a"), F.col("norm").alias("x"))
     y = texts.select(F.col("v").alias("b"), F.col("norm").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(batches, "a long, b long")
