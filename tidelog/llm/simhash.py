@@ -1,4 +1,4 @@
-"""SimHash fingerprints of documents and their near-duplicate groups by multi-index hashing."""
+"""SimHash fingerprints of documents and their near-duplicate groups by radius-1 balls of whole fingerprints."""
 
 from __future__ import annotations
 
@@ -50,9 +50,10 @@ def segment_balls(segments: int = SEGMENTS) -> list[int]:
 def near_links(prints: DataFrame) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of ``fp`` at 2 or fewer differing bits.
 
-    A fingerprint is entered under every neighbour within distance 1 in each of its segments, the
-    other segment left whole. Two fingerprints share such an entry exactly if they differ in at
-    most two bits: both in one segment, or one in each. So a table bucket holds at most 65
+    This is one table keyed by the whole fingerprint, in place of multi-index tables by segment: a
+    fingerprint is entered under itself and its 64 neighbours at distance 1, whatever ``SEGMENTS``
+    is. It serves distance 2 alone. Two fingerprints share such an entry exactly if they differ in at
+    most two bits. So a table bucket holds at most 65
     fingerprints, whatever the size of a group of near copies, and needs no cap. Its members are
     kept as one bit mask (a fixed-width hash aggregate). Each is linked to the smallest, after a
     comparison of the whole fingerprints. ``prints`` has distinct values of ``fp``.
