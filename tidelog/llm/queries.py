@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, lattice, licenses, lines, packing, simhash, topk, toxicity, urls
+from tidelog.llm import bpe, chat, lattice, licenses, lines, packing, periodic, simhash, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,36 @@ scored AS (
 SELECT doc_id, licence, max(dice) AS dice, count(*) AS n_passages FROM scored WHERE dice >= {licenses.LEAST} GROUP BY doc_id, licence""")
 def op10(spark, sf_dir):
     return licenses.licences(table(spark, sf_dir, "documents"))
+
+
+def repeated_words(doc_id, text):
+    """The words of ``text`` joined by spaces; in a tenth of the documents, picked by doc_id, the words from one of them on repeat the first few of these."""
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    n = F.size(words)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    cycle = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    again = F.slice(F.flatten(F.array_repeat(cycle, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    head = F.when(a > 0, F.slice(words, F.lit(1), a.cast("int"))).otherwise(F.array().cast("array<string>"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(head, again), " ")).otherwise(text)
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_words(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    # Exact order of length / period; ties to the smaller start, then period.
+    def before(x, y):
+        left, right = x["length"] * y["period"], y["length"] * x["period"]
+        return (F.when(left != right, F.when(left > right, -1).otherwise(1)).when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+                .otherwise(F.when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0)))
+
+    top = F.get(F.array_sort("runs", before), F.lit(0))
+    lines_ = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"), top["period"].alias("period"),
+        F.floor(1000 * top["length"] / top["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines_, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
