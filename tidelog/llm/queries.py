@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, lattice, licenses, lines, packing, periodic, simhash, topk, toxicity, urls
+from tidelog.llm import bpe, chat, collocations, lattice, licenses, lines, packing, periodic, simhash, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,34 @@ def op11(spark, sf_dir):
         F.floor(1000 * top["length"] / top["period"]).cast("long").alias("exponent_milli"),
         F.sha2(F.concat(F.array_join(lines_, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op13_collocations", rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+phrases AS (
+  SELECT lang, size, unnest([array_to_string(words[i:i + size - 1], ' ') for i in range(1, len(words) - size + 2)]) AS phrase
+  FROM worded, (VALUES (1), (2), (3), (4), (5)) sizes(size) WHERE len(words) >= size),
+counted AS (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counted WHERE f >= {collocations.LEAST}),
+parts AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS words FROM frequent WHERE size > 1),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS rest
+  FROM parts, (VALUES (1), (2), (3), (4)) cut(k) WHERE k < size),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, h.f AS l, t.f AS r, n, 1000::HUGEINT * a * n // (h.f::HUGEINT * t.f) AS score
+  FROM cuts JOIN frequent h ON h.lang = cuts.lang AND h.phrase = head JOIN frequent t ON t.lang = cuts.lang AND t.phrase = rest
+    JOIN totals ON totals.lang = cuts.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT DISTINCT p.lang, array_to_string(p.words[i:j], ' ') AS phrase, p.f
+  FROM parts p, range(1, 5) s(i), range(2, 6) e(j) WHERE j > i AND j <= size AND j - i + 1 < size)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+       r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = lowest.lang AND i.phrase = lowest.phrase AND 100 * i.f >= 100 * lowest.a)
+QUALIFY rank <= {collocations.TOP}""")
+def op13(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), name="op13")
