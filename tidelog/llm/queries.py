@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, collocations, lattice, licenses, lines, packing, periodic, simhash, topk, toxicity, urls
+from tidelog.llm import bpe, chat, collocations, lattice, licenses, lines, packing, periodic, simhash, sitetree, topk, toxicity, urls
 from tidelog.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,6 +202,11 @@ def op11(spark, sf_dir):
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+@query("op12_html_extraction")
+def op12(spark, sf_dir):
+    return sitetree.extract(table(spark, sf_dir, "pages"), "op12")
+
+
 @query("op13_collocations", rf"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
