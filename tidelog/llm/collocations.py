@@ -19,7 +19,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 HELD = 200_000
 # Bits of a filter of frequent words or pairs, at most 16 MB: with more keys it only lets more through.
 FILTER_BITS = 1 << 27
-# Suffixes of one bucket, and of one pair of leading words before it is split over buckets.
+# Occurrences in one bucket, and of one pair of leading words before it is split over buckets.
 BUCKET = 1 << 16
 SPREAD = 64
 
@@ -126,14 +126,21 @@ def _count_pairs(rows, frequent):
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], schema=kinds)
 
 
-def _suffixes(rows, frequent, pairs, longest: int):
-    """(lang, suffix, n): from each word on up to ``longest`` words, cut before the first pair that cannot be frequent; two words at least."""
-    held: dict[str, Counter] = {}
+def _suffixes(rows, frequent, pairs, route, longest: int):
+    """(bucket, lang, split, suffixes, counts): from each word on up to ``longest`` words, cut before the first pair that cannot be frequent.
+
+    The pair of leading words names the bucket; a suffix of a ``split`` pair is dealt by all its words. A row
+    holds all suffixes that a task has for a bucket, one a line, and how often it has each.
+    """
+    held: dict[tuple, Counter] = {}
+    hot, buckets = route.value
     for batch in rows:
         for lang, words, codes in _by_lang(batch):
             both, keys = _pairs(lang, words, codes, frequent.value)
+            both = np.flatnonzero(both)
+            maybe = pairs.value.maybe(keys)
             good = np.zeros(len(codes) + longest, np.int64)
-            good[np.flatnonzero(both)[pairs.value.maybe(keys)]] = 1
+            good[both[maybe]] = 1
             more = np.zeros(len(codes), np.int64)
             for k in range(longest - 2, -1, -1):
                 more = good[k:k + len(codes)] * (1 + more)
@@ -141,14 +148,25 @@ def _suffixes(rows, frequent, pairs, longest: int):
             padded = np.concatenate((codes, np.zeros(longest, codes.dtype)))
             columns = padded[at[:, None] + np.arange(longest)]
             columns[np.arange(longest) > more[at][:, None]] = -1
-            different, n = np.unique(columns, axis=0, return_counts=True)
-            counts = held.setdefault(lang, Counter())
-            for row, count in zip(different.tolist(), n.tolist()):
-                counts[b" ".join([words[c] for c in row if c >= 0])] += count
+            different, first, n = np.unique(columns, axis=0, return_index=True, return_counts=True)
+            lead = keys[maybe][first]
+            split = np.isin(lead, hot)
+            for row, count, bucket, is_split in zip(different.tolist(), n.tolist(), (lead % np.uint64(buckets)).tolist(), split.tolist()):
+                suffix = b" ".join([words[c] for c in row if c >= 0])
+                if is_split:
+                    bucket = xxhash.xxh64_intdigest(suffix, bucket) % buckets
+                held.setdefault((bucket, lang, is_split), Counter())[suffix] += count
         if sum(map(len, held.values())) > HELD:
-            yield _flushed(held, ["lang", "suffix", "n"])
+            yield _packed(held)
             held = {}
-    yield _flushed(held, ["lang", "suffix", "n"])
+    yield _packed(held)
+
+
+def _packed(held: dict[tuple, Counter]) -> pa.RecordBatch:
+    keys = [pa.array([k[i] for k in held], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.bool_()))]
+    suffixes = pa.array([b"\n".join(counts) for counts in held.values()], pa.binary())
+    counts = pa.array([np.fromiter(counts.values(), "<i8", len(counts)).tobytes() for counts in held.values()], pa.binary())
+    return pa.RecordBatch.from_arrays([*keys, suffixes, counts], ["bucket", "lang", "split", "suffixes", "counts"])
 
 
 def multikey_counts(suffixes: np.ndarray, weights: np.ndarray, least: int, shortest: int = 2):
@@ -187,13 +205,12 @@ def _sorted_bucket(least: int, longest: int):
                 part = table.filter((pc.field("lang") == lang) & (pc.field("split") == split))
                 if not part.num_rows:
                     continue
-                suffixes = part.column("suffix").combine_chunks().cast(pa.binary())
-                lists = [s.split(b" ") for s in suffixes.to_pylist()]
+                lists = [s.split(b" ") for held in part.column("suffixes").to_pylist() for s in held.split(b"\n")]
                 words = pa.array([w for s in lists for w in s], pa.binary()).dictionary_encode()
                 sizes = np.array([len(s) for s in lists])
                 matrix = np.full((len(lists), longest), -1, np.int32)
                 matrix[np.arange(longest) < sizes[:, None]] = words.indices.to_numpy()
-                weights = part.column("n").to_numpy()
+                weights = np.frombuffer(b"".join(part.column("counts").to_pylist()), "<i8")
                 # Elsewhere there may be more of a split pair: nothing of it can be abandoned here.
                 for row, length, n in multikey_counts(matrix, weights, 1 if split else least):
                     out.append((lang, b" ".join(lists[row][:length]), length, n))
@@ -209,8 +226,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, n
 
     Words and pairs that are not frequent cut the suffixes, as no frequent phrase holds one; they
     are told by filters of bounded size that at worst cut less. Suffixes go to buckets by their
-    first two words. A pair with very many different suffixes is split over buckets by the whole
-    suffix; its counts are added up afterwards. There are at most 65,536 such pairs.
+    first two words. A pair with very many occurrences is split over buckets by the whole suffix,
+    and its counts are added up afterwards. There are at most 65,536 such pairs.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, name)
@@ -221,18 +238,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, n
     totals, words = words.where("word IS NULL").select("lang", F.col("f").alias("n")), words.where("word IS NOT NULL")
     frequent = spark.sparkContext.broadcast(Filter(words.select(F.xxhash64("lang", "word").alias("key")), words.count()))
     pairs = texts.mapInArrow(lambda rows: _count_pairs(rows, frequent), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    pairs = scratch.store(pairs.where(f"n >= {least}").select("key"), "pairs")
-    in_pairs = spark.sparkContext.broadcast(Filter(pairs, pairs.count()))
-    suffixes = texts.mapInArrow(lambda rows: _suffixes(rows, frequent, in_pairs, longest), kinds.format("suffix"))
-    suffixes = scratch.store(suffixes.withColumn("suffix", F.col("suffix").cast("string")), "suffixes")
-    total = suffixes.count()
-    lead = F.substring_index("suffix", " ", 2)
-    many = max(BUCKET, total >> 16)
-    split = suffixes.groupBy("lang", lead.alias("lead")).agg(F.count("*").alias("rows")).where(F.col("rows") > many)
-    routed = suffixes.withColumn("lead", lead).join(F.broadcast(split), ["lang", "lead"], "left")
-    salt = F.when(F.col("rows").isNull(), 0).otherwise(F.pmod(F.xxhash64("suffix"), F.ceil(F.col("rows") / many)))
-    bucket = F.pmod(F.xxhash64("lang", "lead", salt), F.lit(max(SPREAD, total // BUCKET)))
-    routed = routed.select(bucket.alias("bucket"), "lang", "suffix", "n", F.col("rows").isNotNull().alias("split"))
+    pairs = scratch.store(pairs.where(f"n >= {least}"), "pairs")
+    in_pairs = spark.sparkContext.broadcast(Filter(pairs.select("key"), pairs.count()))
+    total = pairs.agg(F.sum("n")).first()[0] or 0
+    hot = pairs.where(F.col("n") > max(BUCKET, total >> 16)).select("key").toArrow().column("key").to_numpy().view(np.uint64)
+    route = spark.sparkContext.broadcast((hot, max(SPREAD, total // BUCKET)))
+    routed = texts.mapInArrow(lambda rows: _suffixes(rows, frequent, in_pairs, route, longest),
+                              "bucket long, lang string, split boolean, suffixes binary, counts binary")
     sort = _sorted_bucket(least, longest)
     found = routed.groupBy("bucket").applyInArrow(sort, "lang string, phrase string, size int, f long")
     found = found.groupBy("lang", "phrase").agg(F.first("size").alias("size"), F.sum("f").alias("f")).where(f"f >= {least}")
