@@ -81,6 +81,15 @@ def log_slices(slice_bytes: int = SLICE_BYTES, files: int = FILES_PER_BUNDLE) ->
     )
 
 
+def source_slices(source: str, slice_bytes: int = SLICE_BYTES) -> Slices:
+    """The logs of several sources, each in (file number, position) order, as sequences of their own."""
+    return Slices(
+        keys={"_source": source},
+        parts={"_file": FILE_NO.format("log_file"), "_slice": f"position div {slice_bytes}"},
+        order=["position"],
+    )
+
+
 def file_slices(slice_bytes: int = SLICE_BYTES) -> Slices:
     """Each log file as its own sequence."""
     return Slices(keys={"_name": "log_file"}, parts={"_slice": f"position div {slice_bytes}"}, order=["position"])

@@ -61,7 +61,8 @@ def after(ev: DataFrame, mark: tuple[str, int]) -> DataFrame:
     log_file, position = mark
     number = int(re.search(r"(\d*)$", log_file).group(1) or -1)
     file = F.col("file_no") if "file_no" in ev.columns else file_no()
-    return ev.where((file > number) | ((file == number) & (F.col("position") > position)))
+    # The first condition alone is one that sources can prune by.
+    return ev.where(file >= number).where((file > number) | (F.col("position") > position))
 
 
 def resume_from(

@@ -11,14 +11,14 @@ from ..schemas import ROW_KINDS
 from .order import FILE_NO, Slices, file_no, log_slices, with_carry
 
 
-def _id(source: str, how: Column, number: Column, position: Column) -> Column:
+def _id(source: Column, how: Column, number: Column, position: Column) -> Column:
     """Deterministic UUID-shaped text, so replays and retries agree."""
-    digest = F.md5(F.concat_ws("|", F.lit(source), how, number.cast("string"), position.cast("string")))
+    digest = F.md5(F.concat_ws("|", source, how, number.cast("string"), position.cast("string")))
     return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in
                               [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]])
 
 
-def _signals(ev: DataFrame) -> DataFrame:
+def signals(ev: DataFrame) -> DataFrame:
     """Add ``_signal``: what each event does to the transaction state."""
     return ev.withColumn("_class", F.when(F.col("kind") == "QUERY", classify_query("query"))).withColumn(
         "_signal",
@@ -44,7 +44,7 @@ def _states() -> tuple[dict[str, Column], dict[str, Column]]:
 
 def assign_txn(
     ev: DataFrame,
-    source: str = "log",
+    source: str | Column = "log",
     slices: Slices | None = None,
     initial: Mapping[str, object] | None = None,
 ) -> DataFrame:
@@ -61,7 +61,12 @@ def assign_txn(
     database of the latest row event, captured or not.
     """
     fixed, text = _states()
-    carried = with_carry(_signals(ev), slices or log_slices(), last=fixed, text=text, initial=initial)
+    carried = with_carry(signals(ev), slices or log_slices(), last=fixed, text=text, initial=initial)
+    return with_ids(carried, F.lit(source) if isinstance(source, str) else source, [c for c in ev.columns if c not in ("in_txn", "txn", "map_db")])
+
+
+def with_ids(carried: DataFrame, source: Column, keep: list[str]) -> DataFrame:
+    """``keep`` with in_txn, txn and map_db, from events with their signals and the states carried to them."""
     keyed = carried.withColumn("in_txn", F.coalesce("_open", F.lit(False))).withColumn(
         "_own",
         F.expr("_signal = 'begin' OR NOT in_txn AND (_signal = 'statement' OR _signal = 'close' AND kind = 'QUERY')"),
@@ -70,7 +75,6 @@ def assign_txn(
     number = F.when(F.col("_own"), file_no()).otherwise(F.coalesce("_edge_file", F.lit(-1)))
     at = F.expr("CASE WHEN _own THEN position ELSE coalesce(_edge_pos, -1) END")
     has_id = F.expr("_own OR _signal = 'row' OR in_txn AND _signal <> 'none'")
-    keep = [c for c in ev.columns if c not in ("in_txn", "txn", "map_db")]
     return keyed.select(
         *keep, "in_txn", F.when(has_id, _id(source, how, number, at)).alias("txn"), F.col("_map_db").alias("map_db"))
 
@@ -83,7 +87,7 @@ def end_state(ev: DataFrame) -> DataFrame:
     fixed, text = _states()
     place = F.struct(file_no().alias("file"), F.col("position").alias("pos"))
     states = [F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in {**fixed, **text}.items()]
-    found = _signals(ev).agg(*states, F.min(place).alias("_first"), F.max(place).alias("_last"))
+    found = signals(ev).agg(*states, F.min(place).alias("_first"), F.max(place).alias("_last"))
     return found.select(
         *fixed, *text,
         F.col("_first.file").alias("_first_file"), F.col("_first.pos").alias("_first_pos"),

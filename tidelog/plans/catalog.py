@@ -1,8 +1,10 @@
 """Loads every query module, so that all queries are registered."""
 
 from . import (  # noqa: F401
+    keyed_queries,
     log_queries,
     metric_queries,
+    positioned_queries,
     routing_queries,
     row_queries,
     sink_queries,

@@ -18,9 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.capture import prepare_rows
 from ..operators.order import Slices
+from ..operators.position import after
 from ..operators.txn import assign_txn, end_state
 from ..plans.change_events import published
 from ..sinks.publisher import Publisher, missing_publishers, publish, validate
+from ..sources.position_index import EARLIEST, LATEST, exists, resolve_start, update_index
 
 STATE_SCHEMA = ("batch BIGINT, _open BOOLEAN, _edge_file BIGINT, _edge_pos BIGINT, _edge_begin BOOLEAN, "
                 "_map_db STRING, _last_file BIGINT, _last_pos BIGINT")
@@ -56,6 +58,24 @@ class CarriedState:
 STATE_COLUMNS = [c.split()[0] for c in STATE_SCHEMA.split(", ")]
 
 
+def pinned_start(spark: SparkSession, checkpoint: str, log: str | None, start: tuple[str, int] | str | None) -> tuple[str, int] | None:
+    """The place after which a query reads, resolved when it first starts and then kept with its checkpoint.
+
+    ``latest`` is where the log ended then, by its position index, so a restart loses nothing that came
+    since. None and ``earliest`` are the beginning.
+    """
+    if start is None or start == EARLIEST:
+        return None
+    saved = f"{checkpoint.rstrip('/')}/start"
+    if not exists(spark, saved):
+        if start == LATEST and log is None:
+            raise ValueError("a start at the current end needs the folder of the log, for its position index")
+        mark = resolve_start(update_index(spark, log) if start == LATEST else None, start=start)
+        spark.createDataFrame([mark or (None, None)], "log_file STRING, position BIGINT").coalesce(1).write.parquet(saved)
+    kept = spark.read.schema("log_file STRING, position BIGINT").parquet(saved).first()
+    return (kept.log_file, kept.position) if kept.log_file is not None else None
+
+
 def _advance(batch: DataFrame, before: Mapping[str, object], batch_id: int) -> dict[str, object]:
     """State after a batch; a batch that starts before the last one ended is an error."""
     found = {k: v for k, v in end_state(batch).first().asDict().items() if v is not None}
@@ -75,12 +95,18 @@ def assign_txn_stream(
     source: str = "log",
     slices: Slices | None = None,
     trigger: Mapping[str, object] | None = None,
+    start: tuple[str, int] | str | None = None,
+    log_path: str | None = None,
 ) -> StreamingQuery:
     """Run ``handle(assigned_batch, batch_id)`` on each micro-batch of a log stream.
 
     The log must arrive in order, and a late file is an error, since ids that
     were already handed out would be wrong.  Inside a batch any order is fine.
+    ``start`` is a place (file, position) or its two-line text, ``earliest`` or ``latest``; events up to it are
+    skipped. It counts when the query first starts; ``latest`` needs ``log_path``, the folder of the log.
     """
+    if (mark := pinned_start(log.sparkSession, checkpoint, log_path, start)) is not None:
+        log = after(log, mark)
     state = CarriedState(log.sparkSession, f"{checkpoint.rstrip('/')}/txn-state")
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -114,6 +140,8 @@ def run_pipeline(
     deliveries: str | None = None,
     retry_failed: bool = True,
     on_outcomes: Callable[[list], None] | None = None,
+    start: tuple[str, int] | str | None = None,
+    log_path: str | None = None,
 ) -> StreamingQuery:
     """Capture, assign transactions, build documents, route and publish.
 
@@ -123,7 +151,8 @@ def run_pipeline(
     stops and the batch is repeated on restart, so nothing is lost.
     Delivery reports are always stored, one part per batch and publisher, in the
     folder ``deliveries`` or below the checkpoint; a record that failed makes the batch fail.
-    An active route without a publisher raises before the first batch.
+    An active route without a publisher raises before the first batch. ``start`` and ``log_path``
+    are those of :func:`assign_txn_stream`.
     """
     if lost := missing_publishers(routes, publishers):
         raise ValueError(f"no publisher for active routes {', '.join(lost)}")
@@ -140,7 +169,7 @@ def run_pipeline(
         if failed and retry_failed:
             raise RuntimeError(f"batch {batch_id} failed at " + "; ".join(f"{o.publisher}: {o.error}" for o in failed))
 
-    return assign_txn_stream(log, rules, checkpoint, handle, source, slices, trigger)
+    return assign_txn_stream(log, rules, checkpoint, handle, source, slices, trigger, start, log_path)
 
 
 def drain_and_stop(query: StreamingQuery, publishers: Mapping[str, Publisher] | None = None) -> None:
