@@ -59,7 +59,6 @@ def test_no_lengths():
 def check(rows, texts, capacity=1024):
     """Everything the contract says of ``rows``; the number of sequences."""
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
     places = defaultdict(list)
     by_doc = defaultdict(list)
     for r in rows:

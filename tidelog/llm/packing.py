@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from itertools import combinations
@@ -246,22 +248,43 @@ def _memory(ranks_path: str, pattern: str) -> ChunkMemory:
     return _MEMORY[ranks_path]
 
 
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Texts that a tokenizer file names as tokens of their own, wherever they occur in a text."""
+    with open(json_path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def with_added(encode, added: dict[str, int]):
+    """``encode`` for texts that may hold ``added`` tokens: each is one id, and what lies between is encoded alone."""
+    if not added:
+        return encode
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+    def whole(text: str) -> bytes:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return b"".join(int(added[p]).to_bytes(4, "little") if k % 2 else encode(p) if p else b"" for k, p in enumerate(parts))
+
+    return whole
+
+
 def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): the ids of each text with ``end_id`` after them, cut if too long.
 
     Only documents longer than ``capacity`` are cut: what does not fill whole pieces comes first.
-    Null text is empty text, one piece of ``end_id`` alone.
+    Null text is empty text, one piece of ``end_id`` alone. The texts of ``added`` are single tokens.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     last = int(end_id).to_bytes(4, "little")
 
     def batches(rows):
-        memory = _memory(ranks_path, pattern)
+        encode = with_added(_memory(ranks_path, pattern).ids, added or {})
         for batch in rows:
             out = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = memory.ids(text or "") + last
+                ids = encode(text or "") + last
                 total = len(ids) // 4
                 starts = [0, *range(total % capacity or capacity, total, capacity)]
                 for k, (start, stop) in enumerate(zip(starts, [*starts[1:], total])):
@@ -309,7 +332,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         with_ids: bool = False, name: str = "packing") -> DataFrame:
+         with_ids: bool = False, name: str = "packing", added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece of every document with its place: sequence_id and offset, gapless from 0.
 
     ``docs`` needs doc_id and text; other columns are ignored. Rows with a null or a repeated doc_id
@@ -317,4 +340,4 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACIT
     no rows.
     """
     scratch = Scratch(docs.sparkSession, name)
-    return place(scratch.store(pieces(docs, ranks_path, pattern, capacity, end_id, with_ids), "pieces"), capacity)
+    return place(scratch.store(pieces(docs, ranks_path, pattern, capacity, end_id, with_ids, added), "pieces"), capacity)

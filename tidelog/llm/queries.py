@@ -100,7 +100,8 @@ def op2(spark, sf_dir):
 @query("op3_packing")
 def op3(spark, sf_dir):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    placed = packing.pack(table(spark, sf_dir, "documents"), ranks, pattern, name="op3")
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    placed = packing.pack(table(spark, sf_dir, "documents"), ranks, pattern, name="op3", added=added)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
