@@ -24,7 +24,7 @@ def matrix(column: pa.Array, kind=np.float64) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), kind).reshape(len(column), -1)
 
 
-def one_per_id(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding): sound rows with an id; repeated rows once, of different vectors under one id the smallest."""
+def distinct_rows(vectors: DataFrame) -> DataFrame:
+    """(vec_id, embedding, many): sound rows with an id, equal ones as one with their number."""
     sound = vectors.where(F.col("vec_id").isNotNull()).where(finite()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    return sound.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return sound.groupBy("vec_id", "embedding").agg(F.count("*").alias("many"))
