@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str = "_own") -> str:
+    """A column name that ``df`` does not have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Tables written below the shared folder: cheap to read again, and safe if an executor is lost."""
 

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import Scratch
+from tidelog.llm.common import Scratch, free_name
 from tidelog.llm.components import components
 
 SHINGLE, SEED, BITS, SEGMENTS = 3, 42, 64, 2
@@ -29,15 +29,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs``; only those two columns leave the scan."""
+    """(doc_id, key, fp) of every row of ``docs``; key is a hash of the whole text."""
     def batches(rows):
         for batch in rows:
             texts = batch.column("text").to_pylist()
             prints = pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), prints], ["doc_id", "key", "fp"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(batches, "doc_id long, fp long")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    return narrow.mapInArrow(batches, "doc_id long, key long, fp long")
 
 
 def segment_balls(segments: int = SEGMENTS) -> list[int]:
@@ -69,6 +69,19 @@ def near_links(prints: DataFrame) -> DataFrame:
             .where("a != b").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2).distinct())
 
 
+def _grouped(docs: DataFrame, name: str) -> DataFrame:
+    """(doc_id, key, fp, component, component_id) of every row; component is the smallest fingerprint of the group."""
+    scratch = Scratch(docs.sparkSession, name)
+    printed = scratch.store(with_fingerprint(docs), "prints")
+    values = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    groups = components(scratch, near_links(values.select("fp")))
+    values = values.join(groups.withColumnRenamed("id", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    least = values.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = scratch.store(values.join(least, "component").select("fp", "component", "component_id"), "groups")
+    return printed.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, name: str = "simhash") -> DataFrame:
     """(doc_id, fp, component_id): documents whose fingerprints link, directly or through others.
 
@@ -77,24 +90,21 @@ def near_duplicates(docs: DataFrame, name: str = "simhash") -> DataFrame:
     null doc_id are fingerprinted and grouped, but never name a group (component_id is null if all
     are null). Repeated rows each give a row. An empty table gives no rows.
     """
-    scratch = Scratch(docs.sparkSession, name)
-    printed = scratch.store(with_fingerprint(docs), "prints")
-    values = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    groups = components(scratch, near_links(values.select("fp")))
-    values = values.join(groups.withColumnRenamed("id", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    least = values.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = scratch.store(values.join(least, "component").select("fp", "component_id"), "groups")
-    return printed.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, name).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, name: str = "simhash-keep") -> DataFrame:
-    """``docs`` without the documents that are not the smallest doc_id of their group; columns as given.
+    """``docs`` with one document of each group, that of the smallest doc_id; columns as given, whatever they are called.
 
-    Rows with a null doc_id are kept: they have no id to be told apart by. Rows that repeat a kept
-    doc_id are repeated rows of the document itself and reduced to one.
+    Rows with a null doc_id are kept: they have no id to be told apart by. Equal rows of the kept
+    document are reduced to one. Different texts under one doc_id are different documents: each stays
+    if its group has no smaller doc_id, and of those in one group the one with the smallest text hash. Null and empty
+    texts are one group. An empty table gives no rows.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), name)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    found = _grouped(docs.select("doc_id", "text"), name).where("doc_id IS NOT NULL")
+    doc, key = free_name(docs, "_doc"), free_name(docs, "_key")
+    keepers = found.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("k")).select(
+        F.col("k.doc_id").alias(doc), F.col("k.key").alias(f"{key}_"))
+    keyed = docs.where("doc_id IS NOT NULL").withColumn(key, F.xxhash64("text"))
+    known = keyed.join(keepers, (F.col("doc_id") == F.col(doc)) & (F.col(key) == F.col(f"{key}_")), "left_semi")
+    return known.dropDuplicates(["doc_id", key]).drop(key).unionByName(docs.where("doc_id IS NULL"))

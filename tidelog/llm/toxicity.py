@@ -10,6 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tidelog.llm.common import free_name
 
 # Labelled rows that voters and classifier are fitted on: a bound, in expectation, on a sample by hash of doc_id.
 EXAMPLES = 8_000
@@ -171,13 +174,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """Voters and classifier from labelled documents that are not held out.
 
     Null labels and labels of null doc_ids are ignored; of several labels of a document the highest
-    counts. Without a labelled row of each kind the lexicon decides alone.
+    counts, of several texts the smallest. Without a labelled row of each kind the lexicon decides alone.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("int").alias("toxic"))
-    total = known.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, examples / max(1, total)))
-    sample = docs.select("doc_id", "text").join(known.where(part), "doc_id").select("toxic", "text")
+    # At most ``examples`` documents, one text each, however often a doc_id repeats.
+    part = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
+    sample = docs.select("doc_id", "text").join(part, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text")
 
     def counted(rows):
         for batch in rows:
@@ -231,8 +234,7 @@ def with_score(docs: DataFrame, model: Model, column: str = "_score") -> DataFra
             scores = [model.score(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*names, column])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(batches, f"{fields}, `{column}` double")
+    return docs.mapInArrow(batches, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
 
 
 def scored(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
@@ -249,5 +251,10 @@ def scored(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Data
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, examples: int = EXAMPLES) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, columns as given."""
-    return with_score(docs, fit(docs, labels, examples)).where(F.col("_score") < threshold).drop("_score")
+    """The rows of ``docs`` that score below ``threshold``, columns as given, whatever they are called.
+
+    Null and empty texts score as a text without a vote and stay, rows that repeat a doc_id are judged one by one,
+    whole texts of any length are read, and an empty table gives no rows.
+    """
+    column = free_name(docs)
+    return with_score(docs, fit(docs, labels, examples), column).where(F.col(column) < threshold).drop(column)
