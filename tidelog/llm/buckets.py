@@ -27,25 +27,30 @@ def square_blocks(members: DataFrame, count: str) -> DataFrame:
         *members.columns, "p.left", "p.i", "p.j")
 
 
-def bucket_links(scratch: Scratch, placed: DataFrame, payload: DataFrame, verified: Callable[[DataFrame], DataFrame],
+def with_heads(scratch: Scratch, placed: DataFrame) -> DataFrame:
+    """(cell, v, own, head, n) of the entries of buckets that hold different rows; n counts entries, head is the bucket's first own row."""
+    placed = scratch.store(placed, "entries")
+    heads = scratch.store(placed.groupBy("cell").agg(
+        F.min(F.when(F.col("own"), F.col("v"))).alias("head"), F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n")).where(
+        "low != high AND head IS NOT NULL").select("cell", "head", "n"), "heads")
+    return placed.join(heads, "cell")
+
+
+def bucket_links(scratch: Scratch, members: DataFrame, payload: DataFrame, verified: Callable[[DataFrame], DataFrame],
                  in_blocks: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """Links (a, b) with the components of all links between rows that share a bucket.
 
-    ``placed`` has cell, v and own (false for an entry that only looks into the cell: two such are
-    no pair). ``payload`` has v and what is compared. ``verified`` keeps the pairs (a, b) that
+    ``members`` has cell, v, own (false for an entry that only looks into the cell: two such are
+    no pair), head and n, and is read several times. ``payload`` has v and what is compared. ``verified`` keeps the pairs (a, b) that
     link. First every entry is compared with the first row of its bucket, which is linear and
     joins most groups of copies. Then only buckets that still hold several components are compared
     across them: small ones as pairs, large ones by ``in_blocks``, whose tasks get two blocks of
     rows (left or not, v, comp and the payload) and give (a, b).
     """
-    placed = scratch.store(placed, "entries")
-    heads = scratch.store(placed.groupBy("cell").agg(
-        F.min(F.when(F.col("own"), F.col("v"))).alias("head"), F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n")).where(
-        "low != high AND head IS NOT NULL").select("cell", "head", "n"), "heads")
-    stars = placed.join(heads, "cell").where("v != head").select(F.least("v", "head").alias("a"), F.greatest("v", "head").alias("b")).distinct()
+    stars = members.where("v != head").select(F.least("v", "head").alias("a"), F.greatest("v", "head").alias("b")).distinct()
     star_links = scratch.store(verified(stars), "stars")
     comps = components(scratch, star_links, "star-links")
-    known = placed.join(heads.where("n > 2"), "cell").join(comps.withColumnRenamed("id", "v"), "v", "left").select(
+    known = members.where("n > 2").join(comps.withColumnRenamed("id", "v"), "v", "left").select(
         "cell", "head", "v", "own", F.coalesce("component", "v").alias("comp"))
     open_ = known.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
     open_ = scratch.store(open_.select("cell", "n"), "open")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.buckets import BLOCK, bucket_links, square_blocks
+from tidelog.llm.buckets import BLOCK, bucket_links, square_blocks, with_heads
 from tidelog.llm.common import Scratch
 from tidelog.llm.components import components
 from tidelog.llm.vectors import finite, matrix
@@ -73,10 +73,31 @@ def cells(unit: np.ndarray, tables: int = TABLES, points: int = POINTS, spread:
     return np.array(own).T.view(np.int64), np.stack(probed, axis=1).view(np.int64)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component near 1: exact, and no product of components vanishes or overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def pairs_close(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether row k of x and row k of y, both scaled, are at the cosine or above."""
+    return (x * y).sum(axis=1) >= cosine * np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+
+
+def all_close(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """The same for every row of x with every row of y; what rounding of the product could decide is decided pair by pair."""
+    bound = cosine * np.sqrt(np.outer((x * x).sum(axis=1), (y * y).sum(axis=1)))
+    products = x @ y.T
+    close = products >= bound
+    i, j = np.nonzero(np.abs(products - bound) <= 1e-9 * bound)
+    close[i, j] = pairs_close(x[i], y[j], cosine)
+    return close
+
+
 def entries(vectors: DataFrame) -> DataFrame:
     """(cell, v, own): every vector in its own cell of each table and in the cells it probes."""
     def batches(rows):
@@ -103,8 +124,7 @@ def verified(pairs: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
             for size in np.unique(sizes):
                 at = np.flatnonzero((sizes == size) & (batch.column("y").value_lengths().to_numpy() == size))
                 if len(at):
-                    x, y = (matrix(batch.column(c).take(pa.array(at))) for c in ("x", "y"))
-                    out[at] = (x * y).sum(axis=1) >= cosine * np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+                    out[at] = pairs_close(*(scaled(matrix(batch.column(c).take(pa.array(at)))) for c in ("x", "y")), cosine)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out))
 
     x = vectors.select(F.col("v").alias("a"), F.col("embedding").alias("x"))
@@ -113,13 +133,13 @@ def verified(pairs: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
 
 
 def _same_length(table: pa.Table):
-    """(left ids, left unit vectors, right ids, right unit vectors, left rows, right rows) for each length of vector."""
+    """((left rows, right rows), [left vectors, right vectors]) for each length of vector, scaled."""
     sizes = table["embedding"].combine_chunks().value_lengths().to_numpy()
     left = table["left"].to_numpy(zero_copy_only=False)
     for size in np.unique(sizes):
         here = np.flatnonzero((sizes == size) & left), np.flatnonzero((sizes == size) & ~left)
         if len(here[0]) and len(here[1]):
-            yield here, [unit_rows(matrix(table["embedding"].combine_chunks().take(pa.array(h)))) for h in here]
+            yield here, [scaled(matrix(table["embedding"].combine_chunks().take(pa.array(h)))) for h in here]
 
 
 def _links_in_blocks(table: pa.Table, cosine: float = COSINE) -> pa.Table:
@@ -127,7 +147,7 @@ def _links_in_blocks(table: pa.Table, cosine: float = COSINE) -> pa.Table:
     a, b = [], []
     ids, comp = table["v"].to_numpy(), table["comp"].to_numpy()
     for (rows, columns), (x, y) in _same_length(table):
-        close = x @ y.T >= cosine
+        close = all_close(x, y, cosine)
         for k, row in enumerate(rows):
             met = columns[np.flatnonzero(close[k])]
             _, first = np.unique(comp[met], return_index=True)
@@ -141,7 +161,7 @@ def _counts_in_blocks(table: pa.Table) -> pa.Table:
     v, n = [], []
     ids, comp, many = table["v"].to_numpy(), table["comp"].to_numpy(), table["many"].to_numpy()
     for (rows, columns), (x, y) in _same_length(table):
-        close = (x @ y.T >= COSINE) & (comp[rows][:, None] == comp[columns]) & (ids[rows][:, None] != ids[columns])
+        close = all_close(x, y, COSINE) & (comp[rows][:, None] == comp[columns]) & (ids[rows][:, None] != ids[columns])
         v += ids[rows].tolist()
         n += (close @ many[columns]).tolist()
     return pa.table({"v": pa.array(v, pa.int64()), "n": pa.array(n, pa.int64())})
@@ -162,7 +182,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, name: str = "lat
     distinct = rows.where(usable).groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("many"))
     distinct = scratch.store(distinct.select(F.monotonically_increasing_id().alias("v"), "embedding", "first", "many"), "distinct")
     payload = distinct.select("v", "embedding")
-    links = bucket_links(scratch, entries(distinct), payload, lambda pairs: verified(pairs, payload, cosine), lambda t: _links_in_blocks(t, cosine))
+    links = bucket_links(scratch, with_heads(scratch, entries(distinct)), payload, lambda pairs: verified(pairs, payload, cosine), lambda t: _links_in_blocks(t, cosine))
     comps = components(scratch, links)
     comps = scratch.store(comps.withColumnRenamed("id", "v").withColumnRenamed("component", "comp").join(distinct, "v"), "members")
     sizes = comps.groupBy("comp").agg(F.count("*").alias("n"), F.min("first").alias("component_id"))

@@ -8,9 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.bloom import blocks_for, with_maybe
+from tidelog.llm.bloom import BROADCAST_BLOCKS, blocks_for, with_maybe
 from tidelog.llm.buckets import bucket_links
-from tidelog.llm.common import Scratch
+from tidelog.llm.common import Scratch, free_name
 from tidelog.llm.components import components
 
 SHINGLE, JACCARD = 5, 0.8
@@ -134,15 +134,16 @@ def check(norm: str) -> int:
 def _placed(rows):
     """Every line with its numbers and, unless the task has lately placed the same line, its buckets and, of a line of many shingles, its sketch."""
     seen: set[int] = set()
-    names = ["doc_id", "line", "v", "check", "bands", "s0", "s1"]
+    names = ["doc_id", "key", "line", "v", "check", "bands", "s0", "s1"]
     for batch in rows:
-        docs, ats, vs, checks, fresh = [], [], [], [], {}
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        docs, keys, ats, vs, checks, fresh = [], [], [], [], [], {}
+        for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
             for at, norm in numbered_lines(text):
                 v = name(norm)
                 if v not in seen:
                     fresh.setdefault(v, (len(vs), norm))
                 docs.append(doc_id)
+                keys.append(key)
                 ats.append(at)
                 vs.append(v)
                 checks.append(check(norm))
@@ -156,8 +157,8 @@ def _placed(rows):
             values = signatures(list(lines))
             for k, b, (x, y), n in zip(where, bands(list(lines), values).tolist(), sketches(values).tolist(), different(values).tolist()):
                 placed[k], s0[k], s1[k] = (b, x, y) if n >= FULL else (b, None, None)
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, ats, vs, checks, placed, s0, s1), kinds)], names)
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, keys, ats, vs, checks, placed, s0, s1), kinds)], names)
 
 
 def _texts(rows):
@@ -181,9 +182,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 out.append(jaccard(known[a], known[b]) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out, pa.bool_()))
 
-    # Sketches first, as they are short: of long lines at Jaccard ``least`` so many bits differ once in 100,000 pairs. Lines without one go on.
+    # Sketches first, as they are short: of long lines at Jaccard ``least`` more bits differ less than once in 10^11 pairs. Lines without one go on.
     apart = BINS * (1 - least) / 2
-    most = apart + 4.5 * (apart * (1 - apart / BINS)) ** 0.5
+    most = apart + 7 * (apart * (1 - apart / BINS)) ** 0.5
     sides = [texts.select(F.col("v").alias(v), F.col("s0").alias(f"{v}0"), F.col("s1").alias(f"{v}1")) for v in "ab"]
     bits = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
     pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(F.coalesce(bits <= most, F.lit(True))).select("a", "b")
@@ -212,57 +213,81 @@ def _links_in_blocks(table: pa.Table, least: float) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def near_lines(docs: DataFrame, least: float = JACCARD, name: str = "lines") -> DataFrame:
-    """(doc_id, line, keeper_doc_id, keeper_line, kept): every line that is not blank, and the line that stands for it.
+def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
+    """(doc_id, key, line, k_doc, k_line) of every line: key is a hash of its whole text, the others are the place of the line that stands for it.
 
-    Lines link if their normalised texts are equal or have a Jaccard of ``least`` or more over
-    character shingles; components over all documents keep their first line (smallest doc_id, then
-    line, counted from 0 in the text cut at line feeds). ``docs`` needs doc_id and text; other
-    columns are ignored. Null, empty and blank texts give no rows. Lines of documents without an id
-    link, but are kept and stand for no other. Rows that repeat a doc_id are one document: equal
-    rows keep the same lines. An empty table gives no rows.
+    Only lines move, not texts: the entries (cell, v) once, to find cells with different lines, then
+    those of such cells, which a Bloom filter tells before they move. Each table is dropped when
+    the next ones are there.
     """
-    scratch = Scratch(docs.sparkSession, name)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = scratch.store(narrow.mapInArrow(_placed, "doc_id long, line int, v long, check long, bands array<long>, s0 long, s1 long"), "lines")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    placed = scratch.store(narrow.mapInArrow(_placed, "doc_id long, key long, line int, v long, check long, bands array<long>, s0 long, s1 long"), "placed")
     place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(PACK).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    firsts = lines.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"),
-                                      F.max("s0").alias("s0"), F.max("s1").alias("s1"))
+    firsts = placed.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"),
+                                     F.max("s0").alias("s0"), F.max("s1").alias("s1"))
     # Different lines of one 64-bit hash would be taken for one: they are left as they are.
     firsts = scratch.store(firsts.where("low = high").select("v", "first", "s0", "s1"), "firsts")
-    placed = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("cell"), "v", F.lit(True).alias("own"))
-    in_question = placed.groupBy("cell").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low != high").select("cell")
-    in_question = scratch.store(placed.join(in_question, "cell"), "shared")
+    lines = scratch.store(placed.select("doc_id", "key", "line", "v"), "lines")
+    entries = placed.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "v")
+    heads = entries.groupBy("key").agg(F.min("v").alias("head"), F.max("v").alias("high"), F.count("*").alias("n")).where("head != high").select("key", "head", "n")
+    heads = scratch.store(heads, "heads")
+    shared = with_maybe(entries, heads, min(BROADCAST_BLOCKS, blocks_for(heads.count()))).where("_maybe").drop("_maybe").join(heads, "key")
+    members = scratch.store(shared.distinct().withColumnRenamed("key", "cell"), "members")
+    scratch.drop("placed")
+    scratch.drop("heads")
     # Only lines that share a bucket with another are compared, so only their texts move.
-    wanted = scratch.store(in_question.select("v").distinct().join(firsts, "v"), "wanted")
-    maybe = with_maybe(narrow.mapInArrow(_texts, "doc_id long, line int, key long, norm string"), wanted.select(F.col("v").alias("key")),
+    wanted = scratch.store(members.select("v").distinct().join(firsts, "v"), "wanted")
+    maybe = with_maybe(narrow.select("doc_id", "text").mapInArrow(_texts, "doc_id long, line int, key long, norm string"), wanted.select(F.col("v").alias("key")),
                        min(FILTER_BLOCKS, blocks_for(wanted.count())))
     texts = maybe.where("_maybe").withColumnRenamed("key", "v").join(wanted, "v").where(F.col("first").isNull() | (place == F.col("first")))
     texts = scratch.store(texts.dropDuplicates(["v"]).select("v", "norm", "s0", "s1"), "texts")
-    links = bucket_links(scratch, in_question, texts, lambda pairs: _verified(pairs, texts, least), lambda t: _links_in_blocks(t, least))
-    comps = components(scratch, links, "line-links")
+    scratch.drop("wanted")
+    links = bucket_links(scratch, members.withColumn("own", F.lit(True)), texts, lambda pairs: _verified(pairs, texts, least), lambda t: _links_in_blocks(t, least))
+    comps = scratch.store(components(scratch, links, "line-links"), "comps")
+    for done in ("members", "texts", "stars", "open"):
+        scratch.drop(done)
     named = firsts.join(comps.withColumnRenamed("id", "v"), "v", "left").select("v", "first", F.coalesce("component", "v").alias("comp"))
     keepers = named.groupBy("comp").agg(F.min("first").alias("keeper"))
     keepers = scratch.store(named.join(keepers, "comp").select("v", "keeper"), "keepers")
-    found = lines.select("doc_id", "line", "v").join(keepers, "v", "left")
+    scratch.drop("firsts")
+    found = lines.join(keepers, "v", "left")
     at = F.pmod(F.col("keeper"), F.lit(PACK).cast("decimal(11,0)"))
-    found = found.select("doc_id", "line", ((F.col("keeper") - at) / F.lit(PACK).cast("decimal(11,0)")).cast("long").alias("k_doc"), at.cast("int").alias("k_line"))
+    return found.select("doc_id", "key", "line", ((F.col("keeper") - at) / F.lit(PACK).cast("decimal(11,0)")).cast("long").alias("k_doc"), at.cast("int").alias("k_line"))
+
+
+def _kept(found: DataFrame) -> DataFrame:
+    """``found`` with keeper_doc_id, keeper_line and kept."""
     own = F.col("doc_id").isNull() | F.col("k_doc").isNull()
-    found = found.select("doc_id", "line", F.when(own, F.col("doc_id")).otherwise(F.col("k_doc")).alias("keeper_doc_id"),
+    found = found.select("doc_id", "key", "line", F.when(own, F.col("doc_id")).otherwise(F.col("k_doc")).alias("keeper_doc_id"),
                          F.when(own, F.col("line")).otherwise(F.col("k_line")).alias("keeper_line"))
     return found.withColumn("kept", F.coalesce((F.col("doc_id") == F.col("keeper_doc_id")) & (F.col("line") == F.col("keeper_line")), F.lit(True)))
 
 
+def near_lines(docs: DataFrame, least: float = JACCARD, name: str = "lines") -> DataFrame:
+    """(doc_id, line, keeper_doc_id, keeper_line, kept): every line that is not blank, and the line that stands for it.
+
+    Lines link if their normalised texts are equal or have a Jaccard of ``least`` or more over
+    character shingles; components over all documents keep their first line (smallest doc_id, then
+    line, counted from 0 in the text cut at line feeds). ``docs`` needs doc_id and text; other
+    columns are ignored. Null, empty and blank texts give no rows. Lines of documents without an id
+    link, but are kept and stand for no other. Equal rows that repeat a doc_id keep the same lines. An empty table gives no rows.
+    """
+    return _kept(_keepers(Scratch(docs.sparkSession, name), docs, least)).drop("key")
+
+
 def without_repeats(docs: DataFrame, least: float = JACCARD, name: str = "line-dedup") -> DataFrame:
-    """``docs`` with the lines that are not kept taken out of their texts, columns as given; n_chars follows the text.
+    """``docs`` with the lines that are not kept taken out of their texts, columns as given, whatever they are called; n_chars follows the text.
 
-    A document that loses all its lines stays with an empty text.
+    A document that loses all its lines stays with an empty text; null and empty texts stay as they are. Rows that repeat a
+    doc_id with the same text lose the same lines, with different texts each its own. Lines of rows without a doc_id
+    stay. An empty table gives no rows.
     """
-    gone = near_lines(docs.select("doc_id", "text"), least, name).where("NOT kept").groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_set("line").alias("_gone"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left").withColumn("text", text)
+    doc, key, gone = (free_name(docs, c) for c in ("_doc", "_key", "_gone"))
+    found = _kept(_keepers(Scratch(docs.sparkSession, name), docs.select("doc_id", "text"), least)).where("NOT kept")
+    lost = found.groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key)).agg(F.collect_set("line").alias(gone))
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    joined = docs.join(lost, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(key)), "left").withColumn("text", text)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        joined = joined.withColumn("n_chars", F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return joined.select(docs.columns)
