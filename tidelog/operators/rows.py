@@ -63,15 +63,24 @@ def explode_rows(ev: DataFrame) -> DataFrame:
 
 
 def _same(a: Column, b: Column) -> Column:
-    """Whether two VARIANTs hold the same value; numbers compare by value, whatever their type."""
+    """Whether two VARIANTs hold the same value; numbers compare by value, whatever their type.
+
+    Whole numbers and decimals compare by all their digits; only with a binary fraction on one side both are
+    taken as such. Text that looks like a number stays text.
+    """
     def number(v: Column) -> Column:
-        # Text that looks like a number stays text; decimals are exact, doubles beyond their range compare as such.
         return F.when(F.schema_of_variant(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$"),
                       F.try_variant_get(v, "$", "double"))
 
+    def digits(v: Column) -> Column:
+        # Without the zeros that only the scale of a decimal adds.
+        return F.when(F.schema_of_variant(v).rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL.*)$"),
+                      F.regexp_replace(F.regexp_replace(F.to_json(v), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""))
+
     exact = F.to_json(a).eqNullSafe(F.to_json(b))
     whole = F.schema_of_variant(a) == F.schema_of_variant(b)
-    return exact | (~F.coalesce(whole, F.lit(False)) & F.coalesce(number(a) == number(b), F.lit(False)))
+    equal = F.coalesce(digits(a) == digits(b), number(a) == number(b), F.lit(False))
+    return exact | (~F.coalesce(whole, F.lit(False)) & equal)
 
 
 def differing_keys(before: Column, after: Column) -> Column:

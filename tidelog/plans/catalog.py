@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     row_queries,
     sink_queries,
     stream_queries,
+    subscription_queries,
     value_queries,
 )
 from .registry import QUERIES, SQL  # noqa: F401

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..sinks import records
-from ..sinks.deliver import python_deliver, webhook_deliver
+from ..sinks.deliver import DEFAULT_RETRIES, python_deliver, webhook_deliver
 from ..session import scratch_folder
 from ..sinks.files import rotation_plan, write_jsonl
 from ..sinks.publisher import EventPublisher
@@ -102,7 +102,10 @@ def flaky_transport():
     def send(record):
         place = (record["log_file"], record["position"])
         tries[place] = tries.get(place, 0) + 1
-        return 503 if tries[place] <= record["position"] // 100 % 6 else 204
+        status = 503 if tries[place] <= record["position"] // 100 % 6 else 204
+        if status == 204 or tries[place] > DEFAULT_RETRIES:
+            del tries[place]
+        return status
 
     return send
 
