@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.metrics import delivery_stats
 from ..sinks import records
+from ..sinks.delivery_sink import deliver_batch
 from ..sinks.deliver import DEFAULT_RETRIES, python_deliver, webhook_deliver
 from ..session import scratch_folder
 from ..sinks.files import rotation_plan, write_jsonl
@@ -119,6 +121,23 @@ def webhook(spark, sf):
     return webhook_deliver(derived_events(spark, sf), flaky_transport, backoff=0)
 
 
+def batch_endpoint():
+    """Answers a list of records, by their positions."""
+    return lambda records: [204 if r["position"] // 100 % 6 <= 3 else 503 for r in records]
+
+
+@query("committed_reports", f"""WITH {J}
+SELECT 'hook' AS publisher, count(*) AS total, count(*) FILTER (position // 100 % 6 <= 3) AS published, 0 AS dropped,
+  count(*) FILTER (position // 100 % 6 > 3) AS errors, CAST(sum(octet_length(encode(json))) FILTER (position // 100 % 6 <= 3) AS BIGINT) AS bytes,
+  count(*) FILTER (position // 100 % 6 <= 3) / count(*) AS success_rate FROM J""")
+def committed(spark, sf):
+    """Statistics over the reports that the delivery sink committed, after the same batch was written twice."""
+    reports = f"{scratch_folder(spark)}/run-{uuid.uuid4().hex}"
+    for _ in range(2):
+        stored = deliver_batch(derived_events(spark, sf), "hook", "tidelog.plans.sink_queries:batch_endpoint", reports, batchSize=50, backoff=0.001)
+    return delivery_stats(stored)
+
+
 def reject_deletes(event):
     """Fails on deletes, raises on commits, and answers with a non-number otherwise."""
     if event["table"] == "COMMIT":

@@ -35,7 +35,7 @@ class LogFile:
     size: int
 
 
-def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
+def filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"[a-z][a-z0-9+.-]*:", folder):
         return pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", folder))
     return pafs.LocalFileSystem(), folder
@@ -43,7 +43,7 @@ def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
 
 def list_files(folder: str) -> list[LogFile]:
     """The log's files in order. A file is named by itself, or by a folder ``log_file=NAME`` that holds only it."""
-    fs, base = _filesystem(folder)
+    fs, base = filesystem(folder)
     found: dict[str, LogFile] = {}
     for info in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
         inside = info.path[len(base):].strip("/")
@@ -95,7 +95,7 @@ def cut(file: LogFile, start: int, limit: int, size: int) -> list[ByteRange]:
 
 def read_lines(folder: str, part: ByteRange) -> Iterator[pa.RecordBatch]:
     """Batches of (log_file, file_no, position, json); position is the offset behind the line. Blank lines are no events."""
-    fs, _ = _filesystem(folder)
+    fs, _ = filesystem(folder)
     schema = pa.schema([("log_file", pa.string()), ("file_no", pa.int64()), ("position", pa.int64()), ("json", pa.string())])
 
     def batch(ends: list[int], lines: list[bytes]) -> pa.RecordBatch:
@@ -189,7 +189,7 @@ class PositionedStream(DataSourceStreamReader):
         self.folder, self.start, self.size = folder, start, size
 
     def _end(self) -> dict:
-        fs, _ = _filesystem(self.folder)
+        fs, _ = filesystem(self.folder)
         files = list_files(self.folder)
         # A file behind which another has begun is complete; of the last one only whole lines are.
         while files:
