@@ -127,7 +127,7 @@ def batch_endpoint():
 
 
 @query("committed_reports", f"""WITH {J}
-SELECT 'hook' AS publisher, count(*) AS total, count(*) FILTER (position // 100 % 6 <= 3) AS published, 0 AS dropped,
+SELECT 'hook' AS publisher, count(*) AS total, count(*) FILTER (position // 100 % 6 <= 3) AS published, CAST(0 AS BIGINT) AS dropped,
   count(*) FILTER (position // 100 % 6 > 3) AS errors, CAST(sum(octet_length(encode(json))) FILTER (position // 100 % 6 <= 3) AS BIGINT) AS bytes,
   count(*) FILTER (position // 100 % 6 <= 3) / count(*) AS success_rate FROM J""")
 def committed(spark, sf):
