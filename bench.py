@@ -34,8 +34,6 @@ def timed(spark, sf_dir: str, name: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
-    # Small inputs: let adaptive execution keep all cores busy.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     seconds = {}
     for name in HEADLINE:
         timed(spark, sf_dir, name)

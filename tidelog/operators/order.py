@@ -123,11 +123,15 @@ def _running(window, last, count) -> dict[str, Column]:
 
 
 def _slice_carry(summary: DataFrame, slices: Slices, last: list[str], count: list[str]) -> DataFrame:
-    """Value of the running state at the start of each slice, as ``_carry_*``."""
+    """Value of the running state at the start of each slice, as ``_carry_*``, and the counts of whole sequences, as ``_all_*``."""
     parts = list(slices.parts)
+
+    def whole(keys: list[str]) -> list[Column]:
+        return [F.sum(n).over(Window.partitionBy(*keys)).alias(f"_all_{n}") for n in count]
+
     if slices.bundle is None:
         running = _running(_before(list(slices.keys), parts), last, count)
-        return summary.select(*slices.names, *[c.alias(f"_carry_{n}") for n, c in running.items()])
+        return summary.select(*slices.names, *[c.alias(f"_carry_{n}") for n, c in running.items()], *whole(list(slices.keys)))
 
     bundled = summary.withColumn("_bundle", F.expr(f"coalesce({slices.bundle}, -1)"))
     running = _running(_before(["_bundle"], parts), last, count)
@@ -139,11 +143,12 @@ def _slice_carry(summary: DataFrame, slices: Slices, last: list[str], count: lis
     )
     # One row per bundle: the only window without keys, and it is tiny.
     running = _running(_before([], ["_bundle"]), last, count)
-    outer = totals.select("_bundle", *[c.alias(f"_outer_{n}") for n, c in running.items()])
+    outer = totals.select("_bundle", *[c.alias(f"_outer_{n}") for n, c in running.items()], *whole([]))
     return inner.join(outer, "_bundle").selectExpr(
         *parts,
         *[f"coalesce(_inner_{n}, _outer_{n}) as _carry_{n}" for n in last],
         *[f"_inner_{n} + _outer_{n} as _carry_{n}" for n in count],
+        *[f"_all_{n}" for n in count],
     )
 
 
@@ -180,6 +185,7 @@ def with_carry(
     text: Mapping[str, Column] | None = None,
     count: Mapping[str, Column] | None = None,
     initial: Mapping[str, object] | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Add state taken over all rows strictly before each row.
 
@@ -187,6 +193,7 @@ def with_carry(
     ``text``    the same for text expressions with few values per slice
     ``count``   name -> condition; gives how many earlier rows met it
     ``initial`` values that hold before the first row
+    ``totals``  add each count over the row's whole sequence too, as ``{name}_total``
     """
     fixed, text, count = dict(last or {}), dict(text or {}), dict(count or {})
     latest = {**fixed, **text}
@@ -206,7 +213,8 @@ def with_carry(
         **{n: F.expr(f"coalesce({n}, 0) + _carry_{n} + {int(start.get(n, 0))}") for n in count},
     }
     keep = [c for c in rows.columns if c not in merged]
-    return local.join(carry, slices.names).select(*keep, *[c.alias(n) for n, c in merged.items()])
+    whole = [F.expr(f"_all_{n} + {int(start.get(n, 0))}").alias(f"{n}_total") for n in count] if totals else []
+    return local.join(carry, slices.names).select(*keep, *[c.alias(n) for n, c in merged.items()], *whole)
 
 
 def in_log_order(ev: DataFrame) -> DataFrame:
@@ -214,7 +222,7 @@ def in_log_order(ev: DataFrame) -> DataFrame:
     return ev.orderBy(file_no(), "position")
 
 
-def event_sequence(ev: DataFrame, slices: Slices | None = None, name: str = "seq_no", start: int = 0) -> DataFrame:
-    """Number events 1, 2, 3, … in log order; ``start`` continues an earlier run."""
-    numbered = with_carry(ev, slices or log_slices(), count={name: F.lit(True)}, initial={name: start})
+def event_sequence(ev: DataFrame, slices: Slices | None = None, name: str = "seq_no", start: int = 0, totals: bool = False) -> DataFrame:
+    """Number events 1, 2, 3, … in log order; ``start`` continues an earlier run, ``totals`` adds the last number as ``{name}_total``."""
+    numbered = with_carry(ev, slices or log_slices(), count={name: F.lit(True)}, initial={name: start}, totals=totals)
     return numbered.withColumn(name, F.col(name) + 1)

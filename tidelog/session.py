@@ -32,6 +32,8 @@ def local_session(cpus: int | str = 8, name: str = "tidelog") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Inputs of one machine are small: adaptive execution may keep all its cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         # No call-site capture per expression: plans here have hundreds of them.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -20,15 +20,15 @@ def rotation_plan(ev: DataFrame, max_events: int, max_files: int = DEFAULT_MAX_F
     """
     if max_events < 1:
         raise ValueError("rotation needs max_events of at least 1")
-    numbered = event_sequence(ev, slices, "_rn")
-    last = ev.agg(F.expr(f"greatest(count(1) - 1, 0) div {max_events}").alias("n")).scalar()
+    # The number of events comes with the numbering, from the sums of its slices: the log is not read for it.
+    numbered = event_sequence(ev, slices, "_rn", totals=True)
     segment = F.expr(f"(_rn - 1) div {max_events}")
-    suffix = last - 1 - F.col("segment")
+    suffix = F.expr(f"(_rn_total - 1) div {max_events}") - 1 - F.col("segment")
     return (
         numbered.withColumn("segment", segment)
         .withColumn("suffix", F.when(suffix >= 0, suffix))
         .withColumn("kept", F.col("suffix").isNull() | (F.col("suffix") < max(1, max_files)))
-        .drop("_rn")
+        .drop("_rn", "_rn_total")
     )
 
 
