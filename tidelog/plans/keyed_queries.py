@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.capture import flag_captured
 from ..sources.position_index import read_from
+from ..streaming.live import LiveMetrics, observe_events
 from ..streaming.keyed import assign_txn_sources, partition_lag_stream, windowed_counters_stream
 from ..streaming.pipeline import assign_txn_stream
 from .derived_log import L, T, log_of, rules
@@ -109,3 +110,22 @@ def lag_stream(spark, sf):
     samples = offsets(spark, sf)
     found = run_in_chunks(spark, samples, chunk_of(samples, "end_offset"), partition_lag_stream)
     return found.withColumn("sampled_at", F.col("sampled_at").cast("timestamp_ntz"))
+
+
+@query("live_metrics", f"""WITH {L} SELECT metric, value FROM (
+  UNPIVOT (SELECT count(*) AS received, count(*) FILTER (kind = 'INSERT') AS inserts, count(*) FILTER (kind = 'UPDATE') AS updates,
+             count(*) FILTER (kind = 'DELETE') AS deletes, count(*) FILTER (kind = 'COMMIT') AS commits FROM L) ON COLUMNS(*) INTO NAME metric VALUE value)""")
+def live_metrics(spark, sf):
+    """What a listener kept of a stream's observations over several batches."""
+    events, work, live = table(spark, sf, "events"), work_folder(spark), LiveMetrics()
+    events.repartition(3).write.parquet(f"{work}/in")
+    stream = log_of(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{work}/in")).withColumn("type", F.col("kind"))
+    live.attach(spark)
+    try:
+        writer = observe_events(stream).select("seq").writeStream.format("parquet").option("path", f"{work}/out")
+        running = writer.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
+        running.awaitTermination()
+        live.wait_for_end(str(running.id))
+    finally:
+        spark.streams.removeListener(live)
+    return live.table(spark).groupBy("metric").agg(F.sum("value").alias("value"))
