@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from ..sinks import records
 from ..sinks.delivery_sink import deliver_batch
 from ..sinks.deliver import DEFAULT_RETRIES, python_deliver, webhook_deliver
 from ..session import scratch_folder
-from ..sinks.files import rotation_plan, write_jsonl
+from ..sinks.files import audit_lookup, rotation_plan, write_audit, write_jsonl
 from ..sinks.publisher import EventPublisher
 from .derived_log import E, J, derived_events
 from .registry import query
@@ -97,6 +98,23 @@ def audit(spark, sf):
     return records.audit_rows(derived_events(spark, sf))
 
 
+@query("audit_lookups", f"""WITH {J},
+M AS (SELECT txn FROM J WHERE txn IS NOT NULL ORDER BY file_no, position LIMIT 1 OFFSET 50)
+SELECT 'txn' AS lookup, log_file AS binlog_file, position AS binlog_position FROM J WHERE txn = (SELECT txn FROM M)
+UNION ALL SELECT 'table', log_file, position FROM J WHERE db = 'web' AND "table" = 'notes'
+UNION ALL SELECT 'time', log_file, position FROM J WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-11 18:00:00'""")
+def audit_lookups(spark, sf):
+    """The three lookups of a stored audit table (K9)."""
+    folder = f"{scratch_folder(spark)}/audit-{uuid.uuid4().hex}"
+    write_audit(derived_events(spark, sf), "audit", folder)
+    audit = spark.read.parquet(folder)
+    txn = audit.where("txn_id <> ''").orderBy("id").offset(50).limit(1).first().txn_id
+    found = [("txn", audit_lookup(audit, txn=txn)), ("table", audit_lookup(audit, db="web", table="notes")),
+             ("time", audit_lookup(audit, datetime(2024, 1, 10, 6), datetime(2024, 1, 11, 18)))]
+    parts = [rows.select(F.lit(name).alias("lookup"), "binlog_file", "binlog_position") for name, rows in found]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def flaky_transport():
     """Answers 503 to the first ``position div 100 mod 6`` attempts of each message."""
     tries: dict[tuple, int] = {}

@@ -102,19 +102,43 @@ def append_jsonl(ev: DataFrame, path: str, batch_id: int, max_events: int, max_f
     _remove_segments(spark, path, oldest)
 
 
-def write_audit(ev: DataFrame, table: str, path: str | None = None, ts: str | None = "ts") -> None:
+# Rows inside a file are in this order, so that its row groups' smallest and largest values tell them apart.
+AUDIT_ORDER = ["event_date", "source_db", "source_table", "event_time"]
+
+
+def write_audit(ev: DataFrame, table: str, path: str | None = None, ts: str | None = "ts", row_group_bytes: int | None = None) -> None:
     """Append to the audit table, partitioned by day and database.
 
-    With ``path`` the table is a folder of Parquet files, else a catalog table.
+    With ``path`` the table is a folder of Parquet files, else a catalog table. It is laid out for
+    its three lookups: by time (days and sorted times), by (database, table) (partitions and sorted
+    names) and by transaction (a Bloom filter in every row group), see :func:`audit_lookup`.
     """
     rows = audit_rows(ev, ts).withColumn("event_date", F.to_date("event_time"))
-    writer = rows.write.mode("append").partitionBy("event_date", "source_db")
+    rows = rows.repartitionByRange(*AUDIT_ORDER).sortWithinPartitions(*AUDIT_ORDER)
+    writer = rows.write.mode("append").partitionBy("event_date", "source_db").option("parquet.bloom.filter.enabled#txn_id", "true")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
     if path:
         writer.format("parquet").save(path)
     else:
         writer.saveAsTable(table)
 
 
+def audit_lookup(audit: DataFrame, since=None, until=None, db: str | None = None, table: str | None = None, txn: str | None = None) -> DataFrame:
+    """Rows of an audit table by time (``since`` inclusive, ``until`` exclusive), database and table, or transaction.
+
+    Every condition reaches the scan: days and databases choose folders, the others row groups by their statistics or Bloom filters.
+    """
+    if since is not None:
+        audit = audit.where((F.col("event_date") >= F.to_date(F.lit(since))) & (F.col("event_time") >= F.lit(since)))
+    if until is not None:
+        audit = audit.where((F.col("event_date") <= F.to_date(F.lit(until))) & (F.col("event_time") < F.lit(until)))
+    for name, value in (("source_db", db), ("source_table", table), ("txn_id", txn)):
+        if value is not None:
+            audit = audit.where(F.col(name) == value)
+    return audit
+
+
 def write_audit_jdbc(ev: DataFrame, url: str, table: str, properties: dict[str, str], ts: str | None = "ts") -> None:
     """Append to an audit table in a database; rows beyond any statement size are fine."""
     audit_rows(ev, ts).write.jdbc(url, table, mode="append", properties=properties)
