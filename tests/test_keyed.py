@@ -10,7 +10,8 @@ from tidelog.operators import metrics
 from tidelog.operators.order import source_slices
 from tidelog.operators.txn import assign_txn
 from tidelog.sources.position_index import end_mark, needed_files, position_index, read_from, resolve_start, update_index
-from tidelog.streaming.keyed import assign_txn_sources, partition_lag_stream, windowed_counters_stream
+from tidelog.operators.rows import pack_rows
+from tidelog.streaming.keyed import assign_txn_sources, pack_rows_stream, partition_lag_stream, windowed_counters_stream
 from tidelog.streaming.pipeline import assign_txn_stream
 
 
@@ -121,3 +122,17 @@ def test_stream_starts(spark, tmp_path, start, n):
         stream = spark.readStream.schema(entries.schema).parquet(log)
         assign_txn_stream(stream, rules, str(tmp_path / "check"), handle, start=start, log_path=log).awaitTermination()
     assert spark.read.schema("seq BIGINT").parquet(out).count() == n
+
+
+def test_statements_across_batches_pack_as_in_one(spark, tmp_path):
+    log = spark.range(50).selectExpr(
+        "'bin.000001' as log_file", "id div 11 as position", "'INSERT' as kind", "'d' as db", "if(id div 11 = 2, null, 't') as `table`", "id % 11 as row_no",
+        "map('n', cast(id as variant), 'none', cast(null as variant)) as row", "id % 11 = 10 or id = 49 as last_row")
+    parts = [log.where((F.col("row_no") * 7 + F.col("position")) % 3 == k) for k in range(3)]
+    stored = feed(spark, str(tmp_path), [p.withColumn("row", F.to_json("row")) for p in parts],
+                  lambda s: pack_rows_stream(s.withColumn("row", F.from_json("row", "MAP<STRING,VARIANT>")), 4))
+    columns = ["log_file", "position", "kind", "db", "table", "chunk", "last_chunk"]
+    got = stored.select(*columns, F.to_json("rows").alias("rows"))
+    want = pack_rows(log.drop("last_row"), 4).select(*columns, F.to_json("rows").alias("rows"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 14
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 14

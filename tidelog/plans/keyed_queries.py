@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.capture import flag_captured
 from ..sources.position_index import read_from
 from ..streaming.live import LiveMetrics, observe_events
-from ..streaming.keyed import assign_txn_sources, partition_lag_stream, windowed_counters_stream
+from ..streaming.keyed import assign_txn_sources, pack_rows_stream, partition_lag_stream, windowed_counters_stream
 from ..streaming.pipeline import assign_txn_stream
 from .derived_log import L, T, log_of, rules
 from .metric_queries import COUNTS, LAG, offsets
@@ -129,3 +129,23 @@ def live_metrics(spark, sf):
     finally:
         spark.streams.removeListener(live)
     return live.table(spark).groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+@query("pack_rows_stream", """SELECT event_id // 7 AS position, (event_id % 7) // 3 AS chunk, CAST(count(*) AS INTEGER) AS n_rows,
+  max(event_id % 7 = 6 OR event_id = (SELECT max(event_id) FROM events)) AS last_chunk, string_agg(user_id || ':' || event_type, ',' ORDER BY event_id) AS members
+FROM events GROUP BY event_id // 7, (event_id % 7) // 3""")
+def packed_stream(spark, sf):
+    """Statements of seven rows that arrive in chunks of the log and are cut by their borders (P5)."""
+    events = table(spark, sf, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+
+    def transform(stream):
+        changes = stream.selectExpr(
+            "'000001' as log_file", "event_id div 7 as position", "'INSERT' as kind", "'web' as db", "'visits' as `table`", "event_id % 7 as row_no",
+            "map('user', cast(user_id as variant), 'type', cast(event_type as variant)) as row", f"event_id % 7 = 6 or event_id = {last} as last_row")
+        return pack_rows_stream(changes, 3)
+
+    # The files keep variants as they are; members are read from them.
+    found = run_in_chunks(spark, events, chunk_of(events, "event_id"), transform)
+    members = F.transform("rows", lambda r: F.concat(r["user"].cast("string"), F.lit(":"), r["type"].cast("string")))
+    return found.select("position", "chunk", F.size("rows").alias("n_rows"), "last_chunk", F.array_join(members, ",").alias("members"))

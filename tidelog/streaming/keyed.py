@@ -187,3 +187,48 @@ def partition_lag_stream(offsets: DataFrame) -> DataFrame:
         "topic", "partition", "end_offset", "committed", "sampled_at",
         F.when(F.col("committed").isNotNull(), F.greatest(F.lit(0).cast("bigint"), F.col("end_offset") - F.col("committed"))).alias("lag"),
         F.when(dt > 0, (F.col("end_offset") - F.col("prev_end")) / dt).otherwise(F.lit(0.0)).alias("rate"))
+
+
+class OpenChunks(StatefulProcessor):
+    """Rows of one chunk of a statement until the chunk is complete."""
+
+    def __init__(self, max_rows: int):
+        self.max_rows = max_rows
+
+    def init(self, handle) -> None:
+        self.state = handle.getListState("rows", "number BIGINT, image STRING, last BOOLEAN")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = _frame(rows)
+        held = {int(r[0]): (r[1], r[2]) for r in (self.state.get() if self.state.exists() else ())}
+        held |= {int(n): (image, bool(last)) for n, image, last in zip(new["number"], new["image"], new["last"])}
+        numbers = sorted(held)
+        ends = [n for n in numbers if held[n][1]]
+        size = ends[0] % self.max_rows + 1 if ends else self.max_rows
+        if len(numbers) < size:
+            self.state.put([(n, *held[n]) for n in numbers])
+            return
+        self.state.clear()
+        images = "[" + ",".join(held[n][0] for n in numbers) + "]"
+        yield pd.DataFrame([{**{f"k{i}": k for i, k in enumerate(key)}, "rows": images, "last_chunk": bool(ends)}])
+
+
+def pack_rows_stream(changes: DataFrame, max_rows: int) -> DataFrame:
+    """:func:`tidelog.operators.rows.pack_rows` for a stream whose statements may be cut by batch borders.
+
+    ``changes`` has log_file, position, kind, db, table, row_no, row, and ``last_row``, true for a statement's
+    last row. An event comes out in the batch in which its chunk is complete: with ``max_rows`` rows, or with all rows up
+    to the last one of the statement. Rows may come in any order; one that comes again replaces itself while its chunk is
+    open. State is a chunk's rows, at most ``max_rows``, and a statement is spread over its chunks.
+    """
+    if max_rows < 1:
+        raise ValueError("max_rows must be positive")
+    use_state_store(changes.sparkSession)
+    names = ["log_file", "position", "kind", "db", "table", "chunk"]
+    keyed = changes.withColumn("chunk", F.floor(F.col("row_no") / max_rows))
+    narrow = keyed.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col("row_no").cast("long").alias("number"),
+                          F.to_json("row").alias("image"), F.coalesce("last_row", F.lit(False)).alias("last"))
+    keys = [f"k{i}" for i in range(len(names))]
+    out = StructType([*[narrow.schema[k] for k in keys], StructField("rows", StringType()), StructField("last_chunk", BooleanType())])
+    found = narrow.groupBy(*keys).transformWithStateInPandas(OpenChunks(max_rows), out, "append", "None")
+    return found.select(*[F.col(k).alias(c) for k, c in zip(keys, names)], F.from_json("rows", ROW_IMAGES).alias("rows"), "last_chunk")
