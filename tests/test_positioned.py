@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.sources import positioned
-from tidelog.sources.positioned import ByteRange, cut, list_files, read_lines, read_positioned_log, read_positioned_stream
+from tidelog.sources.positioned import cut, list_files, read_lines, read_positioned_log, read_positioned_stream
 
 
 def lines_of(folder, size):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.capture import flag_captured
 from ..operators.order import event_sequence
 from ..operators.position import checkpoint_trail
