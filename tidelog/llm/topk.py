@@ -61,7 +61,8 @@ def best_rows(ids: np.ndarray, x: np.ndarray, squares: np.ndarray, away: np.ndar
         if not len(part) or len(best) == k and bound[part[0]] < best[-1][0]:
             break
         scores = x[part] @ q
-        best = sorted([*best, *((int(s), int(i), int(p)) for s, i, p in zip(scores, ids[part], part))], key=lambda t: (-t[0], t[1]))[:k]
+        first = np.lexsort((ids[part], -scores))[:k]
+        best = sorted([*best, *((int(scores[f]), int(ids[part[f]]), int(part[f])) for f in first)], key=lambda t: (-t[0], t[1]))[:k]
     return best
 
 
