@@ -11,6 +11,7 @@ from tidelog.operators.order import source_slices
 from tidelog.operators.txn import assign_txn
 from tidelog.sources.position_index import end_mark, needed_files, position_index, read_from, resolve_start, update_index
 from tidelog.operators.rows import pack_rows
+from tidelog.streaming import keyed
 from tidelog.streaming.keyed import assign_txn_sources, pack_rows_stream, partition_lag_stream, windowed_counters_stream
 from tidelog.streaming.pipeline import assign_txn_stream
 
@@ -136,3 +137,20 @@ def test_statements_across_batches_pack_as_in_one(spark, tmp_path):
     want = pack_rows(log.drop("last_row"), 4).select(*columns, F.to_json("rows").alias("rows"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 14
     assert spark.read.parquet(f"{tmp_path}/out").count() == 14
+
+
+def test_chunks_of_a_span_share_a_state_key(spark, tmp_path, monkeypatch):
+    log = spark.range(6000).selectExpr(
+        "'bin.000001' as log_file", "id div 3 as position", "'INSERT' as kind", "'d' as db", "'t' as `table`", "id % 3 as row_no",
+        "map('n', cast(id as variant)) as row", "id % 3 = 2 as last_row")
+    out = {}
+    for bytes_of in (keyed.SPAN_BYTES, 100):
+        monkeypatch.setattr(keyed, "SPAN_BYTES", bytes_of)
+        folder = str(tmp_path / str(bytes_of))
+        parts = [log.where(p).withColumn("row", F.to_json("row")) for p in ("position % 50 < 49 or row_no = 1", "position % 50 = 49 and row_no <> 1")]
+        stored = feed(spark, folder, parts, lambda s: pack_rows_stream(s.withColumn("row", F.from_json("row", "MAP<STRING,VARIANT>")), 2))
+        out[bytes_of] = sorted(map(str, stored.select("position", "chunk", "last_chunk", F.to_json("rows").alias("rows")).collect()))
+        keys = spark.read.format("statestore").option("batchId", "0").option("stateVarName", "rows").option("flattenCollectionTypes", "true").load(f"{folder}/check")
+        # The second row of every 50th statement is held, one chunk has come whole.
+        assert keys.count() == 40 and keys.select("key").distinct().count() == -(-2000 // bytes_of)
+    assert len(set(map(str, out.values()))) == 1 and len(out[100]) == 4000

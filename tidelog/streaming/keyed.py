@@ -189,28 +189,43 @@ def partition_lag_stream(offsets: DataFrame) -> DataFrame:
         F.when(dt > 0, (F.col("end_offset") - F.col("prev_end")) / dt).otherwise(F.lit(0.0)).alias("rate"))
 
 
+# Rows that one state key of OpenChunks holds: statements that begin in one span of log, and of a long one a block of its chunks.
+SPAN_BYTES = 1 << 13
+BLOCK_ROWS = 1 << 12
+
+
 class OpenChunks(StatefulProcessor):
-    """Rows of one chunk of a statement until the chunk is complete."""
+    """Rows of the incomplete chunks of neighbouring statements."""
 
-    def __init__(self, max_rows: int):
-        self.max_rows = max_rows
+    def __init__(self, max_rows: int, names: list[str], held: str):
+        self.max_rows, self.names, self.held = max_rows, names, held
 
     def init(self, handle) -> None:
-        self.state = handle.getListState("rows", "number BIGINT, image STRING, last BOOLEAN")
+        self.state = handle.getListState("rows", self.held)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _frame(rows)
-        held = {int(r[0]): (r[1], r[2]) for r in (self.state.get() if self.state.exists() else ())}
-        held |= {int(n): (image, bool(last)) for n, image, last in zip(new["number"], new["image"], new["last"])}
-        numbers = sorted(held)
-        ends = [n for n in numbers if held[n][1]]
-        size = ends[0] % self.max_rows + 1 if ends else self.max_rows
-        if len(numbers) < size:
-            self.state.put([(n, *held[n]) for n in numbers])
-            return
-        self.state.clear()
-        images = "[" + ",".join(held[n][0] for n in numbers) + "]"
-        yield pd.DataFrame([{**{f"k{i}": k for i, k in enumerate(key)}, "rows": images, "last_chunk": bool(ends)}])
+        columns = [*self.names, "number", "image", "last"]
+        new = _frame(rows)[columns]
+        before = pd.DataFrame(list(self.state.get()) if self.state.exists() else [], columns=columns)
+        # A row that comes again replaces the one that is held.
+        found = (pd.concat([before, new], ignore_index=True) if len(before) else new).drop_duplicates([*self.names, "number"], keep="last")
+        found = found.assign(group=found.groupby(self.names, sort=False, dropna=False).ngroup()).sort_values(["group", "number"], ignore_index=True)
+        count = found.groupby("group").size()
+        ends = found.loc[found["last"].astype(bool)].groupby("group")["number"].min().reindex(count.index)
+        whole = count >= (ends % self.max_rows + 1).fillna(self.max_rows)
+        open_rows = found.loc[~found["group"].map(whole)]
+        if len(open_rows):
+            self.state.put([tuple(None if pd.isna(v) else v for v in r) for r in zip(*(open_rows[c].tolist() for c in columns))])
+        elif len(before):
+            self.state.clear()
+        if whole.any():
+            stop = count.cumsum()
+            first = stop - count
+            images = found["image"].tolist()
+            packed = found.loc[first[whole], self.names].reset_index(drop=True)
+            packed["rows"] = ["[" + ",".join(images[a:b]) + "]" for a, b in zip(first[whole].tolist(), stop[whole].tolist())]
+            packed["last_chunk"] = ends[whole].notna().tolist()
+            yield packed
 
 
 def pack_rows_stream(changes: DataFrame, max_rows: int) -> DataFrame:
@@ -219,16 +234,19 @@ def pack_rows_stream(changes: DataFrame, max_rows: int) -> DataFrame:
     ``changes`` has log_file, position, kind, db, table, row_no, row, and ``last_row``, true for a statement's
     last row. An event comes out in the batch in which its chunk is complete: with ``max_rows`` rows, or with all rows up
     to the last one of the statement. Rows may come in any order; one that comes again replaces itself while its chunk is
-    open. State is a chunk's rows, at most ``max_rows``, and a statement is spread over its chunks.
+    open. A state key is a span of SPAN_BYTES of log, as a call to Python and its state costs far more than the few rows of a
+    chunk; a long statement is spread over keys of about BLOCK_ROWS rows each. State is the rows of open chunks only.
     """
     if max_rows < 1:
         raise ValueError("max_rows must be positive")
     use_state_store(changes.sparkSession)
     names = ["log_file", "position", "kind", "db", "table", "chunk"]
-    keyed = changes.withColumn("chunk", F.floor(F.col("row_no") / max_rows))
-    narrow = keyed.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col("row_no").cast("long").alias("number"),
-                          F.to_json("row").alias("image"), F.coalesce("last_row", F.lit(False)).alias("last"))
     keys = [f"k{i}" for i in range(len(names))]
-    out = StructType([*[narrow.schema[k] for k in keys], StructField("rows", StringType()), StructField("last_chunk", BooleanType())])
-    found = narrow.groupBy(*keys).transformWithStateInPandas(OpenChunks(max_rows), out, "append", "None")
+    keyed = changes.withColumn("chunk", F.floor(F.col("row_no") / max_rows))
+    narrow = keyed.select(F.col("log_file").alias("file"), F.expr(f"position div {SPAN_BYTES}").alias("span"),
+                          F.expr(f"chunk div {max(1, BLOCK_ROWS // max_rows)}").alias("block"), *[F.col(c).alias(k) for k, c in zip(keys, names)],
+                          F.col("row_no").cast("long").alias("number"), F.to_json("row").alias("image"), F.coalesce("last_row", F.lit(False)).alias("last"))
+    held = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema.fields[3:])
+    out = StructType([*[StructField(k, narrow.schema[k].dataType) for k in keys], StructField("rows", StringType()), StructField("last_chunk", BooleanType())])
+    found = narrow.groupBy("file", "span", "block").transformWithStateInPandas(OpenChunks(max_rows, keys, held), out, "append", "None")
     return found.select(*[F.col(k).alias(c) for k, c in zip(keys, names)], F.from_json("rows", ROW_IMAGES).alias("rows"), "last_chunk")
