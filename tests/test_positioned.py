@@ -95,3 +95,23 @@ def test_starts_hold_over_a_restart(spark, tmp_path, start, count):
     run(spark, folder, check, out, start)
     write(folder, "bin.000003", documents(2))
     assert len(run(spark, folder, check, out, start)) == count
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    for k in range(1, 301):
+        write(folder, f"bin.{k:06d}", documents(3, k * 10))
+    log = read_positioned_log(spark, folder, range_bytes=50)
+    assert log.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, log.select("log_file", "position", "json").collect())) == sorted(
+        map(tuple, read_positioned_log(spark, folder).select("log_file", "position", "json").collect())) and log.count() == 900
+    assert len(run(spark, folder, str(tmp_path / "check"), str(tmp_path / "out"))) == 900
+
+
+def test_ranges_are_dealt_in_order():
+    files = [positioned.LogFile(k, f"bin.{k}", "", 100 << 20) for k in range(4)]
+    ranges = [part for f in files for part in cut(f, 0, f.size, 16 << 20)]
+    packed = positioned.pack(ranges, 3)
+    assert [p for group in packed for p in group.parts] == ranges
+    assert all(sum(p.stop - p.start for p in group.parts) <= positioned.TASK_BYTES for group in packed)
+    assert len(positioned.pack(ranges, 1000)) == len(ranges) and positioned.pack([], 3) == []

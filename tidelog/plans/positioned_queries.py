@@ -27,7 +27,9 @@ def text_log(spark, sf) -> str:
     """The derived events as a text log, one file per log file."""
     folder = f"{work_folder(spark)}/log"
     events = derived_events(spark, sf).select("log_file", "position", "json")
-    events.repartition("log_file").sortWithinPartitions("log_file", "position").select("log_file", "json").write.partitionBy("log_file").text(folder)
+    ordered = events.repartition("log_file").sortWithinPartitions("log_file", "position").select("log_file", "json")
+    # Tasks move their own files: the driver moving a folder per log file, one after another, would grow with the log.
+    ordered.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("log_file").text(folder)
     return folder
 
 

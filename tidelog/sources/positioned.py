@@ -2,8 +2,8 @@
 
 A log is a folder of files that are only appended to. Files are ordered by the number at the end
 of their name, so the log is one sequence of bytes and one (file, offset) says how far it was read. A
-batch read cuts files into byte ranges; a line belongs to the range its first byte lies in. A
-stream's offsets are places in the log: new files and new lines of the last file are both
+batch read cuts files into byte ranges; a line belongs to the range its first byte lies in, and a task reads
+several small ranges, so a log of many small files is not a task for each. A stream's offsets are places in the log: new files and new lines of the last file are both
 found, a line that is still being written is left for later, and nothing is listed per file in the checkpoint.
 """
 
@@ -23,6 +23,8 @@ from .change_log import parse_change_log
 
 SCHEMA = "log_file STRING, file_no BIGINT, position BIGINT, json STRING"
 RANGE_BYTES = 64 << 20
+# What one task reads, and what opening a range counts for.
+TASK_BYTES, OPEN_BYTES = 64 << 20, 256 << 10
 CHUNK, ROWS = 1 << 20, 2048
 EARLIEST, LATEST = "earliest", "latest"
 
@@ -89,6 +91,31 @@ class ByteRange(InputPartition):
         self.file, self.start, self.stop, self.limit = file, start, stop, limit
 
 
+@dataclass
+class Ranges(InputPartition):
+    """Neighbouring byte ranges that one task reads."""
+
+    parts: list[ByteRange]
+
+    def __init__(self, parts: list[ByteRange]):
+        self.parts = parts
+
+
+def pack(ranges: list[ByteRange], tasks: int) -> list[Ranges]:
+    """Ranges dealt to at least ``tasks`` tasks, if there are as many, each of about TASK_BYTES at most; a larger range is a task of its own."""
+    sizes = [OPEN_BYTES + r.stop - r.start for r in ranges]
+    most = min(TASK_BYTES + OPEN_BYTES, sum(sizes) / max(1, tasks))
+    out: list[Ranges] = []
+    room = 0.0
+    for part, size in zip(ranges, sizes):
+        if size > room:
+            out.append(Ranges([]))
+            room = most
+        out[-1].parts.append(part)
+        room -= size
+    return out
+
+
 def cut(file: LogFile, start: int, limit: int, size: int) -> list[ByteRange]:
     return [ByteRange(file, at, min(at + size, limit), limit) for at in range(start, limit, size)]
 
@@ -152,8 +179,8 @@ def parse_start(text: str) -> tuple[int, str, int] | None:
 class PositionedReader(DataSourceReader):
     """Byte ranges of the files that the start and pushed filters on file_no leave."""
 
-    def __init__(self, folder: str, start: str, size: int):
-        self.folder, self.start, self.size = folder, start, size
+    def __init__(self, folder: str, start: str, size: int, tasks: int):
+        self.folder, self.start, self.size, self.tasks = folder, start, size, tasks
         self.low, self.high = None, None
 
     def pushFilters(self, filters):
@@ -175,18 +202,19 @@ class PositionedReader(DataSourceReader):
             if (self.low is not None and f.number < self.low) or (self.high is not None and f.number > self.high) or (mark and f.number < mark[0]):
                 continue
             out += cut(f, mark[2] if mark and f.number == mark[0] else 0, f.size, self.size)
-        return out
+        return pack(out, self.tasks)
 
     def read(self, partition):
         # A read of nothing still has one partition, which is null.
-        return read_lines(self.folder, partition) if partition else iter(())
+        for part in partition.parts if partition else ():
+            yield from read_lines(self.folder, part)
 
 
 class PositionedStream(DataSourceStreamReader):
     """Offsets are ``{"no", "file", "at"}``: every earlier file is done, and ``file`` up to ``at``."""
 
-    def __init__(self, folder: str, start: str, size: int):
-        self.folder, self.start, self.size = folder, start, size
+    def __init__(self, folder: str, start: str, size: int, tasks: int):
+        self.folder, self.start, self.size, self.tasks = folder, start, size, tasks
 
     def _end(self) -> dict:
         fs, _ = filesystem(self.folder)
@@ -214,17 +242,18 @@ class PositionedStream(DataSourceStreamReader):
             if start["no"] <= f.number <= end["no"]:
                 limit = end["at"] if f.number == end["no"] else f.size
                 out += cut(f, start["at"] if f.number == start["no"] else 0, limit, self.size)
-        return out
+        return pack(out, self.tasks)
 
     def read(self, partition):
-        return read_lines(self.folder, partition)
+        for part in partition.parts:
+            yield from read_lines(self.folder, part)
 
     def commit(self, end):
         pass
 
 
 class PositionedLog(DataSource):
-    """``spark.read`` or ``spark.readStream.format("positioned_log")`` with ``path``, ``start`` and ``rangeBytes``."""
+    """``spark.read`` or ``spark.readStream.format("positioned_log")`` with ``path``, ``start``, ``rangeBytes`` and ``tasks``."""
 
     @classmethod
     def name(cls) -> str:
@@ -233,8 +262,9 @@ class PositionedLog(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def _settings(self) -> tuple[str, str, int]:
-        return self.options["path"].rstrip("/"), self.options.get("start", EARLIEST), int(self.options.get("rangeBytes", RANGE_BYTES))
+    def _settings(self) -> tuple[str, str, int, int]:
+        return (self.options["path"].rstrip("/"), self.options.get("start", EARLIEST), int(self.options.get("rangeBytes", RANGE_BYTES)),
+                int(self.options.get("tasks", 1)))
 
     def reader(self, schema):
         return PositionedReader(*self._settings())
@@ -243,9 +273,9 @@ class PositionedLog(DataSource):
         return PositionedStream(*self._settings())
 
 
-def _options(start: tuple[str, int] | str | None, range_bytes: int) -> dict[str, str]:
+def _options(spark: SparkSession, start: tuple[str, int] | str | None, range_bytes: int) -> dict[str, str]:
     text = EARLIEST if start is None else start if isinstance(start, str) else f"{start[0]}\n{start[1]}"
-    return {"start": text, "rangeBytes": str(range_bytes)}
+    return {"start": text, "rangeBytes": str(range_bytes), "tasks": str(spark.sparkContext.defaultParallelism)}
 
 
 def register(spark: SparkSession) -> None:
@@ -260,10 +290,10 @@ def read_positioned_log(spark: SparkSession, folder: str, start: tuple[str, int]
     text, ``earliest`` or ``latest``: only later lines are read. An unfinished last line is read as it is.
     """
     register(spark)
-    return parse_change_log(spark.read.format("positioned_log").options(**_options(start, range_bytes)).load(folder))
+    return parse_change_log(spark.read.format("positioned_log").options(**_options(spark, start, range_bytes)).load(folder))
 
 
 def read_positioned_stream(spark: SparkSession, folder: str, start: tuple[str, int] | str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The same as a stream that tails the log; ``start`` counts until the query has a checkpoint."""
     register(spark)
-    return parse_change_log(spark.readStream.format("positioned_log").options(**_options(start, range_bytes)).load(folder))
+    return parse_change_log(spark.readStream.format("positioned_log").options(**_options(spark, start, range_bytes)).load(folder))
