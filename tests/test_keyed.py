@@ -1,7 +1,9 @@
 """Keyed state on streams against the batch operators, and starts by the position index."""
 
 import datetime
+import tracemalloc
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +156,30 @@ def test_chunks_of_a_span_share_a_state_key(spark, tmp_path, monkeypatch):
         # The second row of every 50th statement is held, one chunk has come whole.
         assert keys.count() == 40 and keys.select("key").distinct().count() == -(-2000 // bytes_of)
     assert len(set(map(str, out.values()))) == 1 and len(out[100]) == 4000
+
+
+def test_a_source_keeps_numbers_of_a_batch_not_its_events():
+    class Handle:
+        def getValueState(self, name, schema):
+            return self
+
+        def exists(self):
+            return False
+
+        def update(self, value):
+            self.value = value
+
+    def parts():
+        for k in reversed(range(50)):
+            at = range(k * 1000, k * 1000 + 1000)
+            yield pd.DataFrame({"number": 1, "place": at, "signal": "row", "row_db": "d", "given0": [f"{i}" * 400 for i in at]})
+
+    handle, processor, n = Handle(), keyed.SourceTransactions(), 0
+    processor.init(handle)
+    tracemalloc.start()
+    for part in processor.handleInputRows(("s",), parts(), None):
+        n += len(part)
+        assert part["open"].iloc[1:].eq(True).all() and part["given0"].iat[0] == str(part["place"].iat[0]) * 400
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 50_000 and handle.value == (True, None, None, None, "d", 1, 49_999) and peak < 30 << 20

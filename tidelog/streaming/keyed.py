@@ -7,8 +7,11 @@ and after it.
 
 from __future__ import annotations
 
+import pickle
+import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
@@ -32,6 +35,11 @@ def _frame(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True)
 
 
+# Signals as numbers; others are 0. Those above ROW are the boundaries.
+ROW, BEGIN, CLOSE = 1, 2, 3
+SIGNALS = {"row": ROW, "begin": BEGIN, "close": CLOSE}
+
+
 class SourceTransactions(StatefulProcessor):
     """Carries of one source: what the transaction state was before each of its events."""
 
@@ -42,25 +50,50 @@ class SourceTransactions(StatefulProcessor):
             "txn", "open BOOLEAN, edge_file BIGINT, edge_pos BIGINT, edge_begin BOOLEAN, map_db STRING, last_file BIGINT, last_pos BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ev = _frame(rows).sort_values(["number", "place"], kind="stable", ignore_index=True)
-        files, places = ev["number"].tolist(), ev["place"].tolist()
-        before = list(self.state.get()) if self.state.exists() else [None] * 7
-        if before[5] is not None and (files[0], places[0]) <= (before[5], before[6]):
-            raise RuntimeError(f"source {key[0]} goes back to file {files[0]}, position {places[0]}, "
-                               f"behind file {before[5]}, position {before[6]}: the log arrived out of order")
-        now, carried = before[:5], []
-        for file, place, signal, db in zip(files, places, ev["signal"].tolist(), ev["row_db"].tolist()):
-            carried.append(tuple(now))
-            if signal in ("begin", "close"):
-                now = [signal == "begin", file, place, signal == "begin", now[4]]
-            elif signal == "row":
-                now[0] = True
-            if isinstance(db, str):
-                now[4] = db
-        self.state.update((*now, files[-1], places[-1]))
-        for name, values in zip(self.CARRIED, zip(*carried)):
-            ev[name] = pd.Series(values, dtype="Int64" if name in ("edge_file", "edge_pos") else object)
-        yield ev
+        # Only numbers of the events are held; the events themselves wait in a local file and go on as they came.
+        with tempfile.TemporaryFile() as waiting:
+            dbs, held, parts = {}, [], 0
+            for part in rows:
+                pickle.dump(part, waiting, pickle.HIGHEST_PROTOCOL)
+                parts += 1
+                held.append((part["number"].to_numpy(np.int64), part["place"].to_numpy(np.int64),
+                             np.array([SIGNALS.get(s, 0) for s in part["signal"]], np.int8),
+                             np.array([dbs.setdefault(d, len(dbs)) if isinstance(d, str) else -1 for d in part["row_db"]], np.int32)))
+            file, place, signal, db = (np.concatenate(c) for c in zip(*held))
+            del held
+            order = np.lexsort((place, file))
+            file, place, signal, db = file[order], place[order], signal[order], db[order]
+            before = list(self.state.get()) if self.state.exists() else [None] * 7
+            if before[5] is not None and (file[0], place[0]) <= (before[5], before[6]):
+                raise RuntimeError(f"source {key[0]} goes back to file {file[0]}, position {place[0]}, "
+                                   f"behind file {before[5]}, position {before[6]}: the log arrived out of order")
+
+            def latest(marked: np.ndarray) -> np.ndarray:
+                """By event, the last marked one up to it; -1 before the first."""
+                return np.maximum.accumulate(np.where(marked, np.arange(len(marked), dtype=np.int32), np.int32(-1)))
+
+            names = [*dbs]
+            states = latest(signal > 0), latest(signal > ROW), latest(db >= 0)
+
+            def carried(at: np.ndarray) -> list[list]:
+                """The carried values after the events ``at``, in log order; -1 is before the first."""
+                opened, edge, row = (np.where(at >= 0, s[at], -1).tolist() for s in states)
+                return [[before[0] if i < 0 else bool(signal[i] != CLOSE) for i in opened],
+                        [before[1] if i < 0 else int(file[i]) for i in edge], [before[2] if i < 0 else int(place[i]) for i in edge],
+                        [before[3] if i < 0 else bool(signal[i] == BEGIN) for i in edge], [before[4] if i < 0 else names[db[i]] for i in row]]
+
+            self.state.update((*(v[0] for v in carried(np.array([len(order) - 1]))), int(file[-1]), int(place[-1])))
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            waiting.seek(0)
+            start = 0
+            for _ in range(parts):
+                part = pickle.load(waiting)
+                values = carried(rank[start:start + len(part)] - 1)
+                start += len(part)
+                for name, column in zip(self.CARRIED, values):
+                    part[name] = pd.Series(column, index=part.index, dtype="Int64" if name in ("edge_file", "edge_pos") else object)
+                yield part
 
 
 def assign_txn_sources(log: DataFrame, source: str = "source") -> DataFrame:
