@@ -75,3 +75,24 @@ def test_counters_combine_before_the_shuffle(spark, sf):
     for name in ("table_counts", "event_counters_by_table", "delivery_stats", "txn_outcome"):
         text = plan(catalog.QUERIES[name](spark, sf))
         assert re.search(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", text), name
+
+
+def test_documents_of_their_own_keys_are_not_sorted(spark):
+    from tidelog.sources.config import rules_tables
+
+    def doc(db, table, key):
+        return '{"capture":{"databases":[{"%s":{"tables":[{"%s":{"primary_key":"%s"}}]}},{"other":{}}]}}' % (db, table, key)
+
+    docs = spark.createDataFrame([(1, doc("a", "t", "z")), (2, doc("a", "t", "y")), (2, doc("a", "t", "x")), (2, doc("b", "t", "x")), (None, doc("a", "t", "n")),
+                                  (None, doc("a", "t", "m")), (3, doc("c", "t", "w"))], "k INT, doc STRING")
+
+    def found(rows):
+        rules = rules_tables(rows, keep=["k"])[0]
+        got = sorted((str(r.k), r.db, str(r.table), *r.primary_key) for r in rules.collect())
+        return got, rules._jdf.queryExecution().optimizedPlan().toString()
+
+    assert found(docs)[0] == [("1", "a", "t", "z"), ("1", "other", "None"), ("2", "a", "t", "x"), ("2", "b", "t", "x"), ("2", "other", "None"), ("3", "c", "t", "w"),
+                              ("3", "other", "None"), ("None", "a", "t", "m"), ("None", "other", "None")]
+    got, plan = found(docs.where("k in (1, 3)"))
+    # The window is over documents that share keys; the others pass it by.
+    assert len(got) == 4 and plan.count("Window [") == 1 and "Union" in plan and plan.index("LeftAnti") < plan.index("Window [") < plan.index("LeftSemi")
