@@ -43,6 +43,30 @@ def test_small_memory_gives_the_same():
         assert small.ids(text) == library(text)
 
 
+def test_a_pre_token_is_merged_once():
+    own, merged = bpe.ByteBPE(RANKS, public_tokenizers.PATTERN), []
+    merge, own.merge = own.merge, lambda pieces: merged.extend([pieces] if isinstance(pieces, bytes) else pieces) or merge(pieces)
+    texts = ["one zqxab zqxcd!! zqxab,\nzqxcd zqxab?! zqxcd;\nzqxcd", "zqxcd zqxef zqxab zqxab***", "zqxef!! zqxab\nzqxef zqxab"]
+    assert [own.encode(t) for t in texts] == list(map(library, texts))
+    assert merged.count(b" zqxab") == merged.count(b" zqxcd") == merged.count(b"zqxcd") == 1
+    assert own.encode_all(texts) == list(map(library, texts)) and merged.count(b" zqxab") == 1
+
+
+def test_frequent_chunks_stay_remembered():
+    asked = []
+    small = ChunkMemory(lambda parts: asked.extend(parts) or [library(p) for p in parts], limit=8)
+    for k in range(20):
+        assert small.ids(text := f"x common word{k}") == library(text)
+    assert asked.count(" common") == 1
+
+
+def test_merged_together_as_alone():
+    rng = np.random.default_rng(4)
+    pieces = ["".join(rng.choice(list("abcesthn \né漢"), rng.integers(1, 14))).encode() for _ in range(3000)] + [b"ab" * 900, b"a" * 901]
+    pieces = [p for p in pieces if p not in OWN.ranks]
+    assert OWN.merge(pieces) == [ids for p in pieces for ids in OWN.merge([p])]
+
+
 def test_other_library_agrees(lspark, sf):
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     other.encode_special_tokens = True
