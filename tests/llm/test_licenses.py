@@ -20,6 +20,23 @@ def test_plan_has_no_python(lspark, sf):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_texts_are_read_once(lspark, sf):
+    docs = lspark.read.parquet(f"{sf}/documents.parquet")
+    read = licenses.licences(docs).inputFiles()
+    assert not set(read) & set(docs.inputFiles())
+    held = {r.doc_id for r in lspark.read.parquet(*read).select("doc_id").collect()}
+    assert {r.doc_id for r in licenses.licences(docs).select("doc_id").collect()} <= held and 0 < len(held) < docs.count()
+
+
+def test_necessary_words_are_rare(lspark):
+    words = licenses.anchors(licenses.TEMPLATES | licenses.COMMON, 0.8)
+    assert not licenses.FREQUENT.intersection(words)
+    texts = ["was made by them", "accord, succeed", "a CC", "(cc)", "cc0", "\u0130cc", "sublicenses", "\u24b8cc\u24b8", "_cc_"]
+    frame = lspark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = frame.where(licenses._held(frame.text, licenses.TEMPLATES | licenses.COMMON, 0.8)).collect()
+    assert {2, 3, 6, 7, 8} <= {r.doc_id for r in held} and not {0, 1, 4} & {r.doc_id for r in held}
+
+
 def test_sizes_lose_nothing(lspark):
     rng = random.Random(3)
     docs, want = [], {}

@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.documents import once
+from tidelog.llm.common import Scratch
 
 LEAST = 0.8
+# Necessary words up to this length are looked for as words of their own, as short ones stand inside many others.
+SHORT = 4
+# Words of most English texts, which tell little; other necessary words are taken before them.
+FREQUENT = frozenset("a and any as at be by for from in is it may not of on or that the this to with you".split())
 
 # Notices and whole short licences by name; fixed public wording.
 TEMPLATES = {
@@ -116,19 +121,19 @@ def anchors(templates: dict[str, str], least: float) -> list[str]:
 
     At Dice ``least`` a passage shares least / (2 - least) of the template's bigrams or more. Words
     that stand in more than the rest of the bigrams cannot all be missing; long words are taken
-    first, as they are rare in other texts.
+    first, as they are rare in other texts, and frequent words last.
     """
     chosen: set[str] = set()
     for text in templates.values():
         grams = template_bigrams(text)
         spare = len(grams) * (1 - least / (2 - least))
         mine: set[str] = set()
-        for word in sorted({w for g in grams for w in g.split(" ")}, key=lambda w: (w not in chosen, -len(w), w)):
+        for word in sorted({w for g in grams for w in g.split(" ")}, key=lambda w: (w not in chosen, w in FREQUENT, -len(w), w)):
             if sum(not mine.isdisjoint(g.split(" ")) for g in grams) > spare + 1e-9:
                 break
             mine.add(word)
         chosen |= mine
-    return sorted(w for w in chosen if not any(other != w and other in w for other in chosen))
+    return sorted(w for w in chosen if not any(other != w and len(other) > SHORT and other in w for other in chosen))
 
 
 def passages(docs: DataFrame, holding: Callable[[Column], Column]) -> DataFrame:
@@ -142,7 +147,15 @@ def passages(docs: DataFrame, holding: Callable[[Column], Column]) -> DataFrame:
 
 
 def _held(text: Column, templates: dict[str, str], least: float) -> Column:
-    return once(F.lower(text), lambda t: reduce(or_, [F.contains(t, F.lit(w)) for w in anchors(templates, least)]))
+    """Whether a text has any of the necessary words: long ones anywhere, short ones as words of their own."""
+    words = anchors(templates, least)
+    short = "|".join(w for w in words if len(w) <= SHORT)
+
+    def has(t: Column) -> Column:
+        found = reduce(or_, [F.contains(t, F.lit(w)) for w in words if len(w) > SHORT], F.lit(False))
+        return found | F.rlike(t, F.lit(rf"(?<![\p{{L}}\p{{N}}])(?:{short})(?![\p{{L}}\p{{N}}])")) if short else found
+
+    return once(F.lower(text), has)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST) -> DataFrame:
@@ -255,13 +268,16 @@ def windows(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float
     return met.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), F.sum("n").alias("n_windows"))
 
 
-def licences(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
+def licences(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, name: str = "licences") -> DataFrame:
     """(doc_id, licence, dice, n_passages): as ``scan``, and licences that no line, block or whole text holds, by their ``windows``.
 
     A licence with passages of its own has their dice and number; of any other, dice is that of its
     best run of words and n_passages the number of its runs. By default COMMON is looked for too.
+    The texts are read once: those that hold a necessary word of a template are stored, and both look at them alone.
     """
     templates = TEMPLATES | COMMON if templates is None else templates
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL").where(_held(F.col("text"), templates, least))
+    docs = Scratch(docs.sparkSession, name).store(held, "held")
     found = scan(docs, templates, least).withColumn("by", F.lit(0))
     runs = windows(docs, templates, least).select("doc_id", "licence", "dice", F.col("n_windows").alias("n_passages"), F.lit(1).alias("by"))
     first = F.min(F.struct("by", "dice", "n_passages")).alias("x")
