@@ -139,3 +139,50 @@ def test_sketches_reject_no_short_pairs(lspark):
     docs = [(2 * k + side, line) for k, pair in enumerate(hard) for side, line in enumerate(pair)]
     got = {r.doc_id: r.keeper_doc_id for r in lines.near_lines(lspark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(got[2 * k + 1] == 2 * k for k in range(len(hard)))
+
+
+def test_pairs_as_numbers_and_as_sets():
+    rng = random.Random(3)
+    xs, ys = [], []
+    for alphabet in ("ab", "abcdefghijkl ", "abcé߿", "abࠀ漢"):
+        for _ in range(300):
+            a = "".join(rng.choices(alphabet, k=rng.randint(1, 200)))
+            b = list(a)
+            for _ in range(rng.randint(0, 6)):
+                b[rng.randrange(len(b))] = rng.choice("abz\0")
+            xs.append(a)
+            ys.append("".join(b))
+    want = [lines.jaccard(lines.shingles(x), lines.shingles(y)) >= 0.8 for x, y in zip(xs, ys)]
+    assert 0 < sum(want) < len(want) and lines.near(xs, ys, 0.8).tolist() == want
+
+
+def test_entries_move_once_and_packed(lspark):
+    rng = np.random.default_rng(4)
+    bands = rng.integers(0, 400, (600, lines.BANDS)) * 0x1E3779B97F4A7C15
+    bands[:300, 0] = 77
+    placed = lspark.createDataFrame([(int(v) % 500, [int(c) for c in b]) for v, b in enumerate(bands)], "v long, bands array<long>")
+    plans = []
+
+    class Kept(lines.Scratch):
+        def store(self, df, name):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().store(df, name)
+
+    got = lines._members(Kept(lspark, "test"), placed, 600 * lines.BANDS).collect()
+    cells, want = {}, {}
+    for v, b in enumerate(bands):
+        for c in b.astype(np.uint64).tolist():
+            want.setdefault((c % 64, c >> 32), set()).add(v % 500)
+    for r in got:
+        cells.setdefault((r.cell >> 32, r.cell & (1 << 32) - 1), set()).add(r.v)
+        assert r.n > 1
+    assert cells == {c: vs for c, vs in want.items() if len(vs) > 1}
+    assert all(len({r.head for r in got if r.cell == cell}) == 1 for cell in {r.cell for r in got})
+    assert max(len(vs) for vs in cells.values()) >= 300 > lines.HEAVY
+    assert "Generate" not in plans[0] and plans[0].count("Exchange") == 1
+
+
+def test_documents_beyond_31_bits(lspark):
+    docs = [(1 << 40, "A line to keep"), (-(1 << 50), "a LINE to keep\nother"), ((1 << 62) + 1, "other")]
+    got = {(r.doc_id, r.line): (r.keeper_doc_id, r.keeper_line) for r in lines.near_lines(lspark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.bloom import BROADCAST_BLOCKS, blocks_for, with_maybe
+from tidelog.llm.bloom import blocks_for, with_maybe
 from tidelog.llm.buckets import bucket_links
 from tidelog.llm.common import Scratch, free_name
 from tidelog.llm.components import components
@@ -18,12 +18,19 @@ SHINGLE, JACCARD = 5, 0.8
 BANDS, ROWS = 21, 6
 BINS = 128
 FULL = 70  # different values a signature must have for its sketch to be used; bits of shorter lines repeat and vary too much
-PIECE = 1 << 20  # characters hashed at once
+PIECE = 1 << 16  # characters hashed at once
 SEEN = 200_000  # lines a task remembers so as not to place them again; a bound on memory only
 PACK = 1 << 32
+# Entries a task packs at once, entries of a bucket, and lines of one cell in a chunk that go apart.
+CHUNK_ENTRIES, BUCKET_ENTRIES, HEAVY = 1 << 20, 1 << 21, 64
 # Blocks of the filter that keeps texts from moving: at most 10 MB; with more lines it only lets more through.
 FILTER_BLOCKS = 1 << 18
 
+# Pairs compared at once, and the last character a shingle's number has room for.
+PAIRS, LAST_PLAIN = 512, chr(2047)
+# Shingles of a block compared at once.
+COLUMNS = 2048
+
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -48,34 +55,81 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def near(xs: list[str], ys: list[str], least: float) -> np.ndarray:
+    """Which pairs of lines have a Jaccard of ``least`` or more over their shingles.
+
+    Shingles of characters below 2,048 are numbers that one sort brings together, exactly; other
+    lines and those shorter than a shingle are compared as sets.
+    """
+    out = np.zeros(len(xs), bool)
+    plain, size = [], 0
+    for k, (x, y) in enumerate(zip(xs, ys)):
+        if min(len(x), len(y)) < SHINGLE or max(x) > LAST_PLAIN or max(y) > LAST_PLAIN:
+            out[k] = jaccard(shingles(x), shingles(y)) >= least
+            continue
+        plain.append(k)
+        size += len(x) + len(y)
+        if len(plain) == PAIRS or size >= PIECE:
+            out[plain] = _near([xs[p] for p in plain], [ys[p] for p in plain], least)
+            plain, size = [], 0
+    if plain:
+        out[plain] = _near([xs[p] for p in plain], [ys[p] for p in plain], least)
+    return out
+
+
+def _numbers(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of plain lines the windows as numbers, their lines and whether they are shingles."""
+    chars, owner, inside = _windows(lines)
+    chars, h = chars.astype(np.uint64), np.zeros(len(owner), np.uint64)
+    for k in range(SHINGLE):
+        h = h << np.uint64(11) | chars[k:k + len(owner)]
+    return h, owner, inside
+
+
+def _near(xs: list[str], ys: list[str], least: float) -> np.ndarray:
+    """The same for at most PAIRS pairs of plain lines: a number holds the pair's place and five characters of 11 bits."""
+    sides = []
+    for lines in (xs, ys):
+        h, owner, inside = _numbers(lines)
+        h = np.sort((owner.astype(np.uint64) << np.uint64(11 * SHINGLE) | h)[inside])
+        sides.append(h[np.append(True, h[1:] != h[:-1])])
+    place, n = np.uint64(11 * SHINGLE), len(xs)
+    met = np.sort(np.concatenate(sides))
+    both = np.bincount((met[1:][met[1:] == met[:-1]] >> place).astype(np.int64), minlength=n)
+    return both / (sum(np.bincount((h >> place).astype(np.int64), minlength=n) for h in sides) - both) >= least
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _MIX
     return h ^ (h >> np.uint64(29))
 
 
+def _windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of lines of at least a shingle, one after the other; for each place a shingle could start at its line and whether it ends in it."""
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    inside = np.ones(len(chars), bool)
+    for k in range(1, SHINGLE):
+        inside[np.cumsum(sizes) - k] = False
+    places = max(0, len(chars) - SHINGLE + 1)
+    return chars, np.repeat(np.arange(len(lines)), sizes)[:places], inside[:places]
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """One-permutation MinHash, lines x BINS: each shingle falls into a bin, which keeps its smallest hash.
 
     An empty bin takes the value of another, found in an order that depends on the bin alone, so
     equal sets have equal signatures and similar ones agree in a share of bins near their Jaccard.
     """
-    padded = [line.ljust(SHINGLE, "\0") for line in lines]
+    chars, owner, inside = _windows([line.ljust(SHINGLE, "\0") for line in lines])
     least = np.full(len(lines) * BINS, _EMPTY, np.uint64)
     with np.errstate(over="ignore"):
-        chars = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-        sizes = np.array([len(p) for p in padded])
-        ends = np.cumsum(sizes)
-        total = len(chars) - SHINGLE + 1
-        for at in range(0, total, PIECE):
-            stop = min(total, at + PIECE)
-            h = np.zeros(stop - at, np.uint64)
-            for k in range(SHINGLE):
-                h += chars[at + k:stop + k] * _FACTORS[k]
-            h = _mixed(h)
-            owner = np.searchsorted(ends, np.arange(at, stop), side="right")
-            inside = np.arange(at, stop) + SHINGLE <= ends[owner]
-            owner, h = owner[inside], h[inside]
-            np.minimum.at(least, owner * BINS + (h >> np.uint64(57)).astype(np.int64), h)
+        for at in range(0, len(inside), PIECE):
+            whole = inside[at:at + PIECE]
+            part = chars[at:at + len(whole) + SHINGLE - 1].astype(np.uint64)
+            h = sum(part[k:k + len(whole)] * _FACTORS[k] for k in range(SHINGLE))
+            h = _mixed(h[whole])
+            np.minimum.at(least, owner[at:at + PIECE][whole] * BINS + (h >> np.uint64(57)).astype(np.int64), h)
     bins = least.reshape(len(lines), BINS)
     row, column = np.nonzero(bins == _EMPTY)
     full = bins.copy()
@@ -110,25 +164,25 @@ def different(values: np.ndarray) -> np.ndarray:
 
 
 def numbered_lines(text: str | None):
-    """(line, normalised line) for lines that are not blank."""
+    """(line, normalised line in UTF-8) for lines that are not blank."""
     if text is not None:
-        for at, raw in enumerate(text.split("\n")):
-            if norm := normalised(raw):
+        for at, raw in enumerate(text.lower().encode("utf-8", "surrogatepass").split(b"\n")):
+            if norm := b" ".join(raw.split()):
                 yield at, norm
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def name(norm: str) -> int:
+def name(norm: bytes) -> int:
     """The 64-bit number of a normalised line."""
-    return _signed(xxhash.xxh64_intdigest(norm.encode("utf-8", "surrogatepass"), 42))
+    return xxhash.xxh64_intdigest(norm, 42)
 
 
-def check(norm: str) -> int:
+def check(norm: bytes) -> int:
     """Another one, to tell lines apart that share the first."""
-    return _signed(xxhash.xxh64_intdigest(norm.encode("utf-8", "surrogatepass"), 43))
+    return xxhash.xxh64_intdigest(norm, 43)
+
+
+def _signed(numbers: list[int]) -> pa.Array:
+    return pa.array(np.array(numbers, np.uint64).view(np.int64))
 
 
 def _placed(rows):
@@ -150,37 +204,113 @@ def _placed(rows):
         if len(seen) + len(fresh) > SEEN:
             seen.clear()
         seen.update(fresh)
-        placed: list = [None] * len(vs)
-        s0, s1 = list(placed), list(placed)
+        new, sure = np.zeros(len(vs), bool), np.zeros(len(vs), bool)
+        bits, cells = np.zeros((len(vs), 2), np.int64), np.empty(0, np.int64)
         if fresh:
-            where, lines = zip(*fresh.values())
-            values = signatures(list(lines))
-            for k, b, (x, y), n in zip(where, bands(list(lines), values).tolist(), sketches(values).tolist(), different(values).tolist()):
-                placed[k], s0[k], s1[k] = (b, x, y) if n >= FULL else (b, None, None)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((docs, keys, ats, vs, checks, placed, s0, s1), kinds)], names)
+            where, lines = map(list, zip(*((k, norm.decode("utf-8", "surrogatepass")) for k, norm in fresh.values())))
+            values = signatures(lines)
+            new[where], sure[where], bits[where], cells = True, different(values) >= FULL, sketches(values), bands(lines, values).ravel()
+        # The lists of the fresh lines lie one after the other; those of the others are null.
+        starts = pa.array(np.concatenate([[0], np.cumsum(new) * BANDS]), pa.int32(), mask=np.append(~new, False))
+        columns = [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), _signed(vs), _signed(checks)]
+        placed = pa.ListArray.from_arrays(starts, pa.array(cells, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*columns, placed, *(pa.array(bits[:, k], mask=~sure) for k in (0, 1))], names)
+
+
+def _packed(cells: np.ndarray, vs: np.ndarray, buckets: int):
+    """Rows (bucket, cells, vs) of entries: those of a bucket as numbers in a row. Cells with many lines go on apart, and only their least and greatest line into the bucket."""
+    cells = (cells % np.uint64(buckets)) << np.uint64(32) | cells >> np.uint64(32)
+    order = np.argsort(cells)
+    cells, vs = cells[order], vs[order]
+    starts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+    sizes = np.diff(np.append(starts, len(cells)))
+    many, wide = sizes > HEAVY, np.repeat(sizes > HEAVY, sizes)
+    out = []
+    if many.any():
+        out.append((-1 - int(cells[0] >> np.uint64(1)), cells[wide].tobytes(), vs[wide].tobytes()))
+        ends = [f.reduceat(vs, starts)[many] for f in (np.minimum, np.maximum)]
+        cells, vs = np.concatenate([cells[~wide], cells[starts[many]], cells[starts[many]]]), np.concatenate([vs[~wide], *ends])
+        order = np.argsort(cells)
+        cells, vs = cells[order], vs[order]
+    bucket, low = (cells >> np.uint64(32)).astype(np.int64), cells.astype(np.uint32)
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+    out += [(int(bucket[a]), low[a:b].tobytes(), vs[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], ["bucket", "cells", "vs"])
+
+
+def _shared_cells(key: tuple, table: pa.Table) -> pa.Table:
+    """(cell, v, head, n) of the cells of a bucket that hold different lines; of entries that went apart only (cell, v)."""
+    bucket = key[0].as_py()
+    vs = np.frombuffer(b"".join(table.column("vs").to_pylist()), np.int64)
+    low = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint64 if bucket < 0 else np.uint32)
+    if bucket < 0:
+        none = pa.nulls(len(vs), pa.int64())
+        return pa.table({"cell": low.view(np.int64), "v": vs, "head": none, "n": none})
+    order = np.argsort(low)
+    low = low[order]
+    same = low[1:] == low[:-1]
+    several = np.append(same, False) | np.append(False, same)
+    low, vs = low[several], vs[order][several]
+    order = np.lexsort((vs, low))
+    low, vs = low[order], vs[order]
+    once = np.append(True, (low[1:] != low[:-1]) | (vs[1:] != vs[:-1]))[:len(low)]
+    low, vs = low[once], vs[once]
+    starts = np.flatnonzero(np.append(True, low[1:] != low[:-1])[:len(low)])
+    sizes = np.diff(np.append(starts, len(low)))
+    heads, sizes = np.repeat(vs[starts], sizes), np.repeat(sizes, sizes)
+    kept = sizes > 1
+    return pa.table({"cell": low[kept].astype(np.int64) + (bucket << 32), "v": vs[kept], "head": heads[kept], "n": sizes[kept]})
+
+
+def _members(scratch: Scratch, placed: DataFrame, entries: int) -> DataFrame:
+    """(cell, v, head, n) of every entry of a cell with different lines. A cell is 32 bits of its number inside a bucket, and lines that meet by chance in so few are compared in vain.
+
+    The entries move once, packed by bucket, and the buckets are as many as keep them small. A cell
+    with many lines in a task's chunk of entries is no group: its entries get its head by a join.
+    """
+    buckets = max(64, -(-entries // BUCKET_ENTRIES))
+
+    def batches(rows):
+        held, n = [], 0
+        for batch in rows:
+            lists = batch.column("bands")
+            held.append((lists.flatten().to_numpy().view(np.uint64), np.repeat(batch.column("v").to_numpy(), BANDS)))
+            if (n := n + len(held[-1][0])) >= CHUNK_ENTRIES:
+                yield _packed(*map(np.concatenate, zip(*held)), buckets)
+                held, n = [], 0
+        if n:
+            yield _packed(*map(np.concatenate, zip(*held)), buckets)
+
+    packed = placed.where("bands IS NOT NULL").select("v", "bands").mapInArrow(batches, "bucket long, cells binary, vs binary")
+    found = scratch.store(packed.groupBy("bucket").applyInArrow(_shared_cells, "cell long, v long, head long, n long"), "found")
+    apart = found.where("head IS NULL")
+    if apart.isEmpty():
+        return found
+    heads = found.where("head IS NOT NULL").groupBy("cell").agg(F.min("head").alias("head"), F.max("n").alias("n"))
+    apart = apart.select("cell", "v").join(heads, "cell").withColumn("n", F.col("n") + HEAVY)
+    members = scratch.store(found.where("head IS NOT NULL").unionByName(apart), "members")
+    scratch.drop("found")
+    return members
 
 
 def _texts(rows):
     """(doc_id, line, key, norm) of every line."""
     for batch in rows:
-        out = [(d, at, name(norm), norm) for d, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-               for at, norm in numbered_lines(text)]
-        columns = zip(*out) if out else ([], [], [], [])
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.string()))],
-                                         ["doc_id", "line", "key", "norm"])
+        docs, ats, norms = [], [], []
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for at, norm in numbered_lines(text):
+                docs.append(doc_id)
+                ats.append(at)
+                norms.append(norm)
+        columns = [pa.array(docs, pa.int64()), pa.array(ats, pa.int32()), _signed([name(norm) for norm in norms]), pa.array(norms, pa.binary()).cast(pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "key", "norm"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     def batches(rows):
         for batch in rows:
-            out, known = [], {}
-            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "x", "y"))):
-                for v, text in ((a, x), (b, y)):
-                    if v not in known:
-                        known[v] = shingles(text)
-                out.append(jaccard(known[a], known[b]) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(out, pa.bool_()))
+            linked = near(batch.column("x").to_pylist(), batch.column("y").to_pylist(), least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(linked))
 
     # Sketches first, as they are short: of long lines at Jaccard ``least`` more bits differ less than once in 10^11 pairs. Lines without one go on.
     apart = BINS * (1 - least) / 2
@@ -195,46 +325,85 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def _links_in_blocks(table: pa.Table, least: float) -> pa.Table:
     """Of each left line one link to every component it meets among the right ones."""
-    rows = table.select(["left", "v", "comp", "norm"]).to_pylist()
-    known = {r["v"]: shingles(r["norm"]) for r in rows}
-    right: dict[int, list[int]] = {}
-    for r in rows:
-        if not r["left"]:
-            right.setdefault(r["comp"], []).append(r["v"])
+    left = np.array(table.column("left").to_pylist(), bool)
+    vs, comps = (table.column(c).to_numpy() for c in ("v", "comp"))
+    _, comps = np.unique(comps, return_inverse=True)
+    row, column = _numbered_shingles(table.column("norm").to_pylist())
+    sizes = np.bincount(row, minlength=len(left))
+    # Lines of the largest component meet only those of others.
+    most = comps == np.bincount(comps).argmax()
     a, b = [], []
-    for r in (r for r in rows if r["left"]):
-        mine = known[r["v"]]
-        for comp, others in right.items():
-            if comp != r["comp"]:
-                near = (v for v in others if len(mine) >= least * len(known[v]) and len(known[v]) >= least * len(mine) and jaccard(mine, known[v]) >= least)
-                if (met := next(near, None)) is not None:
-                    a.append(r["v"])
-                    b.append(met)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    for x, y in ((left & ~most, ~left), (left & most, ~left & ~most)):
+        both = _in_common(row, column, x, y)
+        linked = both / (sizes[x][:, None] + sizes[y] - both) >= least
+        i, j = np.nonzero(linked & (comps[x][:, None] != comps[y]))
+        _, first = np.unique(i * (comps.max() + 1) + comps[y][j], return_index=True)
+        a.append(vs[x][i[first]])
+        b.append(vs[y][j[first]])
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _numbered_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(line, number of a shingle) for the different shingles of every line."""
+    if all(len(line) >= SHINGLE and max(line) <= LAST_PLAIN for line in lines):
+        h, owner, inside = _numbers(lines)
+        _, number = np.unique(h[inside], return_inverse=True)
+        pairs = np.unique(owner[inside] * (number.max() + 1) + number)
+        return np.divmod(pairs, number.max() + 1)
+    vocabulary: dict[str, int] = {}
+    ids = [[vocabulary.setdefault(s, len(vocabulary)) for s in shingles(line)] for line in lines]
+    return np.repeat(np.arange(len(ids)), [len(x) for x in ids]), np.concatenate(ids)
+
+
+def _in_common(row: np.ndarray, column: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many shingles each line of ``x`` shares with each of ``y``."""
+    both = np.zeros((x.sum(), y.sum()), np.float32)
+    if not both.size:
+        return both.astype(np.float64)
+    # Only shingles of both sides count, and these some columns at a time.
+    common = np.logical_and(*(np.bincount(column[side[row]], minlength=column.max() + 1) > 0 for side in (x, y)))
+    cut = common[column] & (x | y)[row]
+    row, column = row[cut], (np.cumsum(common) - 1)[column[cut]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        has = []
+        for side in (x, y):
+            mine = side[row[a:b]]
+            has.append(np.zeros((side.sum(), COLUMNS), np.float32))
+            has[-1][(np.cumsum(side) - 1)[row[a:b][mine]], column[a:b][mine] - start] = 1
+        both += has[0] @ has[1].T
+    return both.astype(np.float64)
 
 
 def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
     """(doc_id, key, line, k_doc, k_line) of every line: key is a hash of its whole text, the others are the place of the line that stands for it.
 
-    Only lines move, not texts: the entries (cell, v) once, to find cells with different lines, then
-    those of such cells, which a Bloom filter tells before they move. Each table is dropped when
-    the next ones are there.
+    Only lines move, not texts: the entries (cell, v) once, packed, to find cells with different lines,
+    then the texts of those lines, which a Bloom filter tells before they move. Each table is dropped
+    when the next ones are there.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
     placed = scratch.store(narrow.mapInArrow(_placed, "doc_id long, key long, line int, v long, check long, bands array<long>, s0 long, s1 long"), "placed")
-    place = (F.col("doc_id").cast("decimal(20,0)") * F.lit(PACK).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
+    entries, low, high = placed.agg(F.count("bands") * BANDS, F.min("doc_id"), F.max("doc_id")).first()
+    # Document and line as one number: decimals, many times slower, only if there are documents beyond 31 bits.
+    short = low is None or -(1 << 31) <= low and high < 1 << 31
+    if short:
+        place = F.col("doc_id") * F.lit(PACK) + F.col("line")
+        k_doc, k_line = F.shiftright("keeper", 32), F.col("keeper").bitwiseAND(F.lit(PACK - 1))
+    else:
+        pack = F.lit(PACK).cast("decimal(11,0)")
+        place = (F.col("doc_id").cast("decimal(20,0)") * pack + F.col("line")).cast("decimal(38,0)")
+        k_line = F.pmod(F.col("keeper"), pack)
+        k_doc = (F.col("keeper") - k_line) / pack
     firsts = placed.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"),
                                      F.max("s0").alias("s0"), F.max("s1").alias("s1"))
     # Different lines of one 64-bit hash would be taken for one: they are left as they are.
     firsts = scratch.store(firsts.where("low = high").select("v", "first", "s0", "s1"), "firsts")
     lines = scratch.store(placed.select("doc_id", "key", "line", "v"), "lines")
-    entries = placed.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "v")
-    heads = entries.groupBy("key").agg(F.min("v").alias("head"), F.max("v").alias("high"), F.count("*").alias("n")).where("head != high").select("key", "head", "n")
-    heads = scratch.store(heads, "heads")
-    shared = with_maybe(entries, heads, min(BROADCAST_BLOCKS, blocks_for(heads.count()))).where("_maybe").drop("_maybe").join(heads, "key")
-    members = scratch.store(shared.distinct().withColumnRenamed("key", "cell"), "members")
+    members = _members(scratch, placed, entries)
     scratch.drop("placed")
-    scratch.drop("heads")
     # Only lines that share a bucket with another are compared, so only their texts move.
     wanted = scratch.store(members.select("v").distinct().join(firsts, "v"), "wanted")
     maybe = with_maybe(narrow.select("doc_id", "text").mapInArrow(_texts, "doc_id long, line int, key long, norm string"), wanted.select(F.col("v").alias("key")),
@@ -244,15 +413,14 @@ def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
     scratch.drop("wanted")
     links = bucket_links(scratch, members.withColumn("own", F.lit(True)), texts, lambda pairs: _verified(pairs, texts, least), lambda t: _links_in_blocks(t, least))
     comps = scratch.store(components(scratch, links, "line-links"), "comps")
-    for done in ("members", "texts", "stars", "open"):
+    for done in ("members", "found", "texts", "stars", "open"):
         scratch.drop(done)
     named = firsts.join(comps.withColumnRenamed("id", "v"), "v", "left").select("v", "first", F.coalesce("component", "v").alias("comp"))
     keepers = named.groupBy("comp").agg(F.min("first").alias("keeper"))
     keepers = scratch.store(named.join(keepers, "comp").select("v", "keeper"), "keepers")
     scratch.drop("firsts")
     found = lines.join(keepers, "v", "left")
-    at = F.pmod(F.col("keeper"), F.lit(PACK).cast("decimal(11,0)"))
-    return found.select("doc_id", "key", "line", ((F.col("keeper") - at) / F.lit(PACK).cast("decimal(11,0)")).cast("long").alias("k_doc"), at.cast("int").alias("k_line"))
+    return found.select("doc_id", "key", "line", k_doc.cast("long").alias("k_doc"), k_line.cast("int").alias("k_line"))
 
 
 def _kept(found: DataFrame) -> DataFrame:
