@@ -7,7 +7,7 @@ import pytest
 from tidelog.plans import catalog
 from tidelog.plans.derived_log import derived_events, derived_log, rules
 from tidelog.operators.capture import flag_captured
-from tidelog.operators.txn import assign_txn
+from tidelog.operators.txn import assign_txn, end_state
 
 
 def plan(df):
@@ -96,3 +96,20 @@ def test_documents_of_their_own_keys_are_not_sorted(spark):
     got, plan = found(docs.where("k in (1, 3)"))
     # The window is over documents that share keys; the others pass it by.
     assert len(got) == 4 and "LeftAnti" in plan and "LeftSemi" in plan
+
+
+def test_end_of_a_batch_is_a_hash_aggregate_of_the_log(spark, sf):
+    log = flag_captured(derived_log(spark, sf), rules(spark))
+    text = plan(end_state(log))
+    # The lowest aggregate is the one that reads the log.
+    assert re.findall(r"(\w+Aggregate)\(", text)[-1] == "HashAggregate"
+    places = [(int(r.log_file), r.position) for r in log.select("log_file", "position").collect()]
+    found = end_state(log).first()
+    assert (found._first_file, found._first_pos) == min(places) and (found._last_file, found._last_pos) == max(places)
+    assert end_state(log.limit(0)).first()._last_file is None
+
+
+def test_transaction_digest_is_computed_once(spark, sf):
+    assigned = assign_txn(flag_captured(derived_log(spark, sf), rules(spark))).select("txn")
+    tree = assigned._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("md5(") == 1

@@ -18,7 +18,9 @@ def classify_query(query: Column | str) -> Column:
     statement and ``BEGINNING`` is a ``BEGIN``.
     """
     if isinstance(query, str):
-        cases = " ".join(f"WHEN upper(`{query}`) LIKE '{name}%' THEN '{name}'" for name in STATEMENT_CLASSES)
+        # Upper case never has fewer characters, so the beginning of a long statement is enough.
+        start = f"upper(left(`{query}`, {max(map(len, STATEMENT_CLASSES))}))"
+        cases = " ".join(f"WHEN {start} LIKE '{name}%' THEN '{name}'" for name in STATEMENT_CLASSES)
         return F.expr(f"CASE WHEN `{query}` IS NULL THEN NULL {cases} ELSE 'QUERY' END")
     text = F.upper(query)
     result = F.lit("QUERY")

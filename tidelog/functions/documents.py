@@ -30,8 +30,9 @@ def parse_document(text: Column | str) -> Column:
 
 def document_status(text: Column, document: Column) -> Column:
     """``ok``, ``empty`` (nothing, ``{}`` or ``null``) or ``invalid`` (not a JSON object) of a text and its parsed document."""
-    return once(F.schema_of_variant(document), lambda shape: (
-        F.when(text.isNull() | text.rlike(r"^\s*$") | shape.isin("VOID", "OBJECT<>"), "empty")
-        .when(shape.startswith("OBJECT<"), "ok")
+    # The text of a document that could be parsed tells its type by its beginning.
+    return once(document.isNotNull(), lambda parsed: (
+        F.when(text.isNull() | text.rlike(r"^\s*$") | parsed & text.rlike(r"^\s*(null|\{\s*\})\s*$"), "empty")
+        .when(parsed & text.rlike(r"^\s*\{"), "ok")
         .otherwise("invalid")
     ))

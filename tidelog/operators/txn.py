@@ -13,9 +13,11 @@ from .order import FILE_NO, Slices, file_no, log_slices, with_carry
 
 def _id(source: Column, how: Column, number: Column, position: Column) -> Column:
     """Deterministic UUID-shaped text, so replays and retries agree."""
-    digest = F.md5(F.concat_ws("|", source, how, number.cast("string"), position.cast("string")))
-    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in
-                              [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]])
+    text = F.md5(F.concat_ws("|", source, how, number.cast("string"), position.cast("string")))
+    # Dashes are put in one by one, so that the digest is named, and computed, once.
+    for at in (9, 14, 19, 24):
+        text = F.overlay(text, F.lit("-"), at, 0)
+    return text
 
 
 def signals(ev: DataFrame) -> DataFrame:
@@ -85,9 +87,22 @@ def end_state(ev: DataFrame) -> DataFrame:
     Passing the states as ``initial`` to :func:`assign_txn` continues the log.
     """
     fixed, text = _states()
-    place = F.struct(file_no().alias("file"), F.col("position").alias("pos"))
-    states = [F.max_by(e, F.when(e.isNotNull(), place)).alias(n) for n, e in {**fixed, **text}.items()]
-    found = signals(ev).agg(*states, F.min(place).alias("_first"), F.max(place).alias("_last"))
+    # Text states are grouping keys and files too, so that the log meets a hash aggregate of fixed-width states; few rows are left for the rest.
+    at = F.col("position")
+    files = signals(ev).groupBy(file_no().alias("file"), *[e.alias(n) for n, e in text.items()]).agg(
+        F.min(at).alias("_from"), F.max(at).alias("_at"),
+        *[F.max_by(e, F.when(e.isNotNull(), at)).alias(n) for n, e in fixed.items()],
+        *[F.max(F.when(e.isNotNull(), at)).alias(f"_at_{n}") for n, e in fixed.items()],
+    )
+
+    def place(name: str) -> Column:
+        return F.struct("file", F.col(name).alias("pos"))
+
+    found = files.agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), place(f"_at_{n}"))).alias(n) for n in fixed],
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), place("_at"))).alias(n) for n in text],
+        F.min(place("_from")).alias("_first"), F.max(place("_at")).alias("_last"),
+    )
     return found.select(
         *fixed, *text,
         F.col("_first.file").alias("_first_file"), F.col("_first.pos").alias("_first_pos"),
