@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from tidelog.llm import buckets, lines
 from tidelog.llm.queries import QUERIES
@@ -186,3 +187,47 @@ def test_documents_beyond_31_bits(lspark):
     docs = [(1 << 40, "A line to keep"), (-(1 << 50), "a LINE to keep\nother"), ((1 << 62) + 1, "other")]
     got = {(r.doc_id, r.line): (r.keeper_doc_id, r.keeper_line) for r in lines.near_lines(lspark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == brute(docs)
+
+
+def test_a_line_is_cut_into_shingles_once(monkeypatch):
+    rng = random.Random(5)
+    base = "".join(rng.choices("abcdefgh é", k=120))
+    texts = sorted({"".join(rng.choice("xyz") if rng.random() < 0.02 else c for c in base) for _ in range(40)})
+    pairs = [(x, y) for x in texts for y in texts]
+    want = [lines.jaccard(lines.shingles(x), lines.shingles(y)) >= 0.8 for x, y in pairs]
+    cut, numbers = [], lines._numbers
+    monkeypatch.setattr(lines, "_numbers", lambda line: cut.append(line) or numbers(line))
+    assert 0 < sum(want) < len(want) and lines.near(*zip(*pairs), 0.8).tolist() == want
+    assert sorted(cut) == texts
+    cut.clear()
+    n = len(texts)
+    both = pa.table({"left": [True] * n + [False] * n, "v": [*range(n)] * 2, "comp": [*range(n)] * 2, "norm": texts * 2})
+    links = lines._links_in_blocks(both, 0.8)
+    assert set(zip(links["a"].to_pylist(), links["b"].to_pylist())) == {(i, j) for i in range(n) for j in range(n) if i != j and want[i * n + j]}
+    assert sorted(cut) == texts
+    monkeypatch.setattr(lines, "HELD", 300)
+    assert lines.near(*zip(*pairs), 0.8).tolist() == want
+
+
+def test_lines_that_come_once_are_joined_no_more(lspark, monkeypatch):
+    stored = {}
+
+    class Kept(lines.Scratch):
+        def store(self, df, name):
+            out = super().store(df, name)
+            stored[name] = out.count()
+            return out
+
+    monkeypatch.setattr(lines, "Scratch", Kept)
+    rng = random.Random(6)
+    own = ["".join(rng.choices("abcdefghijkl ", k=80)).strip() for _ in range(30)]
+    docs = [(k, f"{line}\nTwice" if k in (3, 7) else line) for k, line in enumerate(own)] + [(90, own[4] + "z"), (91, own[0].upper())]
+    got = {(r.doc_id, r.line): (r.keeper_doc_id, r.keeper_line) for r in lines.near_lines(lspark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs) and got[90, 0] == (4, 0) and got[91, 0] == (0, 0) and got[7, 1] == (3, 1)
+    assert stored["keepers"] == 4
+
+
+def test_white_space_of_lines():
+    for text in ("", " \n\t\n", "a\v\fb\r\n  c  d\t\te \x1c \x85  x", "\n\n a", " " * 1001 + "x" + "\t " * 333 + "Y", "漢字\0 \n \x1f  İ"):
+        assert lines.numbered_lines(text) == [(at, line.encode()) for at, raw in enumerate(text.split("\n")) if (line := lines.normalised(raw))]
+    assert lines.numbered_lines(None) == []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,18 +29,20 @@ CHUNK_ENTRIES, BUCKET_ENTRIES, HEAVY = 1 << 20, 1 << 21, 64
 # Blocks of the filter that keeps texts from moving: at most 10 MB; with more lines it only lets more through.
 FILTER_BLOCKS = 1 << 18
 
-# Pairs compared at once, and the last character a shingle's number has room for.
-PAIRS, LAST_PLAIN = 512, chr(2047)
+# Characters of the lines whose shingles are held at once, and those a shingle's number has no room for.
+HELD, _BEYOND = 1 << 20, re.compile("[\u0800-\U0010ffff]")
+_PLACES = np.uint64(1) << np.arange(11 * (SHINGLE - 1), -1, -11, dtype=np.uint64)
 # Shingles of a block compared at once.
 COLUMNS = 2048
 
+_SPACES = bytes.maketrans(b"\t\v\f\r", b"    ")
 _RNG = np.random.default_rng(11)
 _FACTORS = _RNG.integers(1, 2 ** 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BAND = _RNG.integers(1, 2 ** 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _EMPTY = np.uint64(2 ** 64 - 1)
-# Where an empty bin looks for a value, try by try.
-_LOOKS = np.random.default_rng(12).integers(0, BINS, (64, BINS))
+# How far on or back an empty bin looks for a value, try by try.
+_STEPS = np.random.default_rng(12).integers(0, BINS, (64, BINS)) - np.arange(BINS)
 
 
 def normalised(line: str) -> str:
@@ -58,50 +63,48 @@ def jaccard(a: set, b: set) -> float:
 def near(xs: list[str], ys: list[str], least: float) -> np.ndarray:
     """Which pairs of lines have a Jaccard of ``least`` or more over their shingles.
 
-    Shingles of characters below 2,048 are numbers that one sort brings together, exactly; other
-    lines and those shorter than a shingle are compared as sets.
+    A line that comes again is cut into shingles once, within limits. Shingles of characters below
+    2,048 are numbers, exactly; other lines and those shorter than a shingle are compared as sets.
     """
     out = np.zeros(len(xs), bool)
-    plain, size = [], 0
-    for k, (x, y) in enumerate(zip(xs, ys)):
-        if min(len(x), len(y)) < SHINGLE or max(x) > LAST_PLAIN or max(y) > LAST_PLAIN:
-            out[k] = jaccard(shingles(x), shingles(y)) >= least
-            continue
-        plain.append(k)
-        size += len(x) + len(y)
-        if len(plain) == PAIRS or size >= PIECE:
-            out[plain] = _near([xs[p] for p in plain], [ys[p] for p in plain], least)
-            plain, size = [], 0
-    if plain:
-        out[plain] = _near([xs[p] for p in plain], [ys[p] for p in plain], least)
+    known: dict[str, np.ndarray | None] = {}
+    held = 0
+    for k, pair in enumerate(zip(xs, ys)):
+        if held >= HELD:
+            known.clear()
+            held = 0
+        for line in pair:
+            if line not in known:
+                known[line] = _numbers(line)
+                held += len(line)
+        a, b = map(known.__getitem__, pair)
+        if a is None or b is None:
+            out[k] = jaccard(*map(shingles, pair)) >= least
+        elif min(len(a), len(b)) >= least * max(len(a), len(b)):
+            # Two sorted runs, which a stable sort only merges.
+            met = np.sort(np.concatenate((a, b)), kind="stable")
+            both = np.count_nonzero(met[1:] == met[:-1])
+            out[k] = both / (len(met) - both) >= least
     return out
 
 
-def _numbers(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of plain lines the windows as numbers, their lines and whether they are shingles."""
-    chars, owner, inside = _windows(lines)
-    chars, h = chars.astype(np.uint64), np.zeros(len(owner), np.uint64)
-    for k in range(SHINGLE):
-        h = h << np.uint64(11) | chars[k:k + len(owner)]
-    return h, owner, inside
-
-
-def _near(xs: list[str], ys: list[str], least: float) -> np.ndarray:
-    """The same for at most PAIRS pairs of plain lines: a number holds the pair's place and five characters of 11 bits."""
-    sides = []
-    for lines in (xs, ys):
-        h, owner, inside = _numbers(lines)
-        h = np.sort((owner.astype(np.uint64) << np.uint64(11 * SHINGLE) | h)[inside])
-        sides.append(h[np.append(True, h[1:] != h[:-1])])
-    place, n = np.uint64(11 * SHINGLE), len(xs)
-    met = np.sort(np.concatenate(sides))
-    both = np.bincount((met[1:][met[1:] == met[:-1]] >> place).astype(np.int64), minlength=n)
-    return both / (sum(np.bincount((h >> place).astype(np.int64), minlength=n) for h in sides) - both) >= least
+def _numbers(line: str) -> np.ndarray | None:
+    """The different shingles of a line as numbers of five characters of 11 bits, sorted; none of a line that is shorter or has characters beyond."""
+    if len(line) < SHINGLE or not line.isascii() and _BEYOND.search(line):
+        return None
+    chars = np.frombuffer(line.encode("utf-16-le"), "<u2").astype(np.uint64)
+    h = np.correlate(chars, _PLACES)
+    h.sort()
+    new = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h[new]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(32))
+    h *= _MIX
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def _windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,22 +130,19 @@ def signatures(lines: list[str]) -> np.ndarray:
         for at in range(0, len(inside), PIECE):
             whole = inside[at:at + PIECE]
             part = chars[at:at + len(whole) + SHINGLE - 1].astype(np.uint64)
-            h = sum(part[k:k + len(whole)] * _FACTORS[k] for k in range(SHINGLE))
-            h = _mixed(h[whole])
+            h = _mixed(np.correlate(part, _FACTORS)[whole])
             np.minimum.at(least, owner[at:at + PIECE][whole] * BINS + (h >> np.uint64(57)).astype(np.int64), h)
-    bins = least.reshape(len(lines), BINS)
-    row, column = np.nonzero(bins == _EMPTY)
-    full = bins.copy()
-    for look in _LOOKS:
-        if not len(row):
+    full, empty = least.copy(), np.flatnonzero(least == _EMPTY)
+    for steps in _STEPS:
+        if not len(empty):
             break
-        value = bins[row, look[column]]
+        value = least[empty + steps[empty % BINS]]
         got = value != _EMPTY
-        full[row[got], column[got]] = value[got]
-        row, column = row[~got], column[~got]
-    if len(row):
-        full[row, column] = bins.min(axis=1)[row]
-    return full
+        full[empty[got]] = value[got]
+        empty = empty[~got]
+    if len(empty):
+        full[empty] = least.reshape(len(lines), BINS).min(axis=1)[empty // BINS]
+    return full.reshape(len(lines), BINS)
 
 
 def bands(lines: list[str], values: np.ndarray | None = None) -> np.ndarray:
@@ -155,66 +155,68 @@ def bands(lines: list[str], values: np.ndarray | None = None) -> np.ndarray:
 
 def sketches(values: np.ndarray) -> np.ndarray:
     """One bit of every bin, as two 64-bit numbers a line."""
-    return np.packbits((_mixed(values) & np.uint64(1)).astype(bool), axis=1, bitorder="little").view("<i8")
+    return np.packbits(values.astype(np.uint8) & 1, axis=1, bitorder="little").view("<i8")
 
 
 def different(values: np.ndarray) -> np.ndarray:
-    """How many different values each signature has."""
-    return (np.diff(np.sort(values, axis=1), axis=1) != 0).sum(axis=1) + 1
+    """How many different values each signature has: those in the bin they fell into."""
+    return (values >> np.uint64(57) == np.arange(BINS, dtype=np.uint64)).sum(axis=1)
 
 
 def numbered_lines(text: str | None):
     """(line, normalised line in UTF-8) for lines that are not blank."""
-    if text is not None:
-        for at, raw in enumerate(text.lower().encode("utf-8", "surrogatepass").split(b"\n")):
-            if norm := b" ".join(raw.split()):
-                yield at, norm
-
-
-def name(norm: bytes) -> int:
-    """The 64-bit number of a normalised line."""
-    return xxhash.xxh64_intdigest(norm, 42)
+    if text is None:
+        return []
+    text = text.lower().encode("utf-8", "surrogatepass").translate(_SPACES)
+    while b"  " in text:
+        text = text.replace(b"  ", b" ")
+    return [(at, norm) for at, line in enumerate(text.split(b"\n")) if (norm := line.strip(b" "))]
 
 
-def check(norm: bytes) -> int:
-    """Another one, to tell lines apart that share the first."""
-    return xxhash.xxh64_intdigest(norm, 43)
+def numbers(norms: list[bytes]) -> np.ndarray:
+    """Of each normalised line its 64-bit number, and another one to tell lines apart that share the first."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(norm, 42) for norm in norms]), ">u8").astype(np.int64).reshape(-1, 2)
 
 
-def _signed(numbers: list[int]) -> pa.Array:
-    return pa.array(np.array(numbers, np.uint64).view(np.int64))
+def _lines(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, list[bytes]]:
+    """The row of each line of a batch of texts, its place and the line."""
+    found = [numbered_lines(text) for text in batch.column("text").to_pylist()]
+    rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
+    ats, norms = zip(*chain.from_iterable(found)) if len(rows) else ((), ())
+    return pa.array(rows), np.array(ats, np.int32), list(norms)
 
 
 def _placed(rows):
-    """Every line with its numbers and, unless the task has lately placed the same line, its buckets and, of a line of many shingles, its sketch."""
+    """Every line with its numbers and, unless the task has lately placed the same line, its buckets, as bytes, and, of a line of many shingles, its sketch."""
     seen: set[int] = set()
     names = ["doc_id", "key", "line", "v", "check", "bands", "s0", "s1"]
     for batch in rows:
-        docs, keys, ats, vs, checks, fresh = [], [], [], [], [], {}
-        for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
-            for at, norm in numbered_lines(text):
-                v = name(norm)
-                if v not in seen:
-                    fresh.setdefault(v, (len(vs), norm))
-                docs.append(doc_id)
-                keys.append(key)
-                ats.append(at)
-                vs.append(v)
-                checks.append(check(norm))
-        if len(seen) + len(fresh) > SEEN:
+        docs, ats, norms = _lines(batch)
+        vs, checks = numbers(norms).T
+        firsts = {}
+        for k, v in enumerate(vs.tolist()):
+            if v not in seen:
+                firsts.setdefault(v, k)
+        if len(seen) + len(firsts) > SEEN:
             seen.clear()
-        seen.update(fresh)
+        seen.update(firsts)
+        # The buckets of the fresh lines lie one after the other; those of the others are null.
         new, sure = np.zeros(len(vs), bool), np.zeros(len(vs), bool)
         bits, cells = np.zeros((len(vs), 2), np.int64), np.empty(0, np.int64)
-        if fresh:
-            where, lines = map(list, zip(*((k, norm.decode("utf-8", "surrogatepass")) for k, norm in fresh.values())))
-            values = signatures(lines)
-            new[where], sure[where], bits[where], cells = True, different(values) >= FULL, sketches(values), bands(lines, values).ravel()
-        # The lists of the fresh lines lie one after the other; those of the others are null.
-        starts = pa.array(np.concatenate([[0], np.cumsum(new) * BANDS]), pa.int32(), mask=np.append(~new, False))
-        columns = [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(ats, pa.int32()), _signed(vs), _signed(checks)]
-        placed = pa.ListArray.from_arrays(starts, pa.array(cells, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*columns, placed, *(pa.array(bits[:, k], mask=~sure) for k in (0, 1))], names)
+        if firsts:
+            where = list(firsts.values())
+            fresh = [norms[k].decode("utf-8", "surrogatepass") for k in where]
+            values = signatures(fresh)
+            new[where], sure[where], bits[where], cells = True, different(values) >= FULL, sketches(values), bands(fresh, values)
+        ends = np.append(0, np.cumsum(new) * (BANDS * cells.itemsize)).astype(np.int32)
+        placed = pa.Array.from_buffers(pa.binary(), len(vs), [pa.py_buffer(np.packbits(new, bitorder="little")), pa.py_buffer(ends), pa.py_buffer(cells)])
+        columns = [batch.column("doc_id").take(docs), batch.column("key").take(docs), pa.array(ats), pa.array(vs), pa.array(checks), placed]
+        yield pa.RecordBatch.from_arrays([*columns, *(pa.array(bits[:, k], mask=~sure) for k in (0, 1))], names)
+
+
+def _cells(bands: pa.Array) -> np.ndarray:
+    """The buckets of lines, one after the other, from lists or their bytes."""
+    return np.frombuffer(b"".join(bands.to_pylist()), np.uint64) if pa.types.is_binary(bands.type) else bands.flatten().to_numpy().view(np.uint64)
 
 
 def _packed(cells: np.ndarray, vs: np.ndarray, buckets: int):
@@ -246,11 +248,12 @@ def _shared_cells(key: tuple, table: pa.Table) -> pa.Table:
     if bucket < 0:
         none = pa.nulls(len(vs), pa.int64())
         return pa.table({"cell": low.view(np.int64), "v": vs, "head": none, "n": none})
-    order = np.argsort(low)
-    low = low[order]
+    # Each with its place in one number, as numbers alone are sorted fastest.
+    order = np.sort(low.astype(np.uint64) << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
+    low = (order >> np.uint64(32)).astype(np.uint32)
     same = low[1:] == low[:-1]
     several = np.append(same, False) | np.append(False, same)
-    low, vs = low[several], vs[order][several]
+    low, vs = low[several], vs[order[several] & np.uint64(PACK - 1)]
     order = np.lexsort((vs, low))
     low, vs = low[order], vs[order]
     once = np.append(True, (low[1:] != low[:-1]) | (vs[1:] != vs[:-1]))[:len(low)]
@@ -273,8 +276,7 @@ def _members(scratch: Scratch, placed: DataFrame, entries: int) -> DataFrame:
     def batches(rows):
         held, n = [], 0
         for batch in rows:
-            lists = batch.column("bands")
-            held.append((lists.flatten().to_numpy().view(np.uint64), np.repeat(batch.column("v").to_numpy(), BANDS)))
+            held.append((_cells(batch.column("bands")), np.repeat(batch.column("v").to_numpy(), BANDS)))
             if (n := n + len(held[-1][0])) >= CHUNK_ENTRIES:
                 yield _packed(*map(np.concatenate, zip(*held)), buckets)
                 held, n = [], 0
@@ -296,13 +298,8 @@ def _members(scratch: Scratch, placed: DataFrame, entries: int) -> DataFrame:
 def _texts(rows):
     """(doc_id, line, key, norm) of every line."""
     for batch in rows:
-        docs, ats, norms = [], [], []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            for at, norm in numbered_lines(text):
-                docs.append(doc_id)
-                ats.append(at)
-                norms.append(norm)
-        columns = [pa.array(docs, pa.int64()), pa.array(ats, pa.int32()), _signed([name(norm) for norm in norms]), pa.array(norms, pa.binary()).cast(pa.string())]
+        docs, ats, norms = _lines(batch)
+        columns = [batch.column("doc_id").take(docs), pa.array(ats), pa.array(numbers(norms)[:, 0]), pa.array(norms, pa.binary()).cast(pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "key", "norm"])
 
 
@@ -325,15 +322,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def _links_in_blocks(table: pa.Table, least: float) -> pa.Table:
     """Of each left line one link to every component it meets among the right ones."""
-    left = np.array(table.column("left").to_pylist(), bool)
-    vs, comps = (table.column(c).to_numpy() for c in ("v", "comp"))
-    _, comps = np.unique(comps, return_inverse=True)
-    row, column = _numbered_shingles(table.column("norm").to_pylist())
-    sizes = np.bincount(row, minlength=len(left))
+    # A line may be on both sides, and is looked at once.
+    vs, first, line = np.unique(table.column("v").to_numpy(), return_index=True, return_inverse=True)
+    sides = np.array(table.column("left").to_pylist(), bool)
+    left, right = (np.bincount(line[side], minlength=len(vs)) > 0 for side in (sides, ~sides))
+    _, comps = np.unique(table.column("comp").to_numpy()[first], return_inverse=True)
+    row, column = _numbered_shingles(table.column("norm").take(pa.array(first)).to_pylist())
+    sizes = np.bincount(row, minlength=len(vs))
     # Lines of the largest component meet only those of others.
     most = comps == np.bincount(comps).argmax()
     a, b = [], []
-    for x, y in ((left & ~most, ~left), (left & most, ~left & ~most)):
+    for x, y in ((left & ~most, right), (left & most, right & ~most)):
         both = _in_common(row, column, x, y)
         linked = both / (sizes[x][:, None] + sizes[y] - both) >= least
         i, j = np.nonzero(linked & (comps[x][:, None] != comps[y]))
@@ -345,23 +344,25 @@ def _links_in_blocks(table: pa.Table, least: float) -> pa.Table:
 
 def _numbered_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(line, number of a shingle) for the different shingles of every line."""
-    if all(len(line) >= SHINGLE and max(line) <= LAST_PLAIN for line in lines):
-        h, owner, inside = _numbers(lines)
-        _, number = np.unique(h[inside], return_inverse=True)
-        pairs = np.unique(owner[inside] * (number.max() + 1) + number)
-        return np.divmod(pairs, number.max() + 1)
+    numbers = [_numbers(line) for line in lines]
+    if all(h is not None for h in numbers):
+        row, h = np.repeat(np.arange(len(lines)), [len(h) for h in numbers]), np.concatenate(numbers)
+        order = np.argsort(h)
+        h = h[order]
+        return row[order], np.cumsum(np.append(False, h[1:] != h[:-1]))
     vocabulary: dict[str, int] = {}
     ids = [[vocabulary.setdefault(s, len(vocabulary)) for s in shingles(line)] for line in lines]
     return np.repeat(np.arange(len(ids)), [len(x) for x in ids]), np.concatenate(ids)
 
 
 def _in_common(row: np.ndarray, column: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many shingles each line of ``x`` shares with each of ``y``."""
+    """How many shingles each line of ``x`` shares with each other line of ``y``."""
     both = np.zeros((x.sum(), y.sum()), np.float32)
     if not both.size:
         return both.astype(np.float64)
-    # Only shingles of both sides count, and these some columns at a time.
+    # Only shingles of several lines and of both sides count, and these some columns at a time.
     common = np.logical_and(*(np.bincount(column[side[row]], minlength=column.max() + 1) > 0 for side in (x, y)))
+    common &= np.bincount(column, minlength=len(common)) > 1
     cut = common[column] & (x | y)[row]
     row, column = row[cut], (np.cumsum(common) - 1)[column[cut]]
     order = np.argsort(column, kind="stable")
@@ -385,7 +386,7 @@ def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
     when the next ones are there.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    placed = scratch.store(narrow.mapInArrow(_placed, "doc_id long, key long, line int, v long, check long, bands array<long>, s0 long, s1 long"), "placed")
+    placed = scratch.store(narrow.mapInArrow(_placed, "doc_id long, key long, line int, v long, check long, bands binary, s0 long, s1 long"), "placed")
     entries, low, high = placed.agg(F.count("bands") * BANDS, F.min("doc_id"), F.max("doc_id")).first()
     # Document and line as one number: decimals, many times slower, only if there are documents beyond 31 bits.
     short = low is None or -(1 << 31) <= low and high < 1 << 31
@@ -398,19 +399,22 @@ def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
         k_line = F.pmod(F.col("keeper"), pack)
         k_doc = (F.col("keeper") - k_line) / pack
     firsts = placed.groupBy("v").agg(F.min(place).alias("first"), F.min("check").alias("low"), F.max("check").alias("high"),
-                                     F.max("s0").alias("s0"), F.max("s1").alias("s1"))
+                                     F.max("s0").alias("s0"), F.max("s1").alias("s1"), F.count("*").alias("n"))
     # Different lines of one 64-bit hash would be taken for one: they are left as they are.
-    firsts = scratch.store(firsts.where("low = high").select("v", "first", "s0", "s1"), "firsts")
+    firsts = scratch.store(firsts.where("low = high").select("v", "first", "s0", "s1", "n"), "firsts")
     lines = scratch.store(placed.select("doc_id", "key", "line", "v"), "lines")
     members = _members(scratch, placed, entries)
     scratch.drop("placed")
+    # A line that comes once and shares no bucket stands for itself and is looked at no more.
+    shared = members.select("v").distinct().withColumn("shared", F.lit(True))
+    firsts = scratch.store(firsts.join(shared, "v", "left").where("n > 1 OR shared").drop("n"), "repeated")
+    scratch.drop("firsts")
     # Only lines that share a bucket with another are compared, so only their texts move.
-    wanted = scratch.store(members.select("v").distinct().join(firsts, "v"), "wanted")
+    wanted = firsts.where("shared").drop("shared")
     maybe = with_maybe(narrow.select("doc_id", "text").mapInArrow(_texts, "doc_id long, line int, key long, norm string"), wanted.select(F.col("v").alias("key")),
                        min(FILTER_BLOCKS, blocks_for(wanted.count())))
     texts = maybe.where("_maybe").withColumnRenamed("key", "v").join(wanted, "v").where(F.col("first").isNull() | (place == F.col("first")))
     texts = scratch.store(texts.dropDuplicates(["v"]).select("v", "norm", "s0", "s1"), "texts")
-    scratch.drop("wanted")
     links = bucket_links(scratch, members.withColumn("own", F.lit(True)), texts, lambda pairs: _verified(pairs, texts, least), lambda t: _links_in_blocks(t, least))
     comps = scratch.store(components(scratch, links, "line-links"), "comps")
     for done in ("members", "found", "texts", "stars", "open"):
@@ -418,7 +422,7 @@ def _keepers(scratch: Scratch, docs: DataFrame, least: float) -> DataFrame:
     named = firsts.join(comps.withColumnRenamed("id", "v"), "v", "left").select("v", "first", F.coalesce("component", "v").alias("comp"))
     keepers = named.groupBy("comp").agg(F.min("first").alias("keeper"))
     keepers = scratch.store(named.join(keepers, "comp").select("v", "keeper"), "keepers")
-    scratch.drop("firsts")
+    scratch.drop("repeated")
     found = lines.join(keepers, "v", "left")
     return found.select("doc_id", "key", "line", k_doc.cast("long").alias("k_doc"), k_line.cast("int").alias("k_line"))
 
